@@ -1,0 +1,5 @@
+"""Independent SQL for the queries, run by DuckDB on the same source tables."""
+
+from oracle import reports
+
+ORACLES: dict[str, str] = {**reports.ORACLES}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-_NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Text no number is made of, although the JVM would parse some of it: type suffixes
+# and hex ('5d', '0x1p3'), NaN, infinities, and exponents of 100 and more, which
+# lead to one.
+_NO_NUMBER = r"[dDfFnNxX]|[eE][+]?[0-9]{3}"
 _NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -13,37 +15,35 @@ def is_number_type(dtype: str) -> bool:
     return dtype in _NUMBER_TYPES or dtype.startswith("decimal")
 
 
-def looks_integer(c: Column) -> Column:
-    return c.rlike(_INTEGER)
-
+def number(c: Column, dtype: str = "string") -> Column:
+    """DOUBLE value of ``c``; NULL for text that is no number, NaN and infinity."""
+    if not is_number_type(dtype):
+        return F.when(~c.rlike(_NO_NUMBER), c.try_cast("double"))
+    if dtype in ("float", "double"):
+        return F.when(is_finite(c), c.cast("double"))
+    return c.cast("double")
 
-def looks_numeric(c: Column) -> Column:
-    return c.rlike(_NUMERIC)
 
+def is_finite(c: Column) -> Column:
+    return ~F.isnan(c) & (F.abs(c) != float("inf"))
 
-def number(c: Column, dtype: str = "string") -> Column:
-    """DOUBLE value of ``c``; NULL for text that is no number, NaN and infinity.
 
-    The pattern keeps out spellings only the JVM takes for numbers ('5d', '0x1p3').
-    """
-    if is_number_type(dtype):
-        value = c.cast("double")
-    else:
-        value = F.when(looks_numeric(c), F.trim(c).try_cast("double"))
-    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+def integer(c: Column) -> Column:
+    """BIGINT value of text made of digits, else NULL."""
+    return c.try_cast("bigint")
 
 
 def whole(c: Column, dtype: str = "string") -> Column:
     """BIGINT value of ``c``, fractions cut toward zero; NULL if not a number.
 
-    Plain digits are parsed as BIGINT directly so ids above 2^53 stay exact.
+    Plain digits, the usual case, are parsed as BIGINT directly: it is cheaper, and
+    ids above 2^53 stay exact.
     """
     if dtype in ("tinyint", "smallint", "int", "bigint"):
         return c.cast("bigint")
-    via_double = number(c, dtype).try_cast("bigint")
     if is_number_type(dtype):
-        return via_double
-    return F.when(looks_integer(c), F.trim(c).try_cast("bigint")).otherwise(via_double)
+        return c.try_cast("bigint")
+    return F.coalesce(integer(c), number(c).try_cast("bigint"))
 
 
 def required(parsed: Column, raw: Column, label: str) -> Column:

@@ -88,20 +88,18 @@ def safe_numeric(
     parsed = {c: numbers.whole(F.col(c), _type(df, c)) for c in integers}
     parsed |= {c: numbers.number(F.col(c), _type(df, c)) for c in decimals}
     reason = first_reason((f"invalid {c}", value.isNull()) for c, value in parsed.items())
-    tagged = df.withColumn(REASON, reason)
-    return Split(
-        tagged.filter(F.col(REASON).isNull()).drop(REASON).withColumns(parsed),
-        tagged.filter(F.col(REASON).isNotNull()),
-    )
+    kept = df
+    for value in parsed.values():
+        kept = kept.filter(value.isNotNull())
+    dropped = df.withColumn(REASON, reason).filter(F.col(REASON).isNotNull())
+    return Split(kept.withColumns(parsed), dropped)
 
 
 def drop_non_finite(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Drop rows with NaN or an infinity in one of the (numeric) columns."""
-    finite = F.lit(True)
     for c in columns:
-        value = F.col(c).cast("double")
-        finite = finite & ~F.isnan(value) & (F.abs(value) != float("inf"))
-    return df.filter(finite)
+        df = df.filter(numbers.is_finite(F.col(c)))
+    return df
 
 
 def keep_range(df: DataFrame, column: str, low: float, inclusive: bool = True) -> DataFrame:

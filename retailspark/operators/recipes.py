@@ -91,24 +91,41 @@ RECIPES: dict[str, Recipe] = {
 
 @dataclass(frozen=True)
 class Staged:
-    """Distinct raw rows tagged with the rule they break, and the way to finish them."""
+    """Distinct raw rows, the rules a row must meet, and the finished columns.
+
+    Cleaning filters on the rules one by one rather than on the reason they add up
+    to, which leaves each value parsed once in the filter and once in the result.
+    """
 
     rows: DataFrame
+    rules: list[tuple[str, Column]]
     columns: dict[str, Column]
 
     @property
     def clean(self) -> DataFrame:
-        kept = self.rows.filter(F.col(REASON).isNull())
+        kept = self.rows
+        for _, accepted in self.rules:
+            kept = kept.filter(accepted)
         return kept.select(*[c.alias(name) for name, c in self.columns.items()])
 
+    @property
+    def tagged(self) -> DataFrame:
+        broken = [(name, ~F.coalesce(ok, F.lit(False))) for name, ok in self.rules]
+        return self.rows.withColumn(REASON, steps.first_reason(broken))
+
     @property
     def quarantine(self) -> DataFrame:
-        return self.rows.filter(F.col(REASON).isNotNull())
+        return self.tagged.filter(F.col(REASON).isNotNull())
 
-    def stored(self, path: str) -> Staged:
-        """The same rows written to ``path`` and read back, so both parts share one pass."""
-        self.rows.write.mode("overwrite").parquet(path)
-        return Staged(self.rows.sparkSession.read.parquet(path), self.columns)
+    def stored(self, path: str) -> Split:
+        """Both parts, from the tagged rows written once to ``path`` and read back."""
+        self.tagged.write.mode("overwrite").parquet(path)
+        tagged = self.rows.sparkSession.read.parquet(path)
+        kept = tagged.filter(F.col(REASON).isNull())
+        return Split(
+            kept.select(*[c.alias(name) for name, c in self.columns.items()]),
+            tagged.filter(F.col(REASON).isNotNull()),
+        )
 
 
 def stage_table(
@@ -151,19 +168,16 @@ def stage_table(
     if on_bad == "quarantine":
         lenient = keep(recipe.strict_integers + recipe.strict_decimals) + lenient
 
-    rules = [(f"missing {c}", F.col(c).isNull()) for c in keep(recipe.required)]
-    rules += [(f"invalid {c}", parsed[c].isNull()) for c in lenient]
-    # A value out of range is dropped, and so is a NULL one.
-    rules += [
-        (f"{c} out of range", ~F.coalesce(parsed[c] >= low, _unparsed(c, on_bad, recipe, value)))
-        for c, low in recipe.at_least.items()
-        if c in present
-    ]
-    rules += [
-        (f"{c} out of range", ~F.coalesce(parsed[c] > low, F.lit(False)))
-        for c, low in recipe.above.items()
-        if c in present
-    ]
+    rules = [(f"missing {c}", F.col(c).isNotNull()) for c in keep(recipe.required)]
+    rules += [(f"invalid {c}", parsed[c].isNotNull()) for c in lenient]
+    # A value out of range is dropped, and so is a NULL one; bad text in a strict
+    # column passes, for the projection to fail the job on it.
+    for c in keep(recipe.at_least):
+        in_range = parsed[c] >= recipe.at_least[c]
+        if c not in lenient:
+            in_range = in_range | (parsed[c].isNull() & value(c).isNotNull())
+        rules.append((f"{c} out of range", in_range))
+    rules += [(f"{c} out of range", parsed[c] > recipe.above[c]) for c in keep(recipe.above)]
 
     columns: dict[str, Column] = {}
     for c in df.columns:
@@ -183,19 +197,7 @@ def stage_table(
     if recipe.full_name and {"first_name", "last_name"} <= present and "full_name" not in present:
         columns["full_name"] = F.concat(value("first_name"), F.lit(" "), value("last_name"))
 
-    tagged = steps.drop_duplicates(df).withColumn(REASON, steps.first_reason(rules))
-    return Staged(tagged, columns)
-
-
-def _unparsed(name: str, on_bad: str, recipe: Recipe, value) -> Column:
-    """Whether a NULL in a strict column passes the range rule.
-
-    Bad text passes in strict mode, so that the projection can fail the job; a
-    plain NULL never does.
-    """
-    if on_bad == "raise" and name in recipe.strict_integers + recipe.strict_decimals:
-        return value(name).isNotNull()
-    return F.lit(False)
+    return Staged(steps.drop_duplicates(df), rules, columns)
 
 
 def clean_table(name: str, df: DataFrame, **options) -> Split:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.sources.starschema import (
     STORES,
+    Views,
     brand_id,
     category_id,
     source,
@@ -206,7 +207,7 @@ VIEWS = {
 
 
 def dirty_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: view(spark, folder) for name, view in VIEWS.items()}
+    return Views(spark, folder, VIEWS)
 
 
 def misnamed_orders(spark, folder):

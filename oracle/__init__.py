@@ -1,5 +1,5 @@
 """Independent SQL for the queries, run by DuckDB on the same source tables."""
 
-from oracle import cleaning, reports
+from oracle import cleaning, quality, reports
 
-ORACLES: dict[str, str] = {**reports.ORACLES, **cleaning.ORACLES}
+ORACLES: dict[str, str] = {**reports.ORACLES, **cleaning.ORACLES, **quality.ORACLES}

@@ -1,5 +1,10 @@
 """Independent SQL for the queries, run by DuckDB on the same source tables."""
 
-from oracle import cleaning, quality, reports
+from oracle import cleaning, load, quality, reports
 
-ORACLES: dict[str, str] = {**reports.ORACLES, **cleaning.ORACLES, **quality.ORACLES}
+ORACLES: dict[str, str] = {
+    **reports.ORACLES,
+    **cleaning.ORACLES,
+    **quality.ORACLES,
+    **load.ORACLES,
+}

@@ -149,11 +149,10 @@ def row_delta(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
     counts = before.agg(F.count("*").alias("rows_before"), F.lit(0).alias("rows_after")).unionAll(
         after.agg(F.lit(0).alias("rows_before"), F.count("*").alias("rows_after"))
     )
-    return counts.agg(
-        F.first(F.lit(name)).alias("table_name"),
-        F.sum("rows_before").alias("rows_before"),
-        F.sum("rows_after").alias("rows_after"),
+    totals = counts.agg(
+        F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after")
     )
+    return totals.select(F.lit(name).alias("table_name"), "*")
 
 
 def _type(df: DataFrame, name: str) -> str:

@@ -394,10 +394,10 @@ def shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and columns of each table."""
     return _union(
         [
-            df.agg(
-                F.first(F.lit(name)).alias("table_name"),
-                F.count("*").alias("row_count"),
-                F.first(F.lit(len(df.columns)).cast("bigint")).alias("column_count"),
+            df.agg(F.count("*").alias("row_count")).select(
+                F.lit(name).alias("table_name"),
+                "row_count",
+                F.lit(len(df.columns)).cast("bigint").alias("column_count"),
             )
             for name, df in tables.items()
         ]
@@ -441,12 +441,11 @@ def orphans(
         F.lit(0).cast("bigint").alias("n"),
         F.array_join(F.sort_array(F.collect_list("k")).cast("array<string>"), ", ").alias("e"),
     )
-    return count.unionByName(listed).agg(
-        F.first(F.lit(f"{child_table}.{child_key} -> {parent_table}.{parent_key}")).alias(
-            "relationship"
-        ),
-        F.max("n").alias("orphaned_keys"),
-        F.max("e").alias("examples"),
+    relationship = F.lit(f"{child_table}.{child_key} -> {parent_table}.{parent_key}")
+    return (
+        count.unionByName(listed)
+        .agg(F.max("n").alias("orphaned_keys"), F.max("e").alias("examples"))
+        .select(relationship.alias("relationship"), "*")
     )
 
 
@@ -593,12 +592,13 @@ def transforms_needed(tables: Mapping[str, DataFrame]) -> DataFrame:
     for transformation, (table, columns) in wanted.items():
         if table in tables:
             absent = [c for c in columns if c not in tables[table].columns]
+            rows = tables[table].agg(F.count("*").alias("n"))
             frames.append(
-                tables[table].agg(
-                    F.first(F.lit(transformation)).alias("transformation"),
-                    F.first(F.lit(bool(absent))).alias("needed"),
-                    F.first(F.lit(", ".join(absent))).alias("missing_columns"),
-                    (F.count("*") if absent else F.first(F.lit(0).cast("bigint"))).alias("rows_affected"),
+                rows.select(
+                    F.lit(transformation).alias("transformation"),
+                    F.lit(bool(absent)).alias("needed"),
+                    F.lit(", ".join(absent)).alias("missing_columns"),
+                    F.when(F.lit(bool(absent)), F.col("n")).otherwise(0).alias("rows_affected"),
                 )
             )
     return _union(frames)
@@ -612,8 +612,8 @@ def gates(findings: DataFrame, transformations: DataFrame) -> DataFrame:
         .when(check.isin(CLEANING_CHECKS), "data_cleaning")
     )
     steps = _summaries(findings).groupBy(step.alias("step")).agg(F.max("needed").alias("needed"))
-    transform = transformations.agg(
-        F.first(F.lit("data_transformation")).alias("step"), F.max("needed").alias("needed")
+    transform = transformations.agg(F.max("needed").alias("needed")).select(
+        F.lit("data_transformation").alias("step"), "needed"
     )
     return steps.unionByName(transform)
 

@@ -4,6 +4,9 @@ A check contributes aggregates and the finding rows built from them, so that any
 set of checks on a table runs as one aggregation. The full profile groups equal
 rows first and weights every aggregate by the number of copies: one scan and one
 shuffle give duplicates, missing values, types and range rules together.
+
+Aggregates and findings are stated as SQL text: a wide table has hundreds of them,
+and text reaches the planner in one call.
 """
 
 from __future__ import annotations
@@ -12,16 +15,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from retailspark.functions import dates, numbers
 from retailspark.functions.numbers import pct
 from retailspark.operators.clean import standard_name
 
-FINDING = (
-    "struct<check_name:string,column_name:string,issue:string,needed:boolean,count:bigint,"
-    "pct:double,current_type:string,expected_type:string>"
-)
 FINDING_COLUMNS = [
     "table_name",
     "check_name",
@@ -40,62 +39,74 @@ CLEANING_CHECKS = [DUPLICATES, MISSING, TYPES, QUALITY]
 
 @dataclass
 class Check:
-    aggregates: dict[str, Column] = field(default_factory=dict)
-    findings: list[Column] = field(default_factory=list)
+    """Named aggregates, and finding structs over their names, both as SQL."""
+
+    aggregates: dict[str, str] = field(default_factory=dict)
+    findings: list[str] = field(default_factory=list)
+
+
+def _text(value: str | None) -> str:
+    if value is None:
+        return "cast(null as string)"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _share(part: str) -> str:
+    """Percentage of the rows, 0 for an empty table."""
+    return f"round(coalesce(try_divide({part} * 100.0D, cast(rows as double)), 0.0D), 2)"
 
 
 def _finding(
     check: str,
-    needed: Column | bool,
-    count: Column | int,
+    needed: str,
+    count: str,
     column: str | None = None,
     issue: str | None = None,
-    share: Column | None = None,
-    current: Column | None = None,
+    share: str = "cast(null as double)",
+    current: str = "cast(null as string)",
     expected: str | None = None,
-) -> Column:
-    def lit(value):
-        return value if isinstance(value, Column) else F.lit(value)
-
-    return F.struct(
-        F.lit(check),
-        F.lit(column),
-        F.lit(issue),
-        lit(needed),
-        lit(count).cast("bigint"),
-        F.lit(None).cast("double") if share is None else share,
-        F.lit(None).cast("string") if current is None else current,
-        F.lit(expected),
-    ).cast(FINDING)
-
-
-@dataclass(frozen=True)
+) -> str:
+    return (
+        f"named_struct('check_name', {_text(check)}, 'column_name', {_text(column)},"
+        f" 'issue', {_text(issue)}, 'needed', {needed}, 'count', cast({count} as bigint),"
+        f" 'pct', {share}, 'current_type', {current}, 'expected_type', {_text(expected)})"
+    )
+
+
+@dataclass
 class _Source:
     """A table under neutral column names, each row standing for ``weight`` rows."""
 
     df: DataFrame
     names: list[str]
     types: list[str]
-    weight: Column
+    weight: str
+    numeric: set[int] = field(default_factory=set)
 
     @classmethod
     def rows(cls, df: DataFrame) -> _Source:
-        return cls(_positional(df), df.columns, [t for _, t in df.dtypes], F.lit(1))
+        return cls(_positional(df), df.columns, [t for _, t in df.dtypes], "1")
 
     @classmethod
     def distinct_rows(cls, df: DataFrame) -> _Source:
         grouped = _positional(df)
         grouped = grouped.groupBy(*grouped.columns).agg(F.count("*").alias("copies"))
-        return cls(grouped, df.columns, [t for _, t in df.dtypes], F.col("copies"))
+        return cls(grouped, df.columns, [t for _, t in df.dtypes], "copies")
 
-    def count(self, condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, self.weight)), F.lit(0))
+    def count(self, condition: str) -> str:
+        return f"coalesce(sum(case when {condition} then {self.weight} end), 0)"
 
-    def total(self) -> Column:
-        return F.coalesce(F.sum(self.weight), F.lit(0))
+    def total(self) -> str:
+        return f"coalesce(sum({self.weight}), 0)"
 
-    def column(self, i: int) -> Column:
-        return F.col(f"c{i}")
+    def nulls(self, i: int) -> str:
+        return self.count(f"c{i} is null")
+
+    def number(self, i: int) -> str:
+        """Name of the DOUBLE reading of column ``i``."""
+        self.numeric.add(i)
+        return f"n{i}"
 
     def find(self, name: str) -> int | None:
         """Position of the column with this standardised name."""
@@ -104,16 +115,22 @@ class _Source:
                 return i
         return None
 
-    def number(self, i: int) -> Column:
-        return numbers.number(self.column(i), self.types[i])
+    def aggregate(self, aggregates: Mapping[str, str]) -> DataFrame:
+        readings = {
+            f"n{i}": numbers.number(F.col(f"c{i}"), self.types[i]) for i in sorted(self.numeric)
+        }
+        df = self.df.withColumns(readings) if readings else self.df
+        return df.selectExpr(*[f"{sql} as {name}" for name, sql in aggregates.items()])
 
 
 def _positional(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
-def _sum(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns, F.lit(0))
+def _count_true(conditions: list[str]) -> str:
+    if not conditions:
+        return "0"
+    return "(" + " + ".join(f"if({c}, 1, 0)" for c in conditions) + ")"
 
 
 def _names_check(s: _Source) -> Check:
@@ -123,38 +140,28 @@ def _names_check(s: _Source) -> Check:
         found = [("uppercase", name != name.lower()), ("spaces", " " in name)]
         for issue in [label for label, bad in found if bad]:
             issues += 1
-            key = f"held_{i}"
-            check.aggregates[key] = s.count(s.column(i).isNotNull())
-            check.findings.append(_finding(NAMES, True, F.col(key), name, issue))
-    check.findings.insert(0, _finding(NAMES, issues > 0, issues))
+            check.aggregates[f"held_{i}"] = s.count(f"c{i} is not null")
+            check.findings.append(_finding(NAMES, "true", f"held_{i}", name, issue))
+    check.findings.insert(0, _finding(NAMES, str(issues > 0).lower(), str(issues)))
     return check
 
 
 def _duplicates_check(s: _Source) -> Check:
-    extra = F.coalesce(F.sum(s.weight - 1), F.lit(0))
     return Check(
-        {"rows": s.total(), "extra": extra},
-        [
-            _finding(
-                DUPLICATES, F.col("extra") > 0, F.col("extra"), share=pct(F.col("extra"), F.col("rows"))
-            )
-        ],
+        {"rows": s.total(), "extra": f"coalesce(sum({s.weight} - 1), 0)"},
+        [_finding(DUPLICATES, "extra > 0", "extra", share=_share("extra"))],
     )
 
 
 def _missing_check(s: _Source) -> Check:
     check = Check({"rows": s.total()})
-    present = []
     for i, name in enumerate(s.names):
-        key = f"nulls_{i}"
-        check.aggregates[key] = s.count(s.column(i).isNull())
-        bad = F.col(key) > 0
-        present.append(bad.cast("bigint"))
+        check.aggregates[f"nulls_{i}"] = s.nulls(i)
         check.findings.append(
-            _finding(MISSING, bad, F.col(key), name, share=pct(F.col(key), F.col("rows")))
+            _finding(MISSING, f"nulls_{i} > 0", f"nulls_{i}", name, share=_share(f"nulls_{i}"))
         )
-    count = _sum(present)
-    check.findings.insert(0, _finding(MISSING, count > 0, count))
+    gaps = _count_true([f"nulls_{i} > 0" for i in range(len(s.names))])
+    check.findings.insert(0, _finding(MISSING, f"{gaps} > 0", gaps))
     return check
 
 
@@ -181,6 +188,10 @@ def expected_types(name: str, strict: bool = False) -> list[tuple[str, tuple[str
     return matches if strict else matches[:1]
 
 
+def _one_of(value: str, options: tuple[str, ...]) -> str:
+    return f"({value} in ({', '.join(_text(o) for o in options)}))"
+
+
 def _types_check(s: _Source, strict: bool = False, nullable_int_is_drift: bool = False) -> Check:
     """Columns whose type differs from what their name calls for.
 
@@ -189,93 +200,87 @@ def _types_check(s: _Source, strict: bool = False, nullable_int_is_drift: bool =
     as double, the type a NaN-based reader would give them.
     """
     check = Check()
-    needed = []
+    drifted = []
     for i, name in enumerate(s.names):
         rules = expected_types(name, strict)
         if not rules:
             continue
-        current = F.lit(s.types[i])
+        current = _text(s.types[i])
         wants_number = any(kind in ("int", "float") for kind, _ in rules)
         if s.types[i] == "string" and wants_number:
-            value = s.column(i)
-            filled = value.isNotNull()
-            check.aggregates[f"no_int_{i}"] = s.count(filled & numbers.integer(value).isNull())
-            check.aggregates[f"no_num_{i}"] = s.count(filled & s.number(i).isNull())
+            check.aggregates[f"no_int_{i}"] = s.count(
+                f"c{i} is not null and try_cast(c{i} as bigint) is null"
+            )
+            check.aggregates[f"no_num_{i}"] = s.count(
+                f"c{i} is not null and {s.number(i)} is null"
+            )
             current = (
-                F.when(F.col(f"no_int_{i}") == 0, "bigint")
-                .when(F.col(f"no_num_{i}") == 0, "double")
-                .otherwise("string")
+                f"(case when no_int_{i} = 0 then 'bigint' when no_num_{i} = 0 then 'double'"
+                " else 'string' end)"
             )
         if nullable_int_is_drift:
-            check.aggregates[f"nulls_{i}"] = s.count(s.column(i).isNull())
-            holds_gaps = current.isin(*_INTEGERS) & (F.col(f"nulls_{i}") > 0)
-            current = F.when(holds_gaps, "double").otherwise(current)
-        for kind, accepted in rules:
-            bad = ~current.isin(*accepted)
-            needed.append(bad.cast("bigint"))
-            check.findings.append(
-                _finding(TYPES, bad, 1, name, current=current, expected=kind)
+            check.aggregates[f"nulls_{i}"] = s.nulls(i)
+            current = (
+                f"(case when {_one_of(current, _INTEGERS)} and nulls_{i} > 0 then 'double'"
+                f" else {current} end)"
             )
-    count = _sum(needed)
-    check.findings.insert(0, _finding(TYPES, count > 0, count))
+        for kind, accepted in rules:
+            bad = f"(not {_one_of(current, accepted)})"
+            drifted.append(bad)
+            check.findings.append(_finding(TYPES, bad, "1", name, current=current, expected=kind))
+    count = _count_true(drifted)
+    check.findings.insert(0, _finding(TYPES, f"{count} > 0", count))
     return check
 
 
 def _quality_check(s: _Source, table: str) -> Check | None:
     """Range and format rules of products, order items and customers."""
-    rules: list[tuple[str, str, Column | bool]] = []
+    rules: list[tuple[str, str, str]] = []
 
-    def rule(column: str, issue: str, test) -> None:
+    def rule(column: str, issue: str, condition) -> None:
         i = s.find(column)
         if i is not None:
-            rules.append((s.names[i], issue, test(i)))
+            rules.append((s.names[i], issue, condition(i)))
 
     if table == "products":
-        rule("list_price", "negative_prices", lambda i: s.number(i) < 0)
+        rule("list_price", "negative_prices", lambda i: f"{s.number(i)} < 0")
     elif table == "order_items":
-        rule("quantity", "negative_quantities", lambda i: s.number(i) < 0)
-        rule("quantity", "zero_quantities", lambda i: s.number(i) == 0)
-        rule("discount", "invalid_discounts", lambda i: (s.number(i) < 0) | (s.number(i) > 1))
+        rule("quantity", "negative_quantities", lambda i: f"{s.number(i)} < 0")
+        rule("quantity", "zero_quantities", lambda i: f"{s.number(i)} = 0")
+        rule("discount", "invalid_discounts", lambda i: f"not {s.number(i)} between 0 and 1")
     elif table == "customers":
-        rule("phone", "multiple_phones", lambda i: s.column(i).cast("string").contains(","))
+        rule("phone", "multiple_phones", lambda i: f"contains(cast(c{i} as string), ',')")
     else:
         return None
 
     check = Check({"rows": s.total()})
-    needed = []
+    broken = []
     for n, (column, issue, condition) in enumerate(rules):
         key = f"rule_{n}"
         check.aggregates[key] = s.count(condition)
-        bad = F.col(key) > 0
-        needed.append(bad.cast("bigint"))
-        check.findings.append(
-            _finding(QUALITY, bad, F.col(key), column, issue, pct(F.col(key), F.col("rows")))
-        )
+        broken.append(f"{key} > 0")
+        check.findings.append(_finding(QUALITY, f"{key} > 0", key, column, issue, _share(key)))
     names = {standard_name(n) for n in s.names}
     if table == "customers" and {"first_name", "last_name"} <= names and "full_name" not in names:
-        needed.append(F.lit(1))
-        check.findings.append(
-            _finding(QUALITY, True, F.col("rows"), "full_name", "missing_full_name")
-        )
-    count = _sum(needed)
-    check.findings.insert(0, _finding(QUALITY, count > 0, count))
+        broken.append("true")
+        check.findings.append(_finding(QUALITY, "true", "rows", "full_name", "missing_full_name"))
+    count = _count_true(broken)
+    check.findings.insert(0, _finding(QUALITY, f"{count} > 0", count))
     return check
 
 
 def _run(s: _Source, table: str, checks: list[Check]) -> DataFrame:
     """Findings of the checks from a single aggregation of the source."""
-    aggregates: dict[str, Column] = {}
-    findings: list[Column] = []
+    aggregates = {"rows": s.total()}
+    findings: list[str] = []
     for check in checks:
         aggregates |= check.aggregates
         findings += check.findings
-    if not aggregates:
-        aggregates["rows"] = s.total()
-    stats = s.df.agg(*[c.alias(name) for name, c in aggregates.items()])
-    exploded = stats.select(F.explode(F.array(*findings)).alias("f")).select("f.*")
+    found = s.aggregate(aggregates).selectExpr(f"inline(array({', '.join(findings)}))")
     # A summary row per check stays; detail rows only where there is something to do.
-    kept = exploded.filter(F.col("column_name").isNull() | F.col("needed"))
-    return kept.withColumn("table_name", F.lit(table)).select(*FINDING_COLUMNS)
+    return found.filter("column_name is null or needed").selectExpr(
+        f"{_text(table)} as table_name", *FINDING_COLUMNS[1:]
+    )
 
 
 def profile_table(
@@ -631,9 +636,9 @@ def score(findings: DataFrame) -> DataFrame:
 def table_score(df: DataFrame, table: str) -> DataFrame:
     """100 less the share of NULL cells (30 at most) and of repeated rows (20 at most)."""
     s = _Source.distinct_rows(df)
-    cells = _sum([s.count(s.column(i).isNull()) for i in range(len(s.names))])
-    stats = s.df.agg(
-        s.total().alias("rows"), F.sum(s.weight - 1).alias("extra"), cells.alias("nulls")
+    cells = " + ".join(s.nulls(i) for i in range(len(s.names)))
+    stats = s.aggregate(
+        {"rows": s.total(), "extra": f"coalesce(sum({s.weight} - 1), 0)", "nulls": cells}
     )
     rows = F.col("rows").cast("double")
     null_share = F.col("nulls") * 100.0 / (rows * len(s.names))

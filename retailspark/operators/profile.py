@@ -483,12 +483,17 @@ def describe(df: DataFrame, table: str, columns: list[str], exact: bool = True)
     sketch = F.percentile_approx(value, [float(c) for c in cuts], ACCURACY)
     basic = values.groupBy("column_name").agg(
         n.alias("n"),
-        (F.sum(value.cast("decimal(28,8)")).cast("double") / n).alias("mean"),
+        F.sum(value.try_cast("decimal(28,8)")).alias("exact_sum"),
+        F.avg(value).alias("float_mean"),
         F.round(F.stddev_samp(value), 4).alias("std"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
         sketch.alias("cuts"),
     )
+    # The decimal sum does not depend on row order, but holds values below 1e20 only.
+    fits = F.greatest(F.abs("min_value"), F.abs("max_value")) < 1e20
+    exact_mean = F.col("exact_sum").cast("double") / F.col("n")
+    basic = basic.withColumn("mean", F.when(fits, exact_mean).otherwise(F.col("float_mean")))
     if exact:
         quartiles = _exact_quartiles(values, basic)
         result = basic.join(quartiles, "column_name")
@@ -563,7 +568,14 @@ def _exact_quartiles(values: DataFrame, basic: DataFrame) -> DataFrame:
     picked = ranked.groupBy("column_name", "i", (position - rank).alias("part")).agg(
         F.min(F.when(F.col("upto") > rank, value)).alias("low"),
         F.min(F.when(F.col("upto") > rank + 1, value)).alias("high"),
+        F.max(F.col("below") > rank).alias("missed"),
     )
+    # The sketch's error bound rules this out; never answer from a wrong bracket.
+    missed = F.col("missed") | F.col("low").isNull()
+    low = F.when(missed, F.raise_error(F.lit("quartile outside its bracket"))).otherwise(
+        F.col("low")
+    )
+    picked = picked.withColumn("low", low)
     low, high = F.col("low"), F.coalesce("high", "low")
     return picked.groupBy("column_name").agg(
         *[

@@ -29,6 +29,7 @@ def run(
     skip: Collection[str] = (),
     gated: bool = False,
     database: str | None = None,
+    encoding: str | None = None,
     **cleaning_options,
 ) -> DataFrame:
     """Run the stages over ``raw_folder/<table>.csv`` and return the run log.
@@ -54,7 +55,7 @@ def run(
         log.append((run_id, name, ok, rows_in, rows_out, time.time() - start, error))
         return ok
 
-    raw, _ = files.load_raw(spark, raw_folder)
+    raw, _ = files.load_raw(spark, raw_folder, encoding=encoding)
 
     def check() -> tuple[int, int]:
         watched, seen = _observed(raw)
@@ -65,22 +66,22 @@ def run(
     def transform() -> tuple[int, int]:
         watched, seen = _observed(raw)
         needed = _gates(spark, out_folder) if gated and "check" not in skip else None
-        cleaned, dropped = {}, {}
+        cleaned = {}
         for name, df in watched.items():
-            if needed is not None and not needed.get(name, True):
-                path = f"{out_folder}/staged/{name}"
-                standardise_names(df).write.mode("overwrite").parquet(path)
-                cleaned[name] = load.conform(spark.read.parquet(path), name).select(
-                    *[c for c in TABLES[name].columns if c in standardise_names(df).columns]
-                )
-                continue
-            staged = recipes.stage_table(name, df, **cleaning_options)
-            cleaned[name], dropped[name] = staged.stored(f"{out_folder}/staged/{name}")
-        for name, df in dropped.items():
-            df.write.mode("overwrite").parquet(f"{out_folder}/quarantine/{name}")
-        full = enrich.enrich_all(cleaned, keep_line_counts=True)
-        load.write_cleaned(full, out_folder)
-        stored = files.load_cleaned(spark, out_folder, full)
+            if needed is None or needed.get(name, True):
+                staged = recipes.stage_table(name, df, **cleaning_options)
+                cleaned[name], dropped = staged.stored(f"{out_folder}/staged/{name}")
+                dropped.write.mode("overwrite").parquet(f"{out_folder}/quarantine/{name}")
+            else:
+                cleaned[name] = _typed(name, df)
+        # Line totals are stored before the order totals are summed from them.
+        enriched = enrich.enrich_all(cleaned, {"calculate_order_total": False})
+        orders = enriched.pop("orders")
+        load.write_cleaned(enriched, out_folder)
+        items = files.load_cleaned(spark, out_folder, ["order_items"])["order_items"]
+        totals = enrich.add_order_total(orders, items, keep_line_counts=True)
+        load.write_cleaned({"orders": totals}, out_folder)
+        stored = files.load_cleaned(spark, out_folder, cleaned)
         return _total(seen), sum(df.count() for df in stored.values())
 
     def load_tables() -> tuple[int, int]:
@@ -129,6 +130,12 @@ def succeeded(log: DataFrame) -> bool:
     return bool(log.agg(F.min("ok")).first()[0])
 
 
+def _typed(name: str, df: DataFrame) -> DataFrame:
+    """A table that skips cleaning: standard names and target types, nothing else."""
+    df = standardise_names(df)
+    return load.conform(df, name).select(*[c for c in TABLES[name].columns if c in df.columns])
+
+
 def _observed(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[Observation]]:
     """The tables with a row counter each that rides along with their next use."""
     counters = {name: Observation(f"rows of {name}") for name in tables}

@@ -60,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "rpt_status": _report(reports.status),
     "rpt_status_full": _report(reports.status_full),
     "rpt_kpis": _report(reports.kpis),
+    "rpt_kpi_labels": _report(reports.kpi_labels),
     "rpt_series_monthly": _report(reports.series_monthly),
     "rpt_segment_share": _report(reports.segment_share, "2000-01-01", segment_bounds=SEGMENTS),
     "rpt_category_share": _report(reports.category_share),

@@ -366,10 +366,9 @@ def low_stock_detail(t: Tables, low_stock_below: int = LOW_STOCK_BELOW) -> DataF
     """
     low = _low_stock(t, low_stock_below)
     stores = t["stores"].select("store_id", "store_name")
+    rows = t["stocks"].join(low.select("product_id"), "product_id", "left_semi")
     held = (
-        t["stocks"]
-        .join(low.select("product_id"), "product_id", "left_semi")
-        .join(stores, "store_id", "left")
+        lookup(rows, stores, "store_id", F.col("product_id"), "left")
         .groupBy("product_id")
         .agg(
             F.expr(
@@ -451,18 +450,14 @@ def store_inventory_full(t: Tables, integer_avg: bool = True) -> DataFrame:
 def _active_staff(t: Tables) -> DataFrame:
     """Active staff with the name and city of their store, if any."""
     stores = t["stores"].select("store_id", "store_name", F.col("city").alias("store_city"))
-    return (
-        t["staffs"]
-        .filter(F.col("active") == 1)
-        .select(
-            "staff_id",
-            # NULL if either part is NULL.
-            F.concat("first_name", F.lit(" "), "last_name").alias("staff_name"),
-            "email",
-            "store_id",
-        )
-        .join(stores, "store_id", "left")
+    active = t["staffs"].filter(F.col("active") == 1).select(
+        "staff_id",
+        # NULL if either part is NULL.
+        F.concat("first_name", F.lit(" "), "last_name").alias("staff_name"),
+        "email",
+        "store_id",
     )
+    return lookup(active, stores, "store_id", F.col("staff_id"), "left")
 
 
 def staff(t: Tables) -> DataFrame:
@@ -732,6 +727,23 @@ def kpis(t: Tables) -> DataFrame:
     )
 
 
+def kpi_labels(t: Tables) -> DataFrame:
+    """The same figures as text: dollars with cents, counts with thousands separators."""
+
+    def dollars(c: str) -> Column:
+        return F.concat(F.lit("$"), F.format_number(F.coalesce(c, F.lit(0.0)), 2)).alias(c)
+
+    def count(c: str) -> Column:
+        return F.format_number(F.coalesce(c, F.lit(0)), 0).alias(c)
+
+    return kpis(t).select(
+        dollars("total_revenue"),
+        count("total_orders"),
+        dollars("avg_order_value"),
+        count("total_customers"),
+    )
+
+
 def series_monthly(t: Tables) -> DataFrame:
     key = F.concat(
         F.col("order_year").cast("string"),

@@ -53,13 +53,19 @@ def normalise_na(df: DataFrame) -> DataFrame:
 
 
 def load_raw(
-    spark: SparkSession, folder: str, names: Iterable[str] = tuple(TABLES)
+    spark: SparkSession,
+    folder: str,
+    names: Iterable[str] = tuple(TABLES),
+    encoding: str | None = None,
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """Read ``folder/<name>.csv`` for each name; missing files are listed, not fatal."""
+    """Read ``folder/<name>.csv`` for each name; missing files are listed, not fatal.
+
+    Naming the ``encoding`` saves the probe, which reads a clean file to its end.
+    """
     found, missing = {}, []
     for name in names:
         try:
-            found[name] = read_csv(spark, f"{folder}/{name}.csv")
+            found[name] = read_csv(spark, f"{folder}/{name}.csv", encoding)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

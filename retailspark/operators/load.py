@@ -93,9 +93,10 @@ def conformance(df: DataFrame, name: str) -> DataFrame:
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """(Re)create the nine empty tables of ``database`` under ``location``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    for name, table in TABLES.items():
-        empty = spark.createDataFrame([], table.schema)
-        empty.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+    for name, table in reversed(TABLES.items()):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet")
 
 
 def append_tables(

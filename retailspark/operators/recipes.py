@@ -118,13 +118,19 @@ class Staged:
         return self.tagged.filter(F.col(REASON).isNotNull())
 
     def stored(self, path: str) -> Split:
-        """Both parts, from the tagged rows written once to ``path`` and read back."""
-        self.tagged.write.mode("overwrite").parquet(path)
-        tagged = self.rows.sparkSession.read.parquet(path)
-        kept = tagged.filter(F.col(REASON).isNull())
+        """Both parts, from the tagged rows written once to ``path`` and read back.
+
+        Kept and dropped rows land in the partitions ``rejected=false`` and
+        ``rejected=true``, so reading either one skips the other.
+        """
+        tagged = self.tagged.withColumn("rejected", F.col(REASON).isNotNull())
+        tagged.write.mode("overwrite").partitionBy("rejected").parquet(path)
+        back = self.rows.sparkSession.read.schema(tagged.schema).parquet(path)
         return Split(
-            kept.select(*[c.alias(name) for name, c in self.columns.items()]),
-            tagged.filter(F.col(REASON).isNotNull()),
+            back.filter(~F.col("rejected")).select(
+                *[c.alias(name) for name, c in self.columns.items()]
+            ),
+            back.filter("rejected").drop("rejected"),
         )
 
 

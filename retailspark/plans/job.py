@@ -34,6 +34,7 @@ def run(
 ) -> DataFrame:
     """Run the stages over ``raw_folder/<table>.csv`` and return the run log.
 
+    Dropped rows stay in ``out_folder/staged/<table>/rejected=true`` with their reason.
     A failed check or transform ends the run, a failed load or report is only noted.
     The log is appended to ``out_folder/run_log``. ``gated`` cleans just the tables
     the check has flagged.
@@ -70,8 +71,7 @@ def run(
         for name, df in watched.items():
             if needed is None or needed.get(name, True):
                 staged = recipes.stage_table(name, df, **cleaning_options)
-                cleaned[name], dropped = staged.stored(f"{out_folder}/staged/{name}")
-                dropped.write.mode("overwrite").parquet(f"{out_folder}/quarantine/{name}")
+                cleaned[name] = staged.stored(f"{out_folder}/staged/{name}").clean
             else:
                 cleaned[name] = _typed(name, df)
         # Line totals are stored before the order totals are summed from them.
@@ -82,7 +82,7 @@ def run(
         totals = enrich.add_order_total(orders, items, keep_line_counts=True)
         load.write_cleaned({"orders": totals}, out_folder)
         stored = files.load_cleaned(spark, out_folder, cleaned)
-        return _total(seen), sum(df.count() for df in stored.values())
+        return _total(seen), _rows(stored)
 
     def load_tables() -> tuple[int, int]:
         cleaned = files.load_cleaned(spark, out_folder)
@@ -101,8 +101,7 @@ def run(
             "not_null": constraints.not_null_violations(target),
         }.items():
             found.write.mode("overwrite").parquet(f"{out_folder}/checks/{name}")
-        rows_in = sum(df.count() for df in cleaned.values())
-        return rows_in, sum(row.rows_after for row in appended)
+        return _rows(cleaned), sum(row.rows_after for row in appended)
 
     def report() -> tuple[int, int]:
         tables = files.load_cleaned(spark, out_folder)
@@ -113,8 +112,7 @@ def run(
         failed = [row.report for row in written if row.error]
         if failed:
             raise RuntimeError(f"reports failed: {', '.join(failed)}")
-        rows_in = sum(df.count() for df in tables.values())
-        return rows_in, sum(row.row_count for row in written)
+        return _rows(tables), sum(row.row_count for row in written)
 
     if stage("check", check) and stage("transform", transform):
         stage("load", load_tables)
@@ -150,6 +148,10 @@ def _total(counters: list[Observation]) -> int:
     return reduce(lambda total, c: total + c.get["n"], counters, 0)
 
 
+def _rows(tables: dict[str, DataFrame]) -> int:
+    return profile.shapes(tables).agg(F.sum("row_count")).first()[0]
+
+
 def _gates(spark: SparkSession, out_folder: str) -> dict[str, bool]:
     """Flags per table from the stored findings: one row per table."""
     findings = spark.read.parquet(f"{out_folder}/findings")

@@ -30,7 +30,7 @@ def test_a_run_goes_from_raw_files_to_reports(spark, raw_folder, tmp_path):
     assert values(items.select("order_id", "total_price")) == [(1, 17.1)]
     orders = spark.table("job_full.orders").collect()
     assert [(o.order_id, round(o.order_total, 2)) for o in orders] == [(1, 17.1)]
-    dropped = spark.read.parquet(f"{out}/quarantine/staffs")
+    dropped = spark.read.parquet(f"{out}/staged/staffs/rejected=true")
     assert [r.rejected_because for r in dropped.collect()] == ["invalid store_id"]
     assert spark.read.parquet(f"{out}/checks/reconcile").filter("not ok").count() == 0
 
@@ -38,8 +38,8 @@ def test_a_run_goes_from_raw_files_to_reports(spark, raw_folder, tmp_path):
 def test_gated_runs_leave_clean_tables_alone(spark, raw_folder, tmp_path):
     log = job.run(spark, raw_folder, str(tmp_path / "out"), gated=True, database="job_gated")
     assert job.succeeded(log)
-    assert not (tmp_path / "out" / "quarantine" / "brands").exists()
-    assert (tmp_path / "out" / "quarantine" / "staffs").exists()
+    assert not (tmp_path / "out" / "staged" / "brands").exists()
+    assert (tmp_path / "out" / "staged" / "staffs").exists()
 
 
 def test_skipped_stages_leave_no_entry(spark, raw_folder, tmp_path):

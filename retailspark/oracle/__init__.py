@@ -1,6 +1,6 @@
 """Independent SQL for the queries, run by DuckDB on the same source tables."""
 
-from oracle import cleaning, load, quality, reports
+from retailspark.oracle import cleaning, load, quality, reports
 
 ORACLES: dict[str, str] = {
     **reports.ORACLES,

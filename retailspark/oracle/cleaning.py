@@ -1,6 +1,6 @@
 """Cleaning and enrichment oracles."""
 
-from oracle.views import over_clean, over_dirty
+from retailspark.oracle.views import over_clean, over_dirty
 
 NUMERIC = r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
 
@@ -127,7 +127,7 @@ SELECT customer_id, {filled('first_name')} AS first_name, {filled('last_name')}
 
 ORDER_TOTALS = """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-       CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 4 END AS order_status,
+       CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 4 END AS BIGINT) AS order_status,
        o_orderdate AS order_date, o_custkey % 25 AS store_id,
        coalesce(CAST(sum(i.total_price) AS DOUBLE), 0) AS order_total,
        count(i.order_id) AS line_count, CAST(coalesce(sum(i.quantity), 0) AS BIGINT) AS unit_count

@@ -1,9 +1,9 @@
 """Source, sink and load oracles."""
 
-from oracle import reports
-from oracle.cleaning import RECIPES, num, parsed
-from oracle.quality import COLUMNS, ITEMS, RELATIONSHIPS, union
-from oracle.views import over_clean, over_dirty
+from retailspark.oracle import reports
+from retailspark.oracle.cleaning import RECIPES, num, parsed
+from retailspark.oracle.quality import COLUMNS, ITEMS, RELATIONSHIPS, union
+from retailspark.oracle.views import over_clean, over_dirty
 
 ORDER = [
     "brands", "categories", "stores", "staffs", "products", "customers", "orders",
@@ -50,7 +50,7 @@ def _conformance(t: str) -> str:
     lost = " + ".join(_lost(t, c) for c in COLUMNS[t])
     long = " + ".join(_too_long(t, c) for c in COLUMNS[t])
     return (
-        f"SELECT '{t}' AS table_name, {TARGET_COLUMNS[t]} AS column_count,"
+        f"SELECT '{t}' AS table_name, CAST({TARGET_COLUMNS[t]} AS BIGINT) AS column_count,"
         f" (SELECT count(*) FROM d_{t}) AS row_count, {lost} AS lost_values, {long} AS too_long"
     )
 
@@ -58,7 +58,7 @@ def _conformance(t: str) -> str:
 def _pk(t: str, key: str) -> str:
     return (
         f"SELECT '{t}' AS table_name, '{key}' AS key_columns, count(*) FILTER (WHERE n > 1) AS repeated_keys,"
-        f" CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows, 0 AS null_key_rows"
+        f" CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows, CAST(0 AS BIGINT) AS null_key_rows"
         f" FROM (SELECT {key}, count(*) AS n FROM v_{t} GROUP BY ALL)"
     )
 
@@ -102,7 +102,7 @@ ORACLES = {
         union(
             [
                 f"SELECT '{t}' AS table_name, (SELECT count(*) FROM d_{t}) AS row_count,"
-                f" {len(c)} AS column_count, TRUE AS found"
+                f" CAST({len(c)} AS BIGINT) AS column_count, TRUE AS found"
                 for t, c in COLUMNS.items()
             ]
             + ["SELECT 'suppliers', 0, 0, FALSE"]
@@ -118,7 +118,7 @@ SELECT 'ISO-8859-1', 'ISO-8859-1', count(*),
         union(
             [
                 f"SELECT '{t}' AS table_name, (SELECT count(*) FROM ({RECIPES[t]})) AS row_count,"
-                f" {CLEAN_COLUMNS[t]} AS column_count"
+                f" CAST({CLEAN_COLUMNS[t]} AS BIGINT) AS column_count"
                 for t in ORDER
             ]
         )

@@ -1,7 +1,7 @@
 """Profiling oracles. The SQL is generated per table and column from the raw column lists."""
 
-from oracle.cleaning import RECIPES, num, parsed
-from oracle.views import over_clean, over_dirty
+from retailspark.oracle.cleaning import RECIPES, num, parsed
+from retailspark.oracle.views import over_clean, over_dirty
 
 COLUMNS = {
     "brands": ["brand_id", "brand_name"],

@@ -1,6 +1,6 @@
 """Report oracles, written the direct way: facts joined with dimensions, then grouped."""
 
-from oracle.views import over_clean
+from retailspark.oracle.views import over_clean
 
 D = "CAST({} AS DOUBLE)"
 

@@ -33,7 +33,7 @@ v_order_items AS (
   FROM lineitem),
 v_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-         CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 4 END AS order_status,
+         CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 4 END AS BIGINT) AS order_status,
          o_orderdate AS order_date, o_custkey % 25 AS store_id,
          (SELECT min(l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS staff_id,
          coalesce((SELECT sum(total_price) FROM v_order_items i WHERE i.order_id = o_orderkey), 0)

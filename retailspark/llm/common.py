@@ -77,3 +77,24 @@ def join_checked(left: DataFrame, right: DataFrame, on: list[str], most_rows: in
     """Inner join with a written table: broadcast if its rows, of a few numbers each, are at most ``most_rows``;
     by shuffle otherwise."""
     return left.join(F.broadcast(right) if right.count() <= most_rows else right, on)
+
+
+def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable[[list[tuple]], list[tuple]]], schema: str) -> DataFrame:
+    """``df`` with the columns of ``schema`` behind its own: ``make()``'s function gets rows of the ``inputs`` columns and
+    gives one tuple for each."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    new = _parse_datatype_string(schema)
+    arrow, places = to_arrow_schema(new), [df.columns.index(c) for c in inputs]
+
+    def run(batches):
+        step = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                out = step(list(zip(*(part.column(i).to_pylist() for i in places))))
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *arrow.names])
+
+    return df.mapInArrow(portable(run), StructType([*df.schema.fields, *new.fields]))

@@ -29,7 +29,7 @@ TOKENIZER = "word_bpe_49k.json"
 END = 1
 LONGEST = 20
 BLOCK = 1024
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 TOKENS = "task int, place long, doc_id long, size long, ids binary"
 SEGMENTS = (
@@ -134,7 +134,7 @@ def tokens_in_order(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
         return step
 
     ordered = id_and_text(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    return staged(map_rows(ordered, make, TOKENS, rows=2048), "huffman-ids")
+    return staged(map_rows(ordered, make, TOKENS, rows=512), "huffman-ids")
 
 
 def counts_of(tokens: DataFrame) -> np.ndarray:
@@ -191,7 +191,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int =
 
     placed = join_checked(tokens, starts, ["task"])
     placed = placed.select((F.col("before") + F.col("place")).alias("first_id"), "doc_id", "ids")
-    map_rows(placed, make, SEGMENTS, rows=2048).write.parquet(f"{folder}/segments")
+    map_rows(placed, make, SEGMENTS, rows=512).write.parquet(f"{folder}/segments")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

@@ -143,7 +143,7 @@ def encoded(docs: DataFrame, tokenizer: str, capacity: int, end: int) -> DataFra
 
         return step
 
-    return map_rows(id_and_text(docs), make, STORED, rows=2048)
+    return map_rows(id_and_text(docs), make, STORED, rows=512)
 
 
 def pack(

@@ -37,9 +37,10 @@ def cut(text: str) -> list[str] | None:
 class Memory:
     """Ids of texts as little-endian numbers of one width. ``_pieces`` and ``_whole`` are what encodes."""
 
-    def __init__(self, dtype: str = "<u2", limit: int = 700_000):
+    def __init__(self, dtype: str = "<u2", limit: int = 250_000):
         self.dtype, self.limit = np.dtype(dtype), limit
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was known before, kept until there is as much again
 
     def pack(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
@@ -47,9 +48,14 @@ class Memory:
     def encode(self, texts: list[str]) -> list[bytes]:
         cuts = [cut(t) for t in texts]
         if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        wanted = list(set().union(*filter(None, cuts)).difference(known))
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        wanted = set().union(*filter(None, cuts)).difference(known)
+        if older:
+            again = wanted.intersection(older)
+            known.update(zip(again, map(older.__getitem__, again)))
+            wanted -= again
+        wanted = list(wanted)
         fresh = dict(zip(wanted, self._pieces(wanted)))
         passing = {p: fresh.pop(p) for p in [p for p in wanted if len(p) > _LONG]}
         known.update(fresh)

@@ -121,7 +121,7 @@ class PrefixBpe(pieces.Memory):
     def encode(self, texts):
         if len(self.words) > self.limit:
             self.words.clear()
-        if len(self.pairs) > 4 * self.limit:
+        if len(self.pairs) > 2 * self.limit:
             self.pairs.clear()
         return super().encode(texts)
 
@@ -163,7 +163,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
         return step
 
-    return map_rows(id_and_text(docs), make, ENCODED, rows=2048)
+    return map_rows(id_and_text(docs), make, ENCODED, rows=512)
 
 
 def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -179,4 +179,21 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
         return step
 
-    return map_rows(encoded.select("doc_id", "ids"), make, ENCODED + ", text string", rows=2048)
+    return map_rows(encoded.select("doc_id", "ids"), make, ENCODED + ", text string")
+
+
+def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The ids of each document and the text decoded from them, in one pass."""
+    tokenizer = tokenizer or pieces.path(TOKENIZER)
+
+    def make():
+        memory = pieces.held(PrefixBpe, tokenizer)
+
+        def step(rows):
+            for (doc_id, _), packed in zip(rows, memory.encode([t for _, t in rows])):
+                ids = np.frombuffer(packed, memory.dtype)
+                yield doc_id, ids.astype("<u4").tobytes(), memory.decode(ids)
+
+        return step
+
+    return map_rows(id_and_text(docs), make, ENCODED + ", text string", rows=256)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailspark.llm import huffman, packing, prefix_bpe, separators
-from retailspark.llm.common import map_rows, table
+from retailspark.llm import (
+    host_rules, huffman, near_copies, nearest_labels, packing, personal_data, prefix_bpe, separators, small_world,
+)
+from retailspark.llm.common import table
 from retailspark.session import scratch_folder
 
 
@@ -30,43 +29,69 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and class_id of every document; the class's least doc_id."""
+    return near_copies.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read back from the coded files."""
     folder = scratch_folder(spark, "huffman")
     huffman.write(table(spark, sf_dir, "documents"), folder)
 
-    def make():
-        def step(rows):
-            for doc_id, start, ids in rows:
-                yield doc_id, start, len(ids) // 4, zlib.crc32(ids)
+    return huffman.read(spark, folder).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
 
-        return step
 
-    return map_rows(huffman.read(spark, folder), make, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "host", "host_rate", "host_rejected",
+    )
 
 
 def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document, encoded and decoded."""
-    decoded = prefix_bpe.decode(prefix_bpe.encode(table(spark, sf_dir, "documents")))
+    decoded = prefix_bpe.round_trip(table(spark, sf_dir, "documents"))
+    return decoded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
-    def make():
-        def step(rows):
-            for doc_id, ids, text in rows:
-                yield doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
-        return step
+def op9_nearest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = nearest_labels.score(docs, table(spark, sf_dir, "labels"))
+    score = F.col("toxic_score")
+    return scored.select(
+        "doc_id", nearest_labels.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"), F.col("toxic_evidence").alias("evidence"),
+    )
+
 
-    return map_rows(decoded, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def op10_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return small_world.search(embeddings, embeddings.filter("vec_id % 20 = 0"))
 
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_near_copies": op3_near_copies,
     "op4_packing": op4_packing,
+    "op5_personal_data": op5_personal_data,
     "op6_huffman": op6_huffman,
+    "op7_host_rules": op7_host_rules,
     "op8_prefix_bpe": op8_prefix_bpe,
+    "op9_nearest_labels": op9_nearest_labels,
+    "op10_small_world": op10_small_world,
 }
 ORACLES: dict[str, str] = {}

@@ -60,7 +60,7 @@ def flat_rows(docs: DataFrame, tokenizer: str, *keys: str) -> DataFrame:
 
     kept = docs.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.select(*keys).schema)
-    return map_rows(kept, make, schema + "ids binary", rows=2048)
+    return map_rows(kept, make, schema + "ids binary", rows=512)
 
 
 def write_flat(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int = END, width: int = WIDTH) -> None:

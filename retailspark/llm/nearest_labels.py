@@ -32,10 +32,10 @@ from retailspark.llm.common import append_columns, map_rows, staged
 EXAMPLES = 16_384
 TERMS = 1024
 LEAST_DOCS = 5  # examples that a term must occur in
-LEAST_CHI2 = 24.0  # about one in a million by chance
+LEAST_CHI2 = 10.0  # once in six hundred words by chance
 BLOCK = 64
-NEAREST = 15
-PRIOR = 0.25
+NEAREST = 25
+PRIOR = 0.5
 HELD_OUT = 5
 
 _WORD = re.compile(r"[^\W\d_]+")

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailspark.llm import (
-    host_rules, huffman, near_copies, nearest_labels, packing, personal_data, prefix_bpe, separators, small_world,
+    host_rules, huffman, licences, near_copies, nearest_labels, packing, personal_data, prefix_bpe, separators, small_world,
 )
 from retailspark.llm.common import table
 from retailspark.session import scratch_folder
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence paragraphs of all documents."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, file, ordinal, start and n_tokens of every document, from flat files scanned for the end id."""
     docs, folder = table(spark, sf_dir, "documents"), scratch_folder(spark, "flat-tokens")
@@ -84,6 +89,7 @@ def op10_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
     "op2_token_counts": op2_token_counts,
     "op3_near_copies": op3_near_copies,
     "op4_packing": op4_packing,

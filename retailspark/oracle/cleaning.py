@@ -128,10 +128,11 @@ SELECT customer_id, {filled('first_name')} AS first_name, {filled('last_name')}
 ORDER_TOTALS = """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
        CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 4 END AS BIGINT) AS order_status,
-       o_orderdate AS order_date, o_custkey % 25 AS store_id,
+       o_orderdate AS order_date, CAST(c_nationkey AS BIGINT) AS store_id,
        coalesce(CAST(sum(i.total_price) AS DOUBLE), 0) AS order_total,
        count(i.order_id) AS line_count, CAST(coalesce(sum(i.quantity), 0) AS BIGINT) AS unit_count
-FROM orders LEFT JOIN v_order_items i ON i.order_id = o_orderkey GROUP BY ALL"""
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+LEFT JOIN v_order_items i ON i.order_id = o_orderkey GROUP BY ALL"""
 
 ORACLES = {
     "cln_standardise_names": over_dirty(

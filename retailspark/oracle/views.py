@@ -24,7 +24,9 @@ v_customers AS (
   SELECT c_custkey AS customer_id, c_name AS full_name, lower(c_name) || '@example.com' AS email,
          lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS phone, n_name AS city, r_name AS state,
          lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS zip_code
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+  FROM (SELECT c_custkey, c_name, c_nationkey FROM customer
+        UNION ALL SELECT s_suppkey + 1000000000000, s_name, s_nationkey FROM supplier)
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 v_order_items AS (
   SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS item_id, l_partkey AS product_id,
          CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice / l_quantity AS list_price,
@@ -34,16 +36,16 @@ v_order_items AS (
 v_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
          CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'F' THEN 4 END AS BIGINT) AS order_status,
-         o_orderdate AS order_date, o_custkey % 25 AS store_id,
+         o_orderdate AS order_date,
+         (SELECT CAST(c_nationkey AS BIGINT) FROM customer WHERE c_custkey = o_custkey) AS store_id,
          (SELECT min(l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS staff_id,
          coalesce((SELECT sum(total_price) FROM v_order_items i WHERE i.order_id = o_orderkey), 0)
            AS order_total
   FROM orders),
 v_stocks AS (
-  SELECT l_suppkey % 25 AS store_id, l_partkey AS product_id,
+  SELECT CAST(s_nationkey AS BIGINT) AS store_id, l_partkey AS product_id,
          CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
-  FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '2001-01-01'
-  GROUP BY ALL)
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
 """
 
 DIRTY = """
@@ -93,7 +95,7 @@ d_orders AS (
          CASE WHEN o_orderkey % 20 = 0 THEN strftime(o_orderdate - INTERVAL 3 DAY, '%Y-%m-%d')
               ELSE strftime(o_orderdate + INTERVAL 7 DAY, '%Y-%m-%d') END AS required_date,
          CASE WHEN o_orderstatus <> 'O' THEN strftime(o_orderdate + INTERVAL 2 DAY, '%Y-%m-%d') END AS shipped_date,
-         CAST(o_custkey % 25 AS VARCHAR) AS store_id, CAST(o_orderkey % 100 AS VARCHAR) AS staff_id FROM b),
+         CAST((SELECT c_nationkey FROM customer WHERE c_custkey = o_custkey) AS VARCHAR) AS store_id, CAST(o_orderkey % 100 AS VARCHAR) AS staff_id FROM b),
 d_order_items AS (
   WITH b AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 200 = 1)
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
@@ -129,8 +131,8 @@ d_stocks AS (
 """
 
 
-def over_clean(body: str) -> str:
-    return f"WITH {CLEAN}\n{body}"
+def over_clean(body: str, more: str = "") -> str:
+    return f"WITH {CLEAN}{',' if more else ''}{more}\n{body}"
 
 
 def over_dirty(body: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from retailspark.plans import reports
 from retailspark.plans.query import Query
@@ -10,16 +10,15 @@ from retailspark.sources import starschema
 
 # At the volume of the star schema nearly every customer passes the default bounds.
 SEGMENTS = (1_000_000, 3_000_000)
+# About two thirds of what a product has in stock on average.
+LOW_STOCK = 450
 
 
-def _report(fn, since: str | None = None, **params) -> Query:
-    """A report over the retail views, orders optionally from a date on."""
+def _report(fn, **params) -> Query:
+    """A report over the retail views."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         tables = starschema.retail_tables(spark, folder)
-        if since:
-            start = F.lit(since).cast("timestamp_ntz")
-            tables["orders"] = tables["orders"].filter(F.col("order_date") >= start)
         return fn(tables, **params)
 
     return query
@@ -39,34 +38,34 @@ QUERIES: dict[str, Query] = {
     "rpt_monthly": _report(reports.monthly),
     "rpt_monthly_linegrain": _report(reports.monthly_linegrain),
     "rpt_monthly_ordergrain": _report(reports.monthly_ordergrain),
-    "rpt_low_stock": _report(reports.low_stock),
-    "rpt_low_stock_detail": _report(reports.low_stock_detail),
+    "rpt_low_stock": _report(reports.low_stock, low_stock_below=LOW_STOCK),
+    "rpt_low_stock_detail": _report(reports.low_stock_detail, low_stock_below=LOW_STOCK),
     "rpt_store_inventory": _report(reports.store_inventory),
     "rpt_store_inventory_full": _report(reports.store_inventory_full),
     "rpt_staff": _report(reports.staff),
     "rpt_staff_full": _report(reports.staff_full),
     "rpt_best_staff": _report(reports.best_staff),
     "rpt_best_staff_linegrain": _report(reports.best_staff_linegrain),
-    "rpt_customers_no_orders": _report(reports.customers_no_orders, "2001-01-01"),
-    "rpt_customers_no_orders_full": _report(reports.customers_no_orders_full, "2001-01-01"),
+    "rpt_customers_no_orders": _report(reports.customers_no_orders),
+    "rpt_customers_no_orders_full": _report(reports.customers_no_orders_full),
     "rpt_customer_spending": _report(
-        reports.customer_spending, "2000-01-01", segment_bounds=SEGMENTS
+        reports.customer_spending, segment_bounds=SEGMENTS
     ),
     "rpt_customer_spending_full": _report(
-        reports.customer_spending_full, "2000-01-01", segment_bounds=SEGMENTS
+        reports.customer_spending_full, segment_bounds=SEGMENTS
     ),
-    "rpt_spend_overall": _report(reports.spend_overall, "2001-01-01"),
+    "rpt_spend_overall": _report(reports.spend_overall),
     "rpt_retention": _report(reports.retention),
     "rpt_status": _report(reports.status),
     "rpt_status_full": _report(reports.status_full),
     "rpt_kpis": _report(reports.kpis),
     "rpt_kpi_labels": _report(reports.kpi_labels),
     "rpt_series_monthly": _report(reports.series_monthly),
-    "rpt_segment_share": _report(reports.segment_share, "2000-01-01", segment_bounds=SEGMENTS),
+    "rpt_segment_share": _report(reports.segment_share, segment_bounds=SEGMENTS),
     "rpt_category_share": _report(reports.category_share),
     "rpt_status_labels": _report(reports.status_labels),
-    "rpt_low_stock_alert": _report(reports.low_stock_alert),
-    "rpt_inactive_count": _report(reports.inactive_count, "2001-01-01"),
+    "rpt_low_stock_alert": _report(reports.low_stock_alert, low_stock_below=LOW_STOCK),
+    "rpt_inactive_count": _report(reports.inactive_count),
     "rpt_series_staff": _report(reports.series_staff),
     "rpt_series_brand": _report(reports.series_brand),
     "rpt_series_inventory": _report(reports.series_inventory),

@@ -3,7 +3,8 @@
 Names with ``_full`` carry the wider column set of the hand-run script, the plain
 ones that of the report run. Facts are aggregated to the join key before every join
 with a dimension, so no join sees more than one row per key and hot keys combine
-map-side. Table keys are taken as unique, as the load checks require.
+map-side. Orders, products and customers are counted by distinct key where the SQL
+counts distinct keys, so a repeated key does no harm.
 
 ``*_linegrain`` queries and ``monthly`` count an order's total once per line of the
 order: this is what their SQL says, and it inflates revenue. They are computed at
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from retailspark.functions.numbers import exact_sum, money, ratio
 from retailspark.operators.enrich import line_measures
 from retailspark.operators.joins import lookup
-from retailspark.schemas import STATUS_NAMES
+from retailspark.schemas import CUSTOMER_TYPES, SEGMENT_NAMES, STATUS_NAMES
 
 Tables = dict[str, DataFrame]
 
@@ -95,7 +96,7 @@ def _product_group(t: Tables, dim: str, key: str, name: str, full: bool, ignore_
         .join(members, "product_id")
         .groupBy(key)
         .agg(
-            F.count("*").alias("number_of_products"),
+            F.count_distinct("product_id").alias("number_of_products"),
             F.sum("units").alias("total_quantity_sold"),
             F.sum("revenue").alias("revenue"),
             F.sum("priced_lines").alias("priced_lines"),
@@ -167,7 +168,7 @@ def _line_grain_measures() -> dict[str, Column]:
     total = F.col("order_total").cast("decimal(22,4)")
     lines = F.col("line_count").cast("decimal(10,0)")
     return {
-        "orders": F.count("*"),
+        "orders": F.count_distinct("order_id"),
         "revenue": F.sum(total * lines),
         "lines": F.sum(F.when(F.col("order_total").isNotNull(), F.col("line_count"))),
         "units": F.sum("unit_count"),
@@ -176,7 +177,7 @@ def _line_grain_measures() -> dict[str, Column]:
 
 def _order_grain_measures() -> dict[str, Column]:
     return {
-        "orders": F.count("*"),
+        "orders": F.count_distinct("order_id"),
         "revenue": F.sum(F.col("order_total").cast("decimal(22,4)")),
         "totals": F.count("order_total"),
     }
@@ -302,7 +303,8 @@ def _share_of_rows(n: str) -> Column:
 
 
 def _statuses(t: Tables) -> DataFrame:
-    return t["orders"].groupBy("order_status").agg(*_measures(_order_grain_measures()))
+    rows = {**_order_grain_measures(), "orders": F.count("*")}  # rows are counted here, not keys
+    return t["orders"].groupBy("order_status").agg(*_measures(rows))
 
 
 def status(t: Tables) -> DataFrame:
@@ -606,12 +608,12 @@ def customers_no_orders_full(t: Tables) -> DataFrame:
 
 
 def _segment(bounds: tuple[float, float]) -> Column:
-    low, high = bounds
+    (low, high), (none, lower, middle, upper) = bounds, SEGMENT_NAMES
     return (
-        F.when(F.col("total_orders") == 0, "No Orders")
-        .when(F.col("revenue") < low, "Low Spender")
-        .when(F.col("revenue").between(low, high), "Medium Spender")
-        .otherwise("High Spender")
+        F.when(F.col("total_orders") == 0, none)
+        .when(F.col("revenue") < low, lower)
+        .when(F.col("revenue").between(low, high), middle)
+        .otherwise(upper)
     )
 
 
@@ -650,11 +652,14 @@ def spend_overall(t: Tables) -> DataFrame:
     joined = t["customers"].select("customer_id").join(
         _orders_by_customer(t), "customer_id", "left"
     )
-    ordered = F.col("orders").isNotNull()
-    return joined.agg(
+    single = joined.groupBy("customer_id").agg(
+        F.sum("revenue").alias("revenue"), F.sum("totals").alias("totals"),
+        F.max(F.col("orders").isNotNull()).alias("ordered"),
+    )
+    return single.agg(
         F.count("*").alias("total_customers"),
-        F.count_if(ordered).alias("customers_with_orders"),
-        F.count_if(~ordered).alias("customers_without_orders"),
+        F.count_if("ordered").alias("customers_with_orders"),
+        F.count_if(~F.col("ordered")).alias("customers_without_orders"),
         F.sum("revenue").alias("revenue"),
         F.sum("totals").alias("totals"),
     ).select(
@@ -671,11 +676,8 @@ def spend_overall(t: Tables) -> DataFrame:
 
 def retention(t: Tables, integer_avg: bool = True) -> DataFrame:
     """Customers by number of orders: 1, 2 to 3, more."""
-    kind = (
-        F.when(F.col("orders") == 1, "One-time Customer")
-        .when(F.col("orders").between(2, 3), "Occasional Customer")
-        .otherwise("Repeat Customer")
-    )
+    kinds = F.create_map(*(F.lit(x) for pair in CUSTOMER_TYPES.items() for x in pair))
+    kind = kinds[F.least(F.col("orders").cast("int"), F.lit(max(CUSTOMER_TYPES)))]
     per_customer = _orders_by_customer(t).join(
         t["customers"].select("customer_id"), "customer_id"
     )
@@ -704,7 +706,8 @@ def retention(t: Tables, integer_avg: bool = True) -> DataFrame:
 def kpis(t: Tables) -> DataFrame:
     """One row: revenue and orders over all stores, mean order value, customers."""
     none = F.lit(None)
-    by_store = t["orders"].groupBy("store_id").agg(*_measures(_order_grain_measures()))
+    rows = {**_order_grain_measures(), "orders": F.count("*")}
+    by_store = t["orders"].groupBy("store_id").agg(*_measures(rows))
     sold = by_store.join(t["stores"].select("store_id"), "store_id", "left_semi").agg(
         F.sum("revenue").alias("revenue"),
         F.sum("orders").alias("orders"),

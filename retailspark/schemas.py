@@ -235,6 +235,14 @@ NA_TOKENS = [
 # Order status codes and their names.
 STATUS_NAMES = {1: "Pending", 2: "Processing", 3: "Rejected", 4: "Completed"}
 
+# Customers by what they spent (nothing ordered, below, within and above two bounds).
+SEGMENT_NAMES = ("No Orders", "Low Spender", "Medium Spender", "High Spender")
+
+# Customers by number of orders; 4 stands for more.
+CUSTOMER_TYPES = {
+    1: "One-time Customer", 2: "Occasional Customer", 3: "Occasional Customer", 4: "Repeat Customer",
+}
+
 # Fills used by the cleaning recipes.
 UNKNOWN = "Unknown"
 UNKNOWN_EMAIL = "unknown@email.com"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.sources.starschema import (
-    STORES,
+    with_store,
     Views,
     brand_id,
     category_id,
@@ -109,7 +109,7 @@ def orders(spark, folder):
     )
     due = F.when(key % 20 == 0, F.date_sub(day, 3)).otherwise(F.date_add(day, 7))
     status = F.col("o_orderstatus")
-    spoiled = source(spark, folder, "orders").select(
+    spoiled = with_store(source(spark, folder, "orders"), spark, folder).select(
         _text(key).alias("order_id"),
         _text(F.col("o_custkey")).alias("customer_id"),
         F.when(status == "O", "1").when(status == "P", "2").when(status == "F", "4")
@@ -118,7 +118,7 @@ def orders(spark, folder):
         F.date_format(due, "yyyy-MM-dd").alias("required_date"),
         F.when(status != "O", F.date_format(F.date_add(day, 2), "yyyy-MM-dd"))
         .alias("shipped_date"),
-        _text(F.col("o_custkey") % STORES).alias("store_id"),
+        _text(F.col("store_id")).alias("store_id"),
         _text(key % 100).alias("staff_id"),
     )
     return _repeated(spoiled, F.col("order_id").cast("bigint") % 500 == 0)

@@ -1,7 +1,7 @@
 """The nine retail tables as views over a TPC-H-like star schema.
 
-Every view is a projection or an aggregate of the source tables; the only joins
-are with the 25 nations and 5 regions.
+Every view is a projection or an aggregate of the source tables. Stores are nations:
+an order's is that of its customer, a stock's that of the line's supplier.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.functions.numbers import money
 
-STORES = 25
-STOCK_SINCE = "2001-01-01"
+# Suppliers are customers as well, under keys that no order has.
+SUPPLIER_KEYS = 1_000_000_000_000
 
 
 # The source columns, stated so that planning needs no footer read.
@@ -101,7 +101,9 @@ def staffs(spark, folder):
 
 def customers(spark, folder):
     places = _places(spark, folder)
-    customer = source(spark, folder, "customer")
+    customer = source(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
+    supplier = source(spark, folder, "supplier").select(F.col("s_suppkey") + SUPPLIER_KEYS, "s_name", "s_nationkey")
+    customer = customer.unionAll(supplier)
     return customer.join(places, customer.c_nationkey == places.place_id).select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("full_name"),
@@ -125,16 +127,24 @@ def order_items(spark, folder):
     )
 
 
+def with_store(orders: DataFrame, spark, folder) -> DataFrame:
+    """``orders`` with the store_id of their customers; Spark splits a hot customer's partition."""
+    places = source(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("store_id")
+    )
+    return orders.join(places, "o_custkey", "left")
+
+
 def plain_orders(spark, folder):
-    """Orders as they come in: no totals, no staff."""
+    """Orders as they come in: no totals, no staff. The customer's nation is the store."""
     status = F.col("o_orderstatus")
-    return source(spark, folder, "orders").select(
+    return with_store(source(spark, folder, "orders"), spark, folder).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(status == "O", 1).when(status == "P", 2).when(status == "F", 4)
         .cast("bigint").alias("order_status"),
         F.col("o_orderdate").alias("order_date"),
-        (F.col("o_custkey") % STORES).alias("store_id"),
+        "store_id",
     )
 
 
@@ -165,14 +175,15 @@ def orders(spark, folder):
 
 
 def stocks(spark, folder):
-    """Returned units stand in for stock."""
-    returned = source(spark, folder, "lineitem").filter(
-        (F.col("l_returnflag") == "R")
-        & (F.col("l_shipdate") >= F.lit(STOCK_SINCE).cast("timestamp_ntz"))
+    """The units of all lines stand in for stock, in the supplier's nation; summed up before suppliers are looked up."""
+    supplied = source(spark, folder, "lineitem").groupBy("l_suppkey", F.col("l_partkey").alias("product_id")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("units")
+    )
+    supplier = source(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("bigint").alias("store_id")
     )
-    return returned.groupBy(
-        (F.col("l_suppkey") % STORES).alias("store_id"), F.col("l_partkey").alias("product_id")
-    ).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+    placed = supplied.join(supplier, "l_suppkey", "left")
+    return placed.groupBy("store_id", "product_id").agg(F.sum("units").alias("quantity"))
 
 
 VIEWS = {

@@ -6,20 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailspark.llm import packing
+from retailspark.llm import host_rules, near_copies, nearest_labels, packing, personal_data
 from retailspark.llm.common import staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half, by the labels of the corpus."""
+    return nearest_labels.keep(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose host is not rejected."""
+    return host_rules.keep(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the one with the least doc_id."""
+    return near_copies.first_of_each(docs)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in the text replaced by its kind, n_chars counted anew."""
+    return personal_data.redacted(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of the documents that are left."""
+    """Token sequences of the documents that are left, with their ids."""
     return packing.pack(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_low_quality),
+    ("near_copies", drop_near_copies),
+    ("personal_data", hide_personal_data),
     ("packing", pack),
 ]
+# No stage but the base rules can be put in SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL: str | None = None
 
 

@@ -244,10 +244,11 @@ def find(docs: DataFrame) -> DataFrame:
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, the numbers of plain spans by kind, their hash, and all spans as text."""
     rows = find(docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text"))
-    listed = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
+    listed = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    of_kind = lambda kind: lambda s: s["kind"] == kind
     return rows.select(
         "doc_id",
-        *(F.size(F.filter("found_base", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in KINDS),
+        *(F.size(F.filter("found_base", of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS),
         F.sha2(listed("found_base").cast("binary"), 256).alias("base_sha256"), listed("found_all").alias("spans"),
     )
 

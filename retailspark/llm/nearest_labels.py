@@ -5,9 +5,9 @@ are never read. Terms are the words that the labels depend on most, at most ``TE
 Weights are (1 + log tf) * idf, with document frequencies counted over all documents, and vectors have length 1.
 
 The index holds, for each term, its examples in order, cut into blocks of ``BLOCK`` examples with the largest weight in
-each. For a document, the terms' block maxima add up to a bound for each block of examples. Blocks are scored in
-descending order of their bound, until no bound left reaches the ``NEAREST``-th best cosine so far. So the neighbours are
-exact; equal cosines go to the earlier example. A document is never its own neighbour.
+each. For a document, the terms' block maxima add up to a bound for each block of examples. The blocks with the largest
+bounds are scored first; of the others only those whose bound reaches the ``NEAREST``-th best cosine so far. So the
+neighbours are exact; equal cosines go to the earlier example. A document is never its own neighbour.
 
 The vote is sum(w * label) + PRIOR * rate over sum(w) + PRIOR, w being the squared cosine, and is calibrated by isotonic
 regression on the examples, each voted on by the others. The neighbours are returned as evidence.
@@ -34,6 +34,7 @@ TERMS = 1024
 LEAST_DOCS = 5  # examples that a term must occur in
 LEAST_CHI2 = 10.0  # once in six hundred words by chance
 BLOCK = 64
+FIRST_BLOCKS = 8  # scored before the first threshold is known
 NEAREST = 25
 PRIOR = 0.5
 HELD_OUT = 5
@@ -66,32 +67,42 @@ class Index:
                 lists[t][0].append(i)
                 lists[t][1].append(w)
         self.lists = [(np.array(i, np.int64), np.array(w)) for i, w in lists]
+        self.blocks = [i // BLOCK for i, _ in self.lists]
         self.most = np.zeros((n_terms, blocks))
-        self.cuts = []
-        for t, (i, w) in enumerate(self.lists):
-            np.maximum.at(self.most[t], i // BLOCK, w)
-            self.cuts.append(np.searchsorted(i, np.arange(blocks + 1) * BLOCK))
+        for t, (_, w) in enumerate(self.lists):
+            np.maximum.at(self.most[t], self.blocks[t], w)
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of largest positive cosine with a unit vector, nearest first, but for ``without``."""
         terms = [(t, q) for t, q in query.items() if len(self.lists[t][0])]
         if not terms:
             return []
-        bounds = sum(q * self.most[t] for t, q in terms)
+        numbers, weights = [t for t, _ in terms], np.array([q for _, q in terms])
+        bounds = weights @ self.most[numbers]
         order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        best: list[tuple[float, int]] = []
-        for block in order.tolist():
-            if len(best) == k and bounds[block] < best[-1][0] - 1e-12:
+        scores, done = np.zeros(self.size), 0
+        best, kth, step = np.zeros(0, np.int64), 0.0, FIRST_BLOCKS
+        while done < len(order):
+            # The next blocks in order of their bounds, and then all that can still reach the k-th best.
+            turn = order[done : done + step]
+            turn = turn[(bounds[turn] > 0) & (bounds[turn] >= kth - 1e-12)]
+            if not len(turn):
                 break
-            scores = np.zeros(BLOCK)
+            chosen = np.zeros(len(bounds), bool)
+            chosen[turn] = True
             for t, q in terms:
-                lo, hi = self.cuts[t][block], self.cuts[t][block + 1]
-                if lo < hi:
-                    scores[self.lists[t][0][lo:hi] - block * BLOCK] += q * self.lists[t][1][lo:hi]
-            found = [(s, block * BLOCK + i) for i, s in enumerate(scores.tolist()) if s > 0 and block * BLOCK + i != without]
-            best = sorted(best + found, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+                ids, values = self.lists[t]
+                inside = chosen[self.blocks[t]]
+                scores[ids[inside]] += q * values[inside]
+            if 0 <= without < self.size:
+                scores[without] = 0
+            done, step = done + step, len(order)
+            best = np.flatnonzero(scores > 0)
+            if len(best) > k:
+                kth = float(np.partition(scores[best], -k)[-k])
+                best = best[scores[best] >= kth]
+        best = best[np.lexsort((best, -scores[best]))][:k]
+        return list(zip(scores[best].tolist(), best.tolist()))
 
 
 class Isotonic:

@@ -6,20 +6,32 @@ from pyspark.sql import Column, functions as F
 
 EARLIEST_YEAR = 1900
 LATEST_YEAR = 2025
+NAMED_MONTHS = ("MMM d, yyyy", "MMMM d, yyyy", "d-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy")
 
 
 def parse_timestamp(c: Column, dtype: str = "string", formats: tuple[str, ...] = ()) -> Column:
     """Timestamp of ``c`` or NULL.
 
-    Reads ISO dates and times, ``yyyy/MM/dd`` and ``M/d/yyyy``; ``formats`` adds
-    further datetime patterns, tried in order afterwards.
+    Reads ISO dates and times, ``yyyy/MM/dd``, ``yyyyMMdd``, and dates with month names. Dates
+    of two small numbers and a year are month first, or day first if the first number is over 12;
+    a year of two digits lies in 1969..2068. ``formats`` adds further datetime patterns, tried in
+    order afterwards.
     """
     if dtype in ("timestamp", "timestamp_ntz", "date"):
         return c.cast("timestamp_ntz")
     text = F.trim(c)
     iso = F.regexp_replace(text, r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", "$1-$2-$3")
-    iso = F.regexp_replace(iso, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+    short = r"^[0-9]{1,2}[/-][0-9]{1,2}[/-](?=%s$)"
+    iso = F.regexp_replace(iso, short % "(?:69|[7-9][0-9])", "$019")
+    iso = F.regexp_replace(iso, short % "[0-6][0-9]", "$020")
+    iso = F.regexp_replace(iso, r"^(1[3-9]|2[0-9]|3[01])[/-]([0-9]{1,2})[/-]([0-9]{4})", "$3-$2-$1")
+    iso = F.regexp_replace(iso, r"^([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})", "$3-$1-$2")
     attempts = [F.when(iso.rlike(r"^[0-9]{4}-"), iso).try_cast("timestamp_ntz")]
+    attempts += [
+        F.when(text.rlike("[A-Za-z]"), F.try_to_timestamp(text, F.lit(f))).cast("timestamp_ntz")
+        for f in NAMED_MONTHS
+    ]
     attempts += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*attempts)
 

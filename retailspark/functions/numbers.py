@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Text no number is made of, although the JVM would parse some of it: type suffixes
-# and hex ('5d', '0x1p3'), NaN, infinities, and exponents of 100 and more, which
-# lead to one.
-_NO_NUMBER = r"[dDfFnNxX]|[eE][+]?[0-9]{3}"
+# and hex ('5d', '0x1p3'), NaN and Infinity by name.
+_NO_NUMBER = r"[dDfFnNxX]"
 _NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -18,7 +17,8 @@ def is_number_type(dtype: str) -> bool:
 def number(c: Column, dtype: str = "string") -> Column:
     """DOUBLE value of ``c``; NULL for text that is no number, NaN and infinity."""
     if not is_number_type(dtype):
-        return F.when(~c.rlike(_NO_NUMBER), c.try_cast("double"))
+        value = c.try_cast("double")
+        return F.when(~c.rlike(_NO_NUMBER) & is_finite(value), value)
     if dtype in ("float", "double"):
         return F.when(is_finite(c), c.cast("double"))
     return c.cast("double")
@@ -55,8 +55,11 @@ def required(parsed: Column, raw: Column, label: str) -> Column:
 
 
 def money(c: Column) -> Column:
-    """Line money as an exact decimal, so that sums do not depend on row order."""
-    return c.cast("decimal(18,4)")
+    """Line money as an exact decimal, so that sums do not depend on row order.
+
+    A line of 1e20 and more fails the job rather than lose digits.
+    """
+    return c.cast("decimal(28,8)")
 
 
 def exact_sum(c: Column) -> Column:

@@ -53,7 +53,7 @@ def drop_null_keys(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(v).cast(_type(df, c))) for c, v in defaults.items()}
+        {c: F.coalesce(_given(df, c), F.lit(v).cast(_type(df, c))) for c, v in defaults.items()}
     )
 
 
@@ -128,12 +128,35 @@ def repair_dates(
     columns: Iterable[str],
     mode: str = "repair",
     latest: int = dates.LATEST_YEAR,
+    formats: tuple[str, ...] = (),
 ) -> DataFrame:
-    return df.withColumns({c: repaired(df, c, mode, latest) for c in columns})
+    return df.withColumns({c: repaired(df, c, mode, latest, formats) for c in columns})
 
 
-def repaired(df: DataFrame, name: str, mode: str, latest: int) -> Column:
-    return dates.repair_year(dates.parse_timestamp(F.col(name), _type(df, name)), mode, latest)
+def repaired(
+    df: DataFrame, name: str, mode: str, latest: int, formats: tuple[str, ...] = ()
+) -> Column:
+    return dates.repair_year(read_date(df, name, formats), mode, latest)
+
+
+def read_date(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:
+    return dates.parse_timestamp(F.col(name), _type(df, name), formats)
+
+
+def count_unread_dates(
+    df: DataFrame, table: str, columns: Iterable[str], formats: tuple[str, ...] = ()
+) -> DataFrame:
+    """(table_name, column_name, unread): values that are there but no date that can be read."""
+    columns = list(columns)
+    counts = df.agg(
+        *[F.count_if(F.col(c).isNotNull() & read_date(df, c, formats).isNull()).alias(c) for c in columns]
+    )
+    return counts.select(
+        F.lit(table).alias("table_name"),
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("unread")) for c in columns])
+        ).alias("x"),
+    ).select("table_name", "x.*")
 
 
 def count_invalid_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -155,6 +178,13 @@ def row_delta(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
     return totals.select(F.lit(name).alias("table_name"), "*")
 
 
+def _given(df: DataFrame, name: str) -> Column:
+    """The value, or NULL for NaN as well."""
+    if _type(df, name) in ("float", "double"):
+        return F.nullif(F.col(name), F.lit(float("nan")).cast(_type(df, name)))
+    return F.col(name)
+
+
 def _type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 

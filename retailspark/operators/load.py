@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.functions import dates, numbers
+from retailspark.operators import constraints
 from retailspark.schemas import TABLES, Table
 
-LOG_SCHEMA = "position int, table_name string, rows_appended bigint, rows_after bigint, ok boolean"
+LOG_SCHEMA = (
+    "position int, table_name string, rows_appended bigint, rows_after bigint, ok boolean, error string"
+)
 REPORT_LOG_SCHEMA = "report string, row_count bigint, written boolean, error string"
 
 
@@ -67,10 +70,36 @@ def _target(df: DataFrame, table: Table, name: str) -> Column:
     return c.cast("string")
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """The columns of table ``name``, in order and typed; absent ones are NULL."""
+def conform(df: DataFrame, name: str, strict: bool = False) -> DataFrame:
+    """The columns of table ``name``, in order and typed; absent ones are NULL.
+
+    ``strict`` fails the job on a value that its type or length cannot hold.
+    """
     table = TABLES[name]
-    return df.select(*[_target(df, table, c).alias(c) for c in table.columns])
+    if not strict:
+        return df.select(*[_target(df, table, c).alias(c) for c in table.columns])
+    columns = []
+    for c in table.columns:
+        value = _target(df, table, c)
+        if c in df.columns:
+            bad = F.col(c).isNotNull() & value.isNull()
+            if c in table.lengths:
+                bad = bad | (F.length(c) > table.lengths[c])
+            cause = F.concat(F.lit(f"{name}.{c} cannot hold: "), F.left(F.col(c).cast("string"), F.lit(100)))
+            value = F.when(bad, F.raise_error(cause)).otherwise(value)
+        columns.append(value.alias(c))
+    return df.select(*columns)
+
+
+def refused(df: DataFrame, name: str) -> str | None:
+    """Why the table's constraints refuse the rows on their own: keys that repeat, or NULL where none may be."""
+    keys = constraints.key_violations({name: df}).first()
+    if keys.repeated_keys or keys.null_key_rows:
+        return f"{name}: {keys.repeated_keys} repeated keys, {keys.null_key_rows} rows without a full key"
+    for row in constraints.not_null_violations({name: df}).collect() if TABLES[name].not_null else ():
+        if row.null_rows:
+            return f"{name}.{row.column_name}: {row.null_rows} NULLs"
+    return None
 
 
 def conformance(df: DataFrame, name: str) -> DataFrame:
@@ -100,11 +129,13 @@ def create_tables(spark: SparkSession, database: str, location: str) -> None:
 
 
 def append_tables(
-    tables: Mapping[str, DataFrame], database: str, spark: SparkSession
+    tables: Mapping[str, DataFrame], database: str, spark: SparkSession, check: bool = True
 ) -> DataFrame:
-    """Append to the target tables, parents first; stops at the first failure.
+    """Append to the target tables, parents first; stops at the first failure and logs its cause.
 
-    Absent tables are skipped. Tables appended before a failure stay loaded.
+    Absent tables are skipped. Tables appended before a failure stay loaded. Values that a column cannot hold,
+    repeated or NULL keys and NULLs in NOT NULL columns are refused unless ``check`` is off. They are looked for in
+    the old and new rows together, before anything is written.
     """
     log = []
     for position, name in enumerate(TABLES, start=1):
@@ -113,12 +144,16 @@ def append_tables(
         target = f"{database}.{name}"
         before = spark.table(target).count()
         try:
-            conform(tables[name], name).write.mode("append").format("parquet").saveAsTable(target)
-        except Exception:
-            log.append((position, name, 0, before, False))
+            rows = conform(tables[name], name, strict=check)
+            cause = refused(rows.unionByName(spark.table(target)), name) if check else None
+            if cause:
+                raise ValueError(cause)
+            rows.write.mode("append").format("parquet").saveAsTable(target)
+        except Exception as error:  # the cause goes to the log
+            log.append((position, name, 0, before, False, str(error)[:2000]))
             break
         after = spark.table(target).count()
-        log.append((position, name, after - before, after, True))
+        log.append((position, name, after - before, after, True, None))
     return spark.createDataFrame(log, LOG_SCHEMA)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from retailspark.functions import dates, numbers
 from retailspark.functions.numbers import pct
 from retailspark.operators.clean import standard_name
+from retailspark.session import scratch_folder
 
 FINDING_COLUMNS = [
     "table_name",
@@ -76,32 +77,27 @@ def _finding(
 
 @dataclass
 class _Source:
-    """A table under neutral column names, each row standing for ``weight`` rows."""
+    """A table under neutral column names."""
 
     df: DataFrame
     names: list[str]
     types: list[str]
-    weight: str
     numeric: set[int] = field(default_factory=set)
 
     @classmethod
     def rows(cls, df: DataFrame) -> _Source:
-        return cls(_positional(df), df.columns, [t for _, t in df.dtypes], "1")
-
-    @classmethod
-    def distinct_rows(cls, df: DataFrame) -> _Source:
-        grouped = _positional(df)
-        grouped = grouped.groupBy(*grouped.columns).agg(F.count("*").alias("copies"))
-        return cls(grouped, df.columns, [t for _, t in df.dtypes], "copies")
+        return cls(_positional(df), df.columns, [t for _, t in df.dtypes])
 
     def count(self, condition: str) -> str:
-        return f"coalesce(sum(case when {condition} then {self.weight} end), 0)"
+        return f"count_if({condition})"
 
     def total(self) -> str:
-        return f"coalesce(sum({self.weight}), 0)"
+        return "count(1)"
 
     def nulls(self, i: int) -> str:
-        return self.count(f"c{i} is null")
+        """Missing values: NULL, and NaN where a column can hold it."""
+        nan = f" or isnan(c{i})" if self.types[i] in ("float", "double") else ""
+        return self.count(f"c{i} is null{nan}")
 
     def number(self, i: int) -> str:
         """Name of the DOUBLE reading of column ``i``."""
@@ -120,7 +116,32 @@ class _Source:
             f"n{i}": numbers.number(F.col(f"c{i}"), self.types[i]) for i in sorted(self.numeric)
         }
         df = self.df.withColumns(readings) if readings else self.df
-        return df.selectExpr(*[f"{sql} as {name}" for name, sql in aggregates.items()])
+        plain = {name: sql for name, sql in aggregates.items() if sql != EXTRA}
+        found = df.selectExpr(*[f"{sql} as {name}" for name, sql in plain.items()])
+        if len(plain) == len(aggregates):
+            return found
+        # Two single rows made one.
+        extra = extra_copies(self.df).toDF("extra")
+        both = found.unionByName(extra, allowMissingColumns=True)
+        return both.agg(*[F.max(name).alias(name) for name in aggregates])
+
+
+EXTRA = "extra copies"  # an aggregate that takes passes of its own
+
+
+def extra_copies(df: DataFrame) -> DataFrame:
+    """One row: how many rows equal another one, less one of each kind.
+
+    Two hashes of each row are counted first, so whole rows travel only where both
+    hashes repeat.
+    """
+    hashes = {"_h1": F.xxhash64(*df.columns), "_h2": F.hash(*df.columns)}
+    repeated = df.select(*[h.alias(n) for n, h in hashes.items()]).groupBy(*hashes).agg(
+        F.count("*").alias("n")
+    ).filter("n > 1")
+    suspects = df.withColumns(hashes).join(repeated, list(hashes), "left_semi")
+    kinds = suspects.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    return kinds.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"))
 
 
 def _positional(df: DataFrame) -> DataFrame:
@@ -148,7 +169,7 @@ def _names_check(s: _Source) -> Check:
 
 def _duplicates_check(s: _Source) -> Check:
     return Check(
-        {"rows": s.total(), "extra": f"coalesce(sum({s.weight} - 1), 0)"},
+        {"rows": s.total(), "extra": EXTRA},
         [_finding(DUPLICATES, "extra > 0", "extra", share=_share("extra"))],
     )
 
@@ -286,8 +307,8 @@ def _run(s: _Source, table: str, checks: list[Check]) -> DataFrame:
 def profile_table(
     df: DataFrame, table: str, nullable_int_is_drift: bool = False
 ) -> DataFrame:
-    """All findings of one table: one scan, one shuffle of its distinct rows."""
-    s = _Source.distinct_rows(df)
+    """All findings of one table: one aggregate, and row hashes for the duplicates."""
+    s = _Source.rows(df)
     checks = [
         _names_check(s),
         _duplicates_check(s),
@@ -316,7 +337,7 @@ def column_names(df: DataFrame, table: str) -> DataFrame:
 
 
 def duplicates(df: DataFrame, table: str) -> DataFrame:
-    s = _Source.distinct_rows(df)
+    s = _Source.rows(df)
     return _run(s, table, [_duplicates_check(s)])
 
 
@@ -411,14 +432,21 @@ def shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Number of distinct values per column, NULL left out."""
-    values = _long(df, columns).distinct()
-    return (
-        values.groupBy("column_name")
-        .agg(F.count("*").alias("distinct_values"))
-        .select(F.lit(table).alias("table_name"), "column_name", "distinct_values")
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counts = _long(texts, columns).distinct().groupBy("column_name").agg(F.count("*").alias("n"))
+    return _every(df, columns).join(F.broadcast(counts), "column_name", "left").select(
+        F.lit(table).alias("table_name"),
+        "column_name",
+        F.coalesce("n", F.lit(0)).alias("distinct_values"),
     )
 
 
+def _every(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column asked for, so that one without any value is reported too."""
+    names = F.array(*[F.lit(c) for c in columns])
+    return df.sparkSession.range(1).select(F.explode(names).alias("column_name"))
+
+
 def value_counts(df: DataFrame, table: str, column: str) -> DataFrame:
     """Values of a column with their counts, most frequent first, NULL left out."""
     value = F.col(column).cast("string").alias("value")
@@ -428,29 +456,31 @@ def value_counts(df: DataFrame, table: str, column: str) -> DataFrame:
     ).orderBy(F.desc("count"), "value")
 
 
+ORPHAN_PARTS = 64
+
+
 def orphans(
     child: DataFrame, child_table: str, child_key: str, parent: DataFrame, parent_table: str,
     parent_key: str, examples: int = 5,
 ) -> DataFrame:
     """One row: number of distinct child keys without a parent, and the first few.
 
-    Keys are made distinct before the join, and only the top ``examples`` are
-    collected into the text.
+    Keys are made distinct before the join, and the lost ones are gone through once.
     """
     keys = child.select(F.col(child_key).alias("k")).filter("k is not null").distinct()
     parents = parent.select(F.col(parent_key).alias("k"))
     lost = keys.join(parents, "k", "left_anti")
-    count = lost.agg(F.count("*").alias("n"), F.lit(None).cast("string").alias("e"))
-    first = lost.orderBy("k").limit(examples)
-    listed = first.agg(
-        F.lit(0).cast("bigint").alias("n"),
-        F.array_join(F.sort_array(F.collect_list("k")).cast("array<string>"), ", ").alias("e"),
-    )
+    # Each task keeps its first few; a handful of rows a task is left to merge.
+    part = Window.partitionBy("_part").orderBy("k")
+    numbered = lost.withColumn("_part", F.pmod(F.xxhash64("k"), F.lit(ORPHAN_PARTS)))
+    numbered = numbered.withColumn("_n", F.row_number().over(part))
+    merged = numbered.groupBy("_part").agg(
+        F.count("*").alias("n"), F.collect_list(F.when(F.col("_n") <= examples, F.col("k"))).alias("first")
+    ).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphaned_keys"), F.flatten(F.collect_list("first")).alias("first"))
     relationship = F.lit(f"{child_table}.{child_key} -> {parent_table}.{parent_key}")
-    return (
-        count.unionByName(listed)
-        .agg(F.max("n").alias("orphaned_keys"), F.max("e").alias("examples"))
-        .select(relationship.alias("relationship"), "*")
+    first = F.slice(F.sort_array("first"), 1, examples).cast("array<string>")
+    return merged.select(
+        relationship.alias("relationship"), "orphaned_keys", F.array_join(first, ", ").alias("examples")
     )
 
 
@@ -483,30 +513,30 @@ def describe(df: DataFrame, table: str, columns: list[str], exact: bool = True)
     sketch = F.percentile_approx(value, [float(c) for c in cuts], ACCURACY)
     basic = values.groupBy("column_name").agg(
         n.alias("n"),
-        F.sum(value.try_cast("decimal(28,8)")).alias("exact_sum"),
-        F.avg(value).alias("float_mean"),
-        F.round(F.stddev_samp(value), 4).alias("std"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
         sketch.alias("cuts"),
     )
-    # The decimal sum does not depend on row order, but holds values below 1e20 only.
-    fits = F.greatest(F.abs("min_value"), F.abs("max_value")) < 1e20
-    exact_mean = F.col("exact_sum").cast("double") / F.col("n")
-    basic = basic.withColumn("mean", F.when(fits, exact_mean).otherwise(F.col("float_mean")))
+    # One row a column, written: it brackets the second scan and gives the first half of the result.
+    folder = scratch_folder(df.sparkSession, "describe")
+    basic.coalesce(1).write.parquet(folder)
+    basic = df.sparkSession.read.schema(basic.schema).parquet(folder)
     if exact:
         quartiles = _exact_quartiles(values, basic)
-        result = basic.join(quartiles, "column_name")
+        result = basic.join(F.broadcast(quartiles), "column_name")
     else:
         result = basic.withColumns({f"q{i}": F.col("cuts")[3 * i + 1] for i in range(3)})
+    result = _every(df, columns).join(F.broadcast(result), "column_name", "left")
     return result.select(
         F.lit(table).alias("table_name"),
         "column_name",
-        F.col("n").alias("value_count"),
-        F.round("mean", 6).alias("mean"),
+        F.coalesce("n", F.lit(0)).alias("value_count"),
+        "mean",
         "std",
         "min_value",
-        *[F.round(f"q{i}", 6).alias(f"q{int(q * 100)}") for i, q in enumerate(QUARTILES)],
+        *[F.col(f"q{i}").alias(f"q{int(q * 100)}") for i, q in enumerate(QUARTILES)],
         "max_value",
     )
 
@@ -647,10 +677,10 @@ def score(findings: DataFrame) -> DataFrame:
 
 def table_score(df: DataFrame, table: str) -> DataFrame:
     """100 less the share of NULL cells (30 at most) and of repeated rows (20 at most)."""
-    s = _Source.distinct_rows(df)
+    s = _Source.rows(df)
     cells = " + ".join(s.nulls(i) for i in range(len(s.names)))
     stats = s.aggregate(
-        {"rows": s.total(), "extra": f"coalesce(sum({s.weight} - 1), 0)", "nulls": cells}
+        {"rows": s.total(), "extra": EXTRA, "nulls": cells}
     )
     rows = F.col("rows").cast("double")
     null_share = F.col("nulls") * 100.0 / (rows * len(s.names))

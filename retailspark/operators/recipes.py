@@ -140,11 +140,12 @@ def stage_table(
     on_bad: str = "raise",
     year_mode: str = "repair",
     latest_year: int = dates.LATEST_YEAR,
+    date_formats: tuple[str, ...] = (),
 ) -> Staged:
     """Prepare the recipe of table ``name`` for ``df``.
 
     ``on_bad="quarantine"`` treats strict columns like safe ones instead of
-    failing the job.
+    failing the job. ``date_formats`` are tried on dates that are not read otherwise.
     """
     if on_bad not in ("raise", "quarantine"):
         raise ValueError(f"on_bad must be 'raise' or 'quarantine', not {on_bad!r}")
@@ -192,7 +193,7 @@ def stage_table(
             if on_bad == "raise" and c in recipe.strict_integers + recipe.strict_decimals:
                 columns[c] = numbers.required(parsed[c], value(c), f"{name}.{c}")
         elif c in recipe.timestamps:
-            columns[c] = steps.repaired(df, c, year_mode, latest_year)
+            columns[c] = steps.repaired(df, c, year_mode, latest_year, date_formats)
         elif c == "phone" and recipe.phone:
             phone = value(c)
             columns[c] = text.digits_only(

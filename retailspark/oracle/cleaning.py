@@ -14,8 +14,12 @@ def whole(x: str) -> str:
 
 
 def parsed(x: str) -> str:
-    formats = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%m/%d/%Y", "%Y/%m/%d"]
-    return "coalesce(" + ", ".join(f"try_strptime({x}, '{f}')" for f in formats) + ")"
+    formats = [
+        "%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d", "%b %d, %Y", "%d-%b-%Y", "%m-%d-%Y", "%m/%d/%Y", "%d/%m/%Y",
+    ]
+    short = f"WHEN {x} SIMILAR TO '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}' THEN try_strptime({x}, '%m/%d/%y')"
+    compact = f"WHEN {x} SIMILAR TO '[0-9]{{8}}' THEN try_strptime({x}, '%Y%m%d')"
+    return f"CASE {short} {compact} ELSE coalesce(" + ", ".join(f"try_strptime({x}, '{f}')" for f in formats) + ") END"
 
 
 def repaired(x: str, mode: str = "repair") -> str:

@@ -198,21 +198,28 @@ LABEL = """CASE check_name WHEN 'names' THEN 'columns' WHEN 'duplicates' THEN 'd
  ELSE 'quality' END"""
 
 
+EXTRA = {"products": ", list_price * 1e-12 AS tiny, CAST(NULL AS DOUBLE) AS void"}
+
+
+def digits(x: str) -> str:
+    """Nine significant digits."""
+    return f"CAST(printf('%.8e', {x}) AS DOUBLE)"
+
+
 def describe(table: str, column: str) -> str:
     c = f"CAST({column} AS DOUBLE)"
     return (
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, count({column}) AS value_count,"
-        f" round(CAST(sum(CAST({c} AS DECIMAL(28,8))) AS DOUBLE) / count({column}), 6) AS mean,"
-        f" round(stddev_samp({c}), 4) AS std, min({c}) AS min_value,"
+        f" {digits(f'avg({c})')} AS mean, {digits(f'stddev_samp({c})')} AS std, min({c}) AS min_value,"
         + ", ".join(
-            f" round(quantile_cont({c}, {q}), 6) AS q{int(q * 100)}" for q in (0.25, 0.5, 0.75)
+            f" {digits(f'quantile_cont({c}, {q})')} AS q{int(q * 100)}" for q in (0.25, 0.5, 0.75)
         )
-        + f", max({c}) AS max_value FROM v_{table}"
+        + f", max({c}) AS max_value FROM (SELECT *{EXTRA.get(table, '')} FROM v_{table})"
     )
 
 
 NUMERIC = {
-    "products": ["product_id", "list_price"],
+    "products": ["product_id", "list_price", "tiny", "void"],
     "order_items": ["order_id", "product_id", "quantity", "list_price", "discount"],
     "stocks": ["store_id", "product_id", "quantity"],
 }
@@ -331,6 +338,8 @@ UNION ALL SELECT 'order_items', 'discount', min({num('discount')}), max({num('di
     "dq_nunique": over_clean("""
 SELECT 'products' AS table_name, 'brand_id' AS column_name, count(DISTINCT brand_id) AS distinct_values FROM v_products
 UNION ALL SELECT 'products', 'category_id', count(DISTINCT category_id) FROM v_products
+UNION ALL SELECT 'products', 'category_name', count(DISTINCT category_name) FROM v_products
+UNION ALL SELECT 'products', 'void', 0
 UNION ALL SELECT 'orders', 'customer_id', count(DISTINCT o_custkey) FROM orders"""),
     "dq_value_counts": over_clean("""
 SELECT 'orders' AS table_name, 'order_status' AS column_name, CAST(order_status AS VARCHAR) AS value,

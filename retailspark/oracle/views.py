@@ -91,6 +91,12 @@ d_orders AS (
               WHEN o_orderkey % 10 = 3 THEN strftime(o_orderdate, '%-m/%-d/%Y')
               WHEN o_orderkey % 10 = 7 THEN strftime(o_orderdate, '%Y/%m/%d')
               WHEN o_orderkey % 10 = 9 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+              WHEN o_orderkey % 10 = 1 AND day(o_orderdate) > 12 THEN strftime(o_orderdate, '%d/%m/%Y')
+              WHEN o_orderkey % 10 = 2 THEN strftime(o_orderdate, '%Y%m%d')
+              WHEN o_orderkey % 10 = 4 THEN strftime(o_orderdate, '%b %-d, %Y')
+              WHEN o_orderkey % 10 = 5 THEN strftime(o_orderdate, '%d-%b-%Y')
+              WHEN o_orderkey % 10 = 6 THEN strftime(o_orderdate, '%m-%d-%Y')
+              WHEN o_orderkey % 10 = 8 THEN strftime(o_orderdate, '%-m/%-d/%y')
               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
          CASE WHEN o_orderkey % 20 = 0 THEN strftime(o_orderdate - INTERVAL 3 DAY, '%Y-%m-%d')
               ELSE strftime(o_orderdate + INTERVAL 7 DAY, '%Y-%m-%d') END AS required_date,
@@ -103,6 +109,7 @@ d_order_items AS (
               ELSE CAST(l_linenumber AS VARCHAR) END AS item_id,
          CAST(l_partkey AS VARCHAR) AS product_id,
          CASE WHEN l_partkey % 33 = 0 THEN '-1' WHEN l_partkey % 35 = 0 THEN '0'
+              WHEN l_partkey % 37 = 0 THEN CAST(l_quantity AS BIGINT) || 'E+000'
               ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity,
          CAST(CAST(l_extendedprice / l_quantity AS DECIMAL(18,8)) AS VARCHAR) AS list_price,
          CASE WHEN l_partkey % 60 = 0 THEN '1.5' ELSE CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) END AS discount

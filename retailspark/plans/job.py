@@ -30,16 +30,30 @@ def run(
     gated: bool = False,
     database: str | None = None,
     encoding: str | None = None,
+    multiline: bool = False,
+    on_malformed: str = "raise",
+    on_violation: str = "raise",
+    cleaning_needed: bool = True,
+    cleaned_folder: str | None = None,
     **cleaning_options,
 ) -> DataFrame:
     """Run the stages over ``raw_folder/<table>.csv`` and return the run log.
 
-    Dropped rows stay in ``out_folder/staged/<table>/rejected=true`` with their reason.
-    A failed check or transform ends the run, a failed load or report is only noted.
-    The log is appended to ``out_folder/run_log``. ``gated`` cleans just the tables
-    the check has flagged.
+    Dropped rows stay in ``out_folder/staged/<table>/rejected=true`` with their reason. The cleaned tables go to
+    ``out_folder/cleaned/<run id>``, and only these are loaded and reported on; a run that skips the transform
+    takes ``cleaned_folder`` of an earlier one. A failed stage ends the run. The log is appended to
+    ``out_folder/run_log`` and names missing raw files in the transform's row.
+
+    ``gated`` cleans just the tables the check has flagged and computes just the derived columns that are missing;
+    ``cleaning_needed=False`` cleans none. Broken keys, references, NOT NULL columns and row counts fail the load,
+    unless ``on_violation="report"`` leaves them to ``out_folder/checks``. Raw records with too many or too few
+    fields fail the run, unless ``on_malformed="quarantine"`` puts them into ``out_folder/malformed``.
     """
+    if on_violation not in ("raise", "report"):
+        raise ValueError(f"on_violation must be 'raise' or 'report', not {on_violation!r}")
     run_id = uuid.uuid4().hex
+    cleaned_folder = cleaned_folder or f"{out_folder}/cleaned/{run_id}"
+    notes: dict[str, str] = {}
     database = database or f"retail_{run_id}"
     log: list[tuple] = []
 
@@ -49,14 +63,18 @@ def run(
         start = time.time()
         try:
             rows_in, rows_out = work()
-            ok, error = True, None
+            ok, error = True, notes.get(name)
         except Exception as failure:  # the outcome goes to the log
             rows_in = rows_out = None
             ok, error = False, str(failure)[:2000]
         log.append((run_id, name, ok, rows_in, rows_out, time.time() - start, error))
         return ok
 
-    raw, _ = files.load_raw(spark, raw_folder, encoding=encoding)
+    raw, missing = files.load_raw(
+        spark, raw_folder, encoding=encoding, multiline=multiline, on_malformed=on_malformed
+    )
+    if missing:
+        notes["transform"] = f"raw files missing: {', '.join(missing)}"
 
     def check() -> tuple[int, int]:
         watched, seen = _observed(raw)
@@ -67,28 +85,37 @@ def run(
     def transform() -> tuple[int, int]:
         watched, seen = _observed(raw)
         needed = _gates(spark, out_folder) if gated and "check" not in skip else None
+        derive = _derivations(raw) if gated else {}
+        if on_malformed == "quarantine":
+            for name in raw:
+                files.malformed_records(spark, f"{raw_folder}/{name}.csv", encoding, multiline).write.mode(
+                    "overwrite"
+                ).parquet(f"{out_folder}/malformed/{name}")
         cleaned = {}
         for name, df in watched.items():
-            if needed is None or needed.get(name, True):
+            if cleaning_needed and (needed is None or needed.get(name, True)):
                 staged = recipes.stage_table(name, df, **cleaning_options)
                 cleaned[name] = staged.stored(f"{out_folder}/staged/{name}").clean
             else:
                 cleaned[name] = _typed(name, df)
         # Line totals are stored before the order totals are summed from them.
-        enriched = enrich.enrich_all(cleaned, {"calculate_order_total": False})
-        orders = enriched.pop("orders")
-        load.write_cleaned(enriched, out_folder)
-        items = files.load_cleaned(spark, out_folder, ["order_items"])["order_items"]
-        totals = enrich.add_order_total(orders, items, keep_line_counts=True)
-        load.write_cleaned({"orders": totals}, out_folder)
-        stored = files.load_cleaned(spark, out_folder, cleaned)
+        enriched = enrich.enrich_all(cleaned, {**_able(cleaned, derive), "calculate_order_total": False})
+        orders = enriched.pop("orders", None)
+        load.write_cleaned(enriched, cleaned_folder)
+        if orders is not None:
+            if "order_items" in cleaned and derive.get("calculate_order_total", True):
+                items = files.load_cleaned(spark, cleaned_folder, ["order_items"])["order_items"]
+                orders = enrich.add_order_total(orders, items, keep_line_counts=True)
+            load.write_cleaned({"orders": orders}, cleaned_folder)
+        stored = files.load_cleaned(spark, cleaned_folder, cleaned)
         return _total(seen), _rows(stored)
 
     def load_tables() -> tuple[int, int]:
-        cleaned = files.load_cleaned(spark, out_folder)
+        cleaned = files.load_cleaned(spark, cleaned_folder)
         load.create_tables(spark, database, f"{out_folder}/tables-{run_id}")
-        appended = load.append_tables(cleaned, database, spark).collect()  # nine rows
-        failed = [row.table_name for row in appended if not row.ok]
+        strict = on_violation == "raise"
+        appended = load.append_tables(cleaned, database, spark, strict).collect()  # nine rows
+        failed = [f"{row.table_name}: {row.error}" for row in appended if not row.ok]
         if failed:
             raise RuntimeError(f"load stopped at {failed[0]}")
         target = load.target_tables(spark, database)
@@ -101,10 +128,14 @@ def run(
             "not_null": constraints.not_null_violations(target),
         }.items():
             found.write.mode("overwrite").parquet(f"{out_folder}/checks/{name}")
+        if strict:
+            broken = _violations(spark, f"{out_folder}/checks")
+            if broken:
+                raise RuntimeError(f"constraints broken: {'; '.join(broken)}")
         return _rows(cleaned), sum(row.rows_after for row in appended)
 
     def report() -> tuple[int, int]:
-        tables = files.load_cleaned(spark, out_folder)
+        tables = files.load_cleaned(spark, cleaned_folder)
         builders = {
             name: (lambda fn=fn: fn(tables)) for name, fn in reports.REPORTS.items()
         }
@@ -114,9 +145,8 @@ def run(
             raise RuntimeError(f"reports failed: {', '.join(failed)}")
         return _rows(tables), sum(row.row_count for row in written)
 
-    if stage("check", check) and stage("transform", transform):
-        stage("load", load_tables)
-        stage("report", report)
+    work = {"check": check, "transform": transform, "load": load_tables, "report": report}
+    all(stage(name, work[name]) for name in STAGES)  # ends at the first that fails
 
     entries = spark.createDataFrame(log, LOG_SCHEMA).coalesce(1)
     entries.write.mode("append").parquet(f"{out_folder}/run_log")
@@ -128,6 +158,31 @@ def succeeded(log: DataFrame) -> bool:
     return bool(log.agg(F.min("ok")).first()[0])
 
 
+def _derivations(tables: dict[str, DataFrame]) -> dict[str, bool]:
+    """Which derived columns the raw tables lack, by step: three rows."""
+    return {r.transformation: r.needed for r in profile.transforms_needed(tables).collect()}
+
+
+def _able(tables: dict[str, DataFrame], derive: dict[str, bool]) -> dict[str, bool]:
+    """The steps called for whose tables are there."""
+    needs = {"enrich_products": {"products", "brands", "categories"}, "calculate_item_total": {"order_items"}}
+    return {step: derive.get(step, True) and need <= set(tables) for step, need in needs.items()}
+
+
+def _violations(spark: SparkSession, folder: str) -> list[str]:
+    """What the stored checks found, at most one line a table, reference or column."""
+    keys = spark.read.parquet(f"{folder}/keys").filter("repeated_keys > 0 OR null_key_rows > 0")
+    references = spark.read.parquet(f"{folder}/references").filter("violating_rows > 0")
+    nulls = spark.read.parquet(f"{folder}/not_null").filter("null_rows > 0")
+    counts = spark.read.parquet(f"{folder}/reconcile").filter("NOT ok")
+    return [
+        *(f"{r.table_name} keys" for r in keys.collect()),
+        *(f"{r.reference} ({r.violating_rows} rows)" for r in references.collect()),
+        *(f"{r.table_name}.{r.column_name} NULL" for r in nulls.collect()),
+        *(f"{r.table_name} row count" for r in counts.collect()),
+    ]
+
+
 def _typed(name: str, df: DataFrame) -> DataFrame:
     """A table that skips cleaning: standard names and target types, nothing else."""
     df = standardise_names(df)

@@ -108,7 +108,7 @@ def ranges(spark, folder):
 
 
 NUMERIC = {
-    "products": ["product_id", "list_price"],
+    "products": ["product_id", "list_price", "tiny", "void"],
     "order_items": ["order_id", "product_id", "quantity", "list_price", "discount"],
     "stocks": ["store_id", "product_id", "quantity"],
 }
@@ -116,7 +116,14 @@ NUMERIC = {
 
 def describe(spark, folder):
     tables = starschema.retail_tables(spark, folder)
-    return union_all([profile.describe(tables[n], n, c) for n, c in NUMERIC.items()])
+    # A column of tiny values, and one without any.
+    tables["products"] = tables["products"].withColumns(
+        {"tiny": F.col("list_price") * 1e-12, "void": F.lit(None).cast("double")}
+    )
+    found = union_all([profile.describe(tables[n], n, c) for n, c in NUMERIC.items()])
+    # Means depend on the order of addition in their last digits.
+    digits = {c: F.format_string("%.8e", c).cast("double") for c in ("mean", "std", "q25", "q50", "q75")}
+    return found.withColumns({c: F.when(F.col(c).isNotNull(), v) for c, v in digits.items()})
 
 
 def orphans(spark, folder):
@@ -134,7 +141,11 @@ def distinct_counts(spark, folder):
     tables = starschema.retail_tables(spark, folder)
     return union_all(
         [
-            profile.distinct_counts(tables["products"], "products", ["brand_id", "category_id"]),
+            profile.distinct_counts(
+                tables["products"].withColumn("void", F.lit(None).cast("string")),
+                "products",
+                ["brand_id", "category_id", "category_name", "void"],
+            ),
             profile.distinct_counts(
                 starschema.plain_orders(spark, folder), "orders", ["customer_id"]
             ),

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from retailspark.functions.numbers import exact_sum, money, ratio
+from retailspark.functions.numbers import exact_sum, ratio
 from retailspark.operators.enrich import line_measures
 from retailspark.operators.joins import lookup
 from retailspark.schemas import CUSTOMER_TYPES, SEGMENT_NAMES, STATUS_NAMES
@@ -165,7 +165,7 @@ def _order_grain(t: Tables) -> DataFrame:
 
 def _line_grain_measures() -> dict[str, Column]:
     """What a join with the lines would sum: the order total once per line."""
-    total = F.col("order_total").cast("decimal(22,4)")
+    total = F.col("order_total").cast("decimal(27,8)")
     lines = F.col("line_count").cast("decimal(10,0)")
     return {
         "orders": F.count_distinct("order_id"),
@@ -178,7 +178,7 @@ def _line_grain_measures() -> dict[str, Column]:
 def _order_grain_measures() -> dict[str, Column]:
     return {
         "orders": F.count_distinct("order_id"),
-        "revenue": F.sum(F.col("order_total").cast("decimal(22,4)")),
+        "revenue": F.sum(F.col("order_total").cast("decimal(28,8)")),
         "totals": F.count("order_total"),
     }
 
@@ -398,7 +398,7 @@ def low_stock_detail(t: Tables, low_stock_below: int = LOW_STOCK_BELOW) -> DataF
 
 def _inventory(t: Tables, store_columns: list[str], group: list[str]) -> DataFrame:
     """Stock measures per group of stores; prices and store names by lookup."""
-    prices = t["products"].select("product_id", money(F.col("list_price")).alias("_price"))
+    prices = t["products"].select("product_id", F.col("list_price").cast("decimal(24,8)").alias("_price"))
     stores = t["stores"].select("store_id", *store_columns)
     priced = lookup(t["stocks"], prices, "product_id", F.col("store_id"))
     placed = lookup(priced, stores, "store_id", F.col("product_id"))
@@ -714,7 +714,7 @@ def kpis(t: Tables) -> DataFrame:
         none.cast("bigint").alias("customers"),
     )
     known = t["customers"].agg(
-        none.cast("decimal(38,4)").alias("revenue"),
+        none.cast("decimal(38,8)").alias("revenue"),
         none.cast("bigint").alias("orders"),
         F.count("*").alias("customers"),
     )

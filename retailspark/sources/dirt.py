@@ -105,6 +105,12 @@ def orders(spark, folder):
         .when(key % 10 == 3, F.date_format(day, "M/d/yyyy"))
         .when(key % 10 == 7, F.date_format(day, "yyyy/MM/dd"))
         .when(key % 10 == 9, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+        .when((key % 10 == 1) & (F.dayofmonth(day) > 12), F.date_format(day, "dd/MM/yyyy"))
+        .when(key % 10 == 2, F.date_format(day, "yyyyMMdd"))
+        .when(key % 10 == 4, F.date_format(day, "MMM d, yyyy"))
+        .when(key % 10 == 5, F.date_format(day, "dd-MMM-yyyy"))
+        .when(key % 10 == 6, F.date_format(day, "MM-dd-yyyy"))
+        .when(key % 10 == 8, F.date_format(day, "M/d/yy"))
         .otherwise(iso)
     )
     due = F.when(key % 20 == 0, F.date_sub(day, 3)).otherwise(F.date_add(day, 7))
@@ -134,6 +140,7 @@ def order_items(spark, folder):
     quantity = (
         F.when(part % 33 == 0, "-1")
         .when(part % 35 == 0, "0")
+        .when(part % 37 == 0, F.concat(_text(F.col("l_quantity").cast("bigint")), F.lit("E+000")))
         .otherwise(_text(F.col("l_quantity").cast("bigint")))
     )
     discount = F.when(part % 60 == 0, "1.5").otherwise(_plain(F.col("l_discount"), 2))

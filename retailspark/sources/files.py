@@ -24,22 +24,53 @@ def pick_encoding(spark: SparkSession, path: str) -> str:
     return "ISO-8859-1" if has_invalid_utf8(spark, path) else "UTF-8"
 
 
+RECORD = "_malformed_record"
+
+
 def read_csv(
-    spark: SparkSession, path: str, encoding: str | None = None, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    encoding: str | None = None,
+    multiline: bool = False,
+    on_malformed: str = "raise",
 ) -> DataFrame:
     """A CSV with header, every column as text, NA tokens as NULL.
 
-    ``multiline`` allows line breaks inside quotes but makes a file unsplittable.
+    ``multiline`` allows line breaks inside quotes but makes a file unsplittable. A record with
+    too many or too few fields fails the job when it is read; with ``on_malformed="quarantine"``
+    it is left out, and ``malformed_records`` has it.
     """
-    df = (
+    if on_malformed not in ("raise", "quarantine"):
+        raise ValueError(f"on_malformed must be 'raise' or 'quarantine', not {on_malformed!r}")
+    df = _records(spark, path, encoding, multiline)
+    # Spark does not read a CSV for the malformed records alone, as a plain count would ask it to.
+    fine = F.col(RECORD).isNull() & (F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0)
+    if on_malformed == "raise":
+        message = F.concat(F.lit(f"malformed record in {path}: "), F.left(F.col(RECORD), F.lit(200)))
+        fine = F.when(fine, True).otherwise(F.raise_error(message).cast("boolean"))
+    return normalise_na(df.filter(fine).drop(RECORD))
+
+
+def malformed_records(
+    spark: SparkSession, path: str, encoding: str | None = None, multiline: bool = False
+) -> DataFrame:
+    """(record, reason) of the records that do not have one field per column."""
+    df = _records(spark, path, encoding, multiline).filter(F.col(RECORD).isNotNull())
+    return df.select(F.col(RECORD).alias("record"), F.lit("wrong number of fields").alias("reason"))
+
+
+def _records(spark, path: str, encoding: str | None, multiline: bool) -> DataFrame:
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("encoding", encoding or pick_encoding(spark, path))
         .option("escape", '"')
         .option("multiLine", multiline)
-        .csv(path)
+        .option("columnNameOfCorruptRecord", RECORD)
     )
-    return normalise_na(df)
+    names = reader.csv(path).columns
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, RECORD])
+    return reader.schema(schema).csv(path)
 
 
 def normalise_na(df: DataFrame) -> DataFrame:
@@ -57,6 +88,8 @@ def load_raw(
     folder: str,
     names: Iterable[str] = tuple(TABLES),
     encoding: str | None = None,
+    multiline: bool = False,
+    on_malformed: str = "raise",
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Read ``folder/<name>.csv`` for each name; missing files are listed, not fatal.
 
@@ -65,7 +98,7 @@ def load_raw(
     found, missing = {}, []
     for name in names:
         try:
-            found[name] = read_csv(spark, f"{folder}/{name}.csv", encoding)
+            found[name] = read_csv(spark, f"{folder}/{name}.csv", encoding, multiline, on_malformed)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -168,7 +168,7 @@ def orders(spark, folder):
         "order_date",
         "store_id",
         "staff_id",
-        F.coalesce("total", F.lit(0)).cast("decimal(28,4)").alias("order_total"),
+        F.coalesce("total", F.lit(0)).cast("decimal(38,8)").alias("order_total"),
         F.coalesce("line_count", F.lit(0)).alias("line_count"),
         F.coalesce("unit_count", F.lit(0)).alias("unit_count"),
     )

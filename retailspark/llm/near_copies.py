@@ -15,7 +15,7 @@ Classes are the connected components of the links, and candidates of a bucket ar
    those buckets has matches nothing, which bounds M. So no link between components is lost.
 
 Words are separated by white space and lower-cased. A text of fewer than five words is one shingle of all its words. Null
-text is empty; empty texts are copies of one another and near copies of nothing. A null doc_id counts as the least id.
+text is empty; empty texts are copies of one another and near copies of nothing. A null doc_id counts as the greatest.
 Repeated rows give repeated rows. An empty table gives none.
 """
 
@@ -178,9 +178,9 @@ def classes(docs: DataFrame) -> DataFrame:
     that stands for the class."""
     rows = nodes_of(docs)
     labels = components(links(rows))
-    nodes = rows.groupBy("node").agg(F.min_by("doc_id", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("least"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    order = F.struct(F.col("least").isNotNull(), F.col("least"), F.col("node"))
+    order = F.struct(F.col("least").isNull(), F.col("least"), F.col("node"))
     chosen = nodes.groupBy("label").agg(F.min_by("least", order).alias("class_id"), F.min_by("node", order).alias("kept"))
     found = staged(nodes.join(chosen, "label").select("node", "class_id", (F.col("node") == F.col("kept")).alias("stays")), "near-classes")
     return join_checked(rows.select("doc_id", "node"), found, ["node"], 500_000)

@@ -53,7 +53,9 @@ class PrefixBpe(pieces.Memory):
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.bytes_of = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
         for token, i in vocabulary.items():
-            self.bytes_of[i] = token.encode() if i in special.values() else bytes(signs[c] for c in token)
+            self.bytes_of[i] = bytes(signs[c] for c in token) if i not in special.values() else b""
+        for token, i in special.items():
+            self.bytes_of[i] = token.encode()
         # rank: of the merge that makes a token; parts: what it merges.
         self.merge_of: dict[tuple[int, int], int] = {}
         self.parts: list[tuple[int, int] | None] = [None] * len(self.bytes_of)

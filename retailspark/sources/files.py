@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.functions.text import null_if_na
 from retailspark.schemas import TABLES
@@ -43,8 +43,7 @@ def read_csv(
     if on_malformed not in ("raise", "quarantine"):
         raise ValueError(f"on_malformed must be 'raise' or 'quarantine', not {on_malformed!r}")
     df = _records(spark, path, encoding, multiline)
-    # Spark does not read a CSV for the malformed records alone, as a plain count would ask it to.
-    fine = F.col(RECORD).isNull() & (F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0)
+    fine = F.col(RECORD).isNull() & _read_too(df)
     if on_malformed == "raise":
         message = F.concat(F.lit(f"malformed record in {path}: "), F.left(F.col(RECORD), F.lit(200)))
         fine = F.when(fine, True).otherwise(F.raise_error(message).cast("boolean"))
@@ -55,10 +54,16 @@ def malformed_records(
     spark: SparkSession, path: str, encoding: str | None = None, multiline: bool = False
 ) -> DataFrame:
     """(record, reason) of the records that do not have one field per column."""
-    df = _records(spark, path, encoding, multiline).filter(F.col(RECORD).isNotNull())
+    df = _records(spark, path, encoding, multiline)
+    df = df.filter(F.col(RECORD).isNotNull() & _read_too(df))
     return df.select(F.col(RECORD).alias("record"), F.lit("wrong number of fields").alias("reason"))
 
 
+def _read_too(df: DataFrame) -> Column:
+    """True, from a data column: Spark reads no CSV for its malformed records alone."""
+    return F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
+
+
 def _records(spark, path: str, encoding: str | None, multiline: bool) -> DataFrame:
     reader = (
         spark.read.option("header", True)

@@ -18,15 +18,58 @@ def stages(log):
     return {r.stage: (r.ok, r.rows_in, r.rows_out) for r in log.collect()}
 
 
+def cleaned_folder(log, out):
+    return f"{out}/cleaned/{log.first().run_id}"
+
+
+def test_a_broken_reference_fails_the_load_and_ends_the_run(spark, raw_folder, tmp_path):
+    log = job.run(spark, raw_folder, str(tmp_path / "out"))
+    load = log.filter("stage = 'load'").first()
+    # The order's staff row was dropped for its missing store.
+    assert not load.ok and "orders.staff_id -> staffs.staff_id" in load.error
+    assert set(stages(log)) == {"check", "transform", "load"}
+
+
+def test_a_run_is_about_its_own_files(spark, raw_folder, tmp_path):
+    out = str(tmp_path / "out")
+    job.run(spark, raw_folder, out, skip=("check", "load", "report"))
+    (tmp_path / "raw" / "stocks.csv").rename(tmp_path / "elsewhere")
+    log = job.run(spark, raw_folder, out, skip=("check",), on_violation="report")
+    rows = {r.stage: r for r in log.collect()}
+    assert rows["transform"].ok and "stocks" in rows["transform"].error
+    assert not rows["load"].ok and "stocks" in rows["load"].error and "report" not in rows
+
+
+def test_malformed_records_fail_the_run_or_are_set_aside(spark, raw_folder, tmp_path):
+    (tmp_path / "raw" / "brands.csv" / "more.csv").write_text('brand_id,brand_name\n2,B,surplus\n3\n4,"D\nD"\n')
+    assert not job.succeeded(job.run(spark, raw_folder, str(tmp_path / "a"), multiline=True))
+    out = str(tmp_path / "b")
+    log = job.run(
+        spark, raw_folder, out, skip=("check", "load", "report"), multiline=True, on_malformed="quarantine"
+    )
+    assert job.succeeded(log)
+    brands = files.load_cleaned(spark, cleaned_folder(log, out), ["brands"])["brands"]
+    assert values(brands) == [(1, "A"), (4, "D\nD")]
+    found = spark.read.parquet(f"{out}/malformed/brands").collect()
+    assert sorted(r.record.strip() for r in found) == ["2,B,surplus", "3"]
+
+
+def test_cleaning_can_be_switched_off_for_all(spark, raw_folder, tmp_path):
+    out = str(tmp_path / "out")
+    log = job.run(spark, raw_folder, out, skip=("check", "load", "report"), cleaning_needed=False)
+    assert stages(log)["transform"] == (True, 13, 13) and not (tmp_path / "out" / "staged").exists()
+
+
 def test_a_run_goes_from_raw_files_to_reports(spark, raw_folder, tmp_path):
     out = str(tmp_path / "out")
-    log = job.run(spark, raw_folder, out, database="job_full")
+    log = job.run(spark, raw_folder, out, database="job_full", on_violation="report")
     assert job.succeeded(log)
     got = stages(log)
+    cleaned = cleaned_folder(log, out)
     # 13 raw rows; two copies, one line with a bad number and one staff row drop out.
     assert got["transform"] == (True, 13, 9)
     assert got["load"] == (True, 9, 9)
-    items = files.load_cleaned(spark, out, ["order_items"])["order_items"]
+    items = files.load_cleaned(spark, cleaned, ["order_items"])["order_items"]
     assert values(items.select("order_id", "total_price")) == [(1, 17.1)]
     orders = spark.table("job_full.orders").collect()
     assert [(o.order_id, round(o.order_total, 2)) for o in orders] == [(1, 17.1)]
@@ -36,7 +79,9 @@ def test_a_run_goes_from_raw_files_to_reports(spark, raw_folder, tmp_path):
 
 
 def test_gated_runs_leave_clean_tables_alone(spark, raw_folder, tmp_path):
-    log = job.run(spark, raw_folder, str(tmp_path / "out"), gated=True, database="job_gated")
+    log = job.run(
+        spark, raw_folder, str(tmp_path / "out"), gated=True, database="job_gated", on_violation="report"
+    )
     assert job.succeeded(log)
     assert not (tmp_path / "out" / "staged" / "brands").exists()
     assert (tmp_path / "out" / "staged" / "staffs").exists()

@@ -10,21 +10,31 @@ from retailspark.plans.catalog import QUERIES
 from retailspark.session import local_session
 
 HEADLINE = [
+    "rpt_top_products",
     "rpt_top_products_full",
+    "rpt_top_customers",
     "rpt_top_customers_full",
     "rpt_store_revenue",
     "rpt_store_revenue_linegrain",
+    "rpt_category",
     "rpt_category_full",
+    "rpt_brand",
     "rpt_brand_full",
     "rpt_monthly",
     "rpt_monthly_linegrain",
+    "rpt_low_stock",
     "rpt_low_stock_detail",
+    "rpt_store_inventory",
     "rpt_store_inventory_full",
+    "rpt_staff",
     "rpt_staff_full",
+    "rpt_best_staff",
     "rpt_best_staff_linegrain",
+    "rpt_customer_spending",
     "rpt_customer_spending_full",
     "rpt_customers_no_orders",
     "rpt_retention",
+    "rpt_status",
     "rpt_status_full",
     "rpt_kpis",
     "dq_findings",
@@ -35,6 +45,7 @@ HEADLINE = [
     "cln_quarantine",
     "enr_order_total",
     "load_fk_violations",
+    "job_stage_log",
 ]
 
 

@@ -184,11 +184,14 @@ WHERE order_date IS NULL OR required_date IS NULL"""),
     "cln_row_delta": over_dirty(ROW_DELTA),
     **{f"cln_{name}": over_dirty(sql) for name, sql in RECIPES.items()},
     "enr_products": over_clean("""
-SELECT p.product_id, p.product_name, p.brand_id, p.category_id, p.list_price,
-       b.brand_name, c.category_name
-FROM v_products p LEFT JOIN (SELECT * FROM v_brands WHERE brand_id % 6 <> 0) b
-  ON p.brand_id = b.brand_id
-LEFT JOIN v_categories c ON p.category_id = c.category_id"""),
+SELECT product_id, product_name, CASE WHEN product_id % 6 = 0 THEN brand_id + 1000 ELSE brand_id END AS brand_id,
+       category_id, list_price, CASE WHEN product_id % 6 <> 0 THEN brand_name END AS brand_name, category_name
+FROM v_products"""),
+    "enr_gated": over_clean("""
+SELECT 'products' AS table_name, FALSE AS derived, count(*) AS row_count,
+       CAST(sum(CAST(list_price AS DECIMAL(28,4))) AS DOUBLE) AS total FROM v_products
+UNION ALL SELECT 'order_items', TRUE, count(*), CAST(sum(CAST(total_price AS DECIMAL(28,4))) AS DOUBLE) FROM v_order_items
+UNION ALL SELECT 'orders', TRUE, count(*), CAST(sum(CAST(order_total AS DECIMAL(28,4))) AS DOUBLE) FROM v_orders"""),
     "enr_item_total": over_dirty(
         f"SELECT *, quantity * list_price * (1 - discount) AS total_price FROM ({RECIPES['order_items']})"
     ),

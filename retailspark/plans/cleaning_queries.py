@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retailspark.operators import clean, enrich, recipes
+from retailspark.operators import clean, enrich, profile, recipes
 from retailspark.plans.query import Query
 from retailspark.schemas import UNKNOWN, UNKNOWN_EMAIL, UNKNOWN_ZIP
 from retailspark.sources import dirt, starschema
@@ -130,11 +130,11 @@ def _recipe(name: str) -> Query:
 
 
 def enrich_products(spark, folder):
-    """Names for bare products; every sixth brand is left out and gives NULL names."""
+    """Names for bare products; every sixth product names a brand that does not exist."""
     t = starschema.retail_tables(spark, folder)
-    bare = t["products"].drop("brand_name", "category_name")
-    known = t["brands"].filter(F.col("brand_id") % 6 != 0)
-    return enrich.enrich_products(bare, known, t["categories"])
+    unknown = F.when(F.col("product_id") % 6 == 0, F.col("brand_id") + 1000).otherwise(F.col("brand_id"))
+    bare = t["products"].drop("brand_name", "category_name").withColumn("brand_id", unknown)
+    return enrich.enrich_products(bare, t["brands"], t["categories"])
 
 
 def item_total(spark, folder):
@@ -148,6 +148,27 @@ def order_total(spark, folder):
     return enrich.add_order_total(orders, items, keep_line_counts=True)
 
 
+def gated(spark, folder):
+    """Only what is missing is derived: products have their names, lines and orders lack their totals."""
+    t = starschema.retail_tables(spark, folder)
+    tables = {n: t[n] for n in ("products", "brands", "categories", "order_items")}
+    tables["order_items"] = tables["order_items"].drop("total_price")
+    tables["orders"] = starschema.plain_orders(spark, folder)
+    needed = {r.transformation: r.needed for r in profile.transforms_needed(tables).collect()}  # three rows
+    derived = enrich.enrich_all(tables, needed)
+    frames = [
+        derived[name].agg(
+            F.lit(name).alias("table_name"), F.lit(needed[step]).alias("derived"), F.count("*").alias("row_count"),
+            F.sum(F.round(F.col(column).cast("decimal(28,8)"), 4)).cast("double").alias("total"),
+        )
+        for name, step, column in (
+            ("products", "enrich_products", "list_price"), ("order_items", "calculate_item_total", "total_price"),
+            ("orders", "calculate_order_total", "order_total"),
+        )
+    ]
+    return union_all(frames)
+
+
 def summary(spark, folder):
     items = starschema.order_items(spark, folder)
     orders = enrich.add_order_total(starschema.plain_orders(spark, folder), items)
@@ -176,4 +197,5 @@ QUERIES: dict[str, Query] = {
     "enr_item_total": item_total,
     "enr_order_total": order_total,
     "enr_summary": summary,
+    "enr_gated": gated,
 }

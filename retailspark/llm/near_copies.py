@@ -11,8 +11,10 @@ Classes are the connected components of the links, and candidates of a bucket ar
 1. In every bucket all nodes are compared with its most central one, that is, the one whose buckets are the largest:
    of edited copies of one text, that is the text or the copy with the fewest edits.
 2. What is left are buckets whose nodes are in several components by then. In these, pairs from different components,
-   one of which is not the bucket's largest, are compared unless they cannot be similar: a shingle that only one node of
-   those buckets has matches nothing, which bounds M. So no link between components is lost.
+   one of which is not the bucket's largest, are compared unless they cannot be similar. Shingles are ordered from the
+   rarest among those nodes on. Similar nodes share one of the first of both, or only such as are common, and then the
+   numbers of common ones bound M. So no link between components is lost, and of many copies of one text each with its
+   own edits few pairs are left.
 
 Words are separated by white space and lower-cased. A text of fewer than five words is one shingle of all its words. Null
 text is empty; empty texts are copies of one another and near copies of nothing. A null doc_id counts as the greatest.
@@ -33,6 +35,7 @@ WORDS = 5
 SIMILARITY = 0.8
 FUNCTIONS = 24
 SAMPLE = 4
+RARE = 16  # nodes that a rare shingle has at most
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
@@ -127,33 +130,48 @@ def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame) -> Da
     ).filter("labels > 1")
     open_members = staged(members.join(largest.select("f", "key", "largest"), ["f", "key"]), "near-open")
 
-    # Shingles that one node alone has among all of these.
+    # Occurrence-labelled shingles of these nodes, and the rare ones among them, which at most RARE of the nodes have.
     needed = staged(open_members.select("node").distinct(), "near-open-nodes")
 
     def make():
         def step(part):
             values, edges = sketches.shingles(*sketches.words([t for _, t in part]), WORDS)
+            labelled = sketches.labelled(values, edges).view(np.int64)
             for k, (node, _) in enumerate(part):
-                for value, n in zip(*(x.tolist() for x in np.unique(values[edges[k] : edges[k + 1]].view(np.int64), return_counts=True))):
-                    yield value, node, n
+                number = int(node[:15], 16)
+                for token in labelled[edges[k] : edges[k + 1]].tolist():
+                    yield token, number
 
         return step
 
-    exploded = map_rows(texts_of(rows, needed), make, "value long, node string, n long")
-    alone = exploded.groupBy("value").agg(F.count("*").alias("nodes"), F.min("node").alias("node"), F.sum("n").alias("n"))
-    alone = alone.filter("nodes = 1").groupBy("node").agg(F.sum("n").alias("alone"))
-    open_members = open_members.join(alone, "node", "left").withColumn("most", F.col("size") - F.coalesce("alone", F.lit(0)))
+    tokens = staged(map_rows(texts_of(rows, needed), make, "token long, number long"), "near-tokens")
+    rare = tokens.groupBy("token").agg(F.count("*").alias("nodes")).filter(F.col("nodes") <= RARE)
+    listed = tokens.join(rare, "token").groupBy("number").agg(
+        F.count("*").alias("n_rare"), F.sort_array(F.collect_list(F.struct("nodes", "token"))).alias("rare")
+    )
+    number = F.conv(F.substring("node", 1, 15), 16, 10).cast("long")
+    open_members = open_members.withColumn("number", number).join(listed, "number", "left")
+    # Rarest first, two similar nodes share one of the first size - s * size + 1, if they share a rare one at all.
+    first = (F.col("size") - F.ceil(F.col("size") * F.lit(SIMILARITY)) + 1).cast("int")
+    shared = F.filter(F.slice("rare", F.lit(1), first), lambda x: x["nodes"] > 1)
+    open_members = open_members.select(
+        "f", "key", "node", "label", "size", "largest",
+        (F.col("size") - F.coalesce("n_rare", F.lit(0))).alias("common"),
+        F.coalesce(F.transform(shared, lambda x: x["token"]), F.array().cast("array<long>")).alias("rare"),
+    )
+    open_members = staged(open_members, "near-bounded")  # both sides of the join below read it
 
     side = lambda s: open_members.select(
-        "f", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "most")), *(["largest"] if s == "a" else [])
+        "f", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "common", "rare")),
+        *(["largest"] if s == "a" else []),
     )
-    best = F.least("most_a", "most_b")
+    # Without a rare shingle in common, no more than the common ones match.
+    best = F.least("common_a", "common_b")
     able = best >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - best)
-    # Whoever cannot be similar to a text of its own best length is no partner at all.
-    alive = F.col("most_a") >= F.lit(SIMILARITY) * F.col("size_a")
-    left = side("a").filter((F.col("label_a") != F.col("largest")) & alive)
-    right = side("b").filter(F.col("most_b") >= F.lit(SIMILARITY) * F.col("size_b"))
-    pairs = left.join(right, ["f", "key"]).filter((F.col("label_a") != F.col("label_b")) & able)
+    sizes = F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b")
+    pairs = side("a").filter(F.col("label_a") != F.col("largest")).join(side("b"), ["f", "key"]).filter(
+        (F.col("label_a") != F.col("label_b")) & sizes & (able | F.arrays_overlap("rare_a", "rare_b"))
+    )
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 

@@ -69,10 +69,15 @@ def occurrences(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
+def labelled(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A number for each value together with how many equal ones stand before it in its text."""
+    return mix(values + mix(occurrences(values, edges).astype(np.uint64)) * _BASE)
+
+
 def order_minhash(values: np.ndarray, edges: np.ndarray, functions: int, sample: int) -> np.ndarray:
     """One number per text and function: of the ``sample`` occurrence-labelled values that the function ranks lowest,
     in their order in the text. Texts without values have zeros; those with few values take all of them."""
-    labelled = mix(values + mix(occurrences(values, edges).astype(np.uint64)) * _BASE)
+    tokens = labelled(values, edges)
     count = np.diff(edges)
     full = np.flatnonzero(count)
     out = np.zeros((len(count), functions), np.uint64)
@@ -82,7 +87,7 @@ def order_minhash(values: np.ndarray, edges: np.ndarray, functions: int, sample:
     row = np.repeat(np.arange(len(full)), sizes)
     none = np.uint64(0xFFFFFFFFFFFFFFFF)
     for f in range(functions):
-        ranks = mix(labelled ^ mix(np.array([f + 1], np.uint64)))
+        ranks = mix(tokens ^ mix(np.array([f + 1], np.uint64)))
         picked = np.full((len(full), sample), len(values), np.int64)
         for s in range(sample):
             lowest = np.minimum.reduceat(ranks, starts)
@@ -91,7 +96,7 @@ def order_minhash(values: np.ndarray, edges: np.ndarray, functions: int, sample:
             picked[row[hit], s] = hit
             ranks[hit] = none
         picked.sort(axis=1)
-        taken = np.append(labelled, np.uint64(0))[picked]
+        taken = np.append(tokens, np.uint64(0))[picked]
         total = np.full(len(full), np.uint64(f + 1))
         for s in range(sample):
             total = mix(total * _BASE + taken[:, s])

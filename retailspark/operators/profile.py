@@ -362,10 +362,10 @@ def missing_advice(findings: DataFrame) -> DataFrame:
     """What to do about each column with missing values; the first fitting advice."""
     name = F.lower("column_name")
     advice = (
-        F.when(F.col("pct") > 50, "consider dropping column")
-        .when(name.contains("phone") | name.contains("email"), "fill with 'Unknown'")
-        .when(name.contains("price"), "consider median imputation")
-        .otherwise("analyze pattern and decide strategy")
+        F.when(F.col("pct") > 50, "mostly_empty")
+        .when(name.contains("phone") | name.contains("email"), "use_placeholder")
+        .when(name.contains("price"), "use_median")
+        .otherwise("inspect")
     )
     columns = findings.filter((F.col("check_name") == MISSING) & F.col("column_name").isNotNull())
     return columns.select("table_name", "column_name", "count", "pct", advice.alias("advice"))

@@ -315,10 +315,10 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id) AS copy,
 WHERE copies > 1 ORDER BY customer_id, copy LIMIT 4"""),
     "dq_missing": over_dirty(MISSING),
     "dq_missing_advice": over_dirty(f"""
-SELECT *, CASE WHEN pct > 50 THEN 'consider dropping column'
-               WHEN column_name LIKE '%phone%' OR column_name LIKE '%email%' THEN 'fill with ''Unknown'''
-               WHEN column_name LIKE '%price%' THEN 'consider median imputation'
-               ELSE 'analyze pattern and decide strategy' END AS advice FROM ({MISSING})"""),
+SELECT *, CASE WHEN pct > 50 THEN 'mostly_empty'
+               WHEN column_name LIKE '%phone%' OR column_name LIKE '%email%' THEN 'use_placeholder'
+               WHEN column_name LIKE '%price%' THEN 'use_median'
+               ELSE 'inspect' END AS advice FROM ({MISSING})"""),
     "dq_types": over_dirty(type_rows(False)),
     "dq_types_strict": over_dirty(type_rows(True) + STRICT_EXTRA),
     "dq_negative_price": over_dirty(rule_rows("products")),

@@ -130,10 +130,10 @@ def test_missing_advice_takes_the_first_match(spark):
         "'t' as table_name", "'missing' as check_name", "column_name", "1L as count", "pct"
     )
     assert [r.advice for r in profile.missing_advice(df).collect()] == [
-        "consider dropping column",
-        "fill with 'Unknown'",
-        "consider median imputation",
-        "analyze pattern and decide strategy",
+        "mostly_empty",
+        "use_placeholder",
+        "use_median",
+        "inspect",
     ]
 
 

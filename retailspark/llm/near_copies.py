@@ -121,7 +121,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return staged(map_rows(joined, make, "a string, b string", rows=256), "near-links")
 
 
-def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
+def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame, sketch: DataFrame) -> DataFrame:
     """Pairs of nodes in different components that share a bucket and may be similar."""
     members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = members.groupBy("f", "key", "label").agg(F.count("*").alias("n"))
@@ -159,18 +159,22 @@ def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame) -> Da
         (F.col("size") - F.coalesce("n_rare", F.lit(0))).alias("common"),
         F.coalesce(F.transform(shared, lambda x: x["token"]), F.array().cast("array<long>")).alias("rare"),
     )
+    open_members = open_members.join(sketch.select("node", "keys"), "node")
     open_members = staged(open_members, "near-bounded")  # both sides of the join below read it
 
     side = lambda s: open_members.select(
-        "f", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "common", "rare")),
+        "f", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "common", "rare", "keys")),
         *(["largest"] if s == "a" else []),
     )
     # Without a rare shingle in common, no more than the common ones match.
     best = F.least("common_a", "common_b")
     able = best >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - best)
     sizes = F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b")
+    # A pair that shares several buckets is made in the first of them alone.
+    agree = F.zip_with("keys_a", "keys_b", lambda x, y: x == y)
+    here = F.array_position(agree, True) == F.col("f") + 1
     pairs = side("a").filter(F.col("label_a") != F.col("largest")).join(side("b"), ["f", "key"]).filter(
-        (F.col("label_a") != F.col("label_b")) & sizes & (able | F.arrays_overlap("rare_a", "rare_b"))
+        (F.col("label_a") != F.col("label_b")) & sizes & here & (able | F.arrays_overlap("rare_a", "rare_b"))
     )
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
@@ -187,7 +191,7 @@ def links(rows: DataFrame) -> DataFrame:
     stars = members.join(heads, ["f", "key"]).filter("node <> head")
     stars = stars.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     first = verified(staged(stars, "near-stars"), rows)
-    rest = staged(residual_pairs(members, components(first), rows), "near-rest")
+    rest = staged(residual_pairs(members, components(first), rows, sketch), "near-rest")
     return first.union(verified(rest, rows))
 
 

@@ -14,7 +14,7 @@ table gives empty files.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from retailspark.llm.common import id_and_text, join_checked, map_rows, portable
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 LONGEST = 20
-BLOCK = 1024
+BLOCK = 256
 SEGMENT = 1 << 18
 
 TOKENS = "task int, place long, doc_id long, size long, ids binary"
@@ -133,7 +133,7 @@ def tokens_in_order(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
 
         return step
 
-    ordered = id_and_text(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return staged(map_rows(ordered, make, TOKENS, rows=512), "huffman-ids")
 
 
@@ -143,8 +143,8 @@ def counts_of(tokens: DataFrame) -> np.ndarray:
     def count(batches) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+            joined = b"".join(x.as_buffer() for x in batch.column(0))
+            total += np.bincount(np.frombuffer(joined, "<u2"), minlength=1 << 16)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
@@ -194,8 +194,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int =
     map_rows(placed, make, SEGMENTS, rows=512).write.parquet(f"{folder}/segments")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Each document with its ids as 32-bit numbers, and the number of ids of all documents before it."""
+def _bytes(doc_id: int, start: int, ids: np.ndarray) -> tuple:
+    return doc_id, start, ids.astype("<u4").tobytes()
+
+
+def read(spark: SparkSession, folder: str, each: Callable = _bytes, schema: str = DECODED) -> DataFrame:
+    """Each document with its ids as 32-bit numbers, and the number of ids of all documents before it; or what
+    ``each`` makes of these three."""
     table = spark.read.parquet(f"{folder}/code").collect()  # at most one row per vocabulary entry
     lengths = np.zeros(max([r["id"] for r in table], default=0) + 1, np.int64)
     for r in table:
@@ -207,15 +212,14 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
         def step(rows):
             for first, n, doc_ids, sizes, checkpoints, bits in rows:
-                raw = decoder.decode(bits, np.array(checkpoints), n).astype("<u4").tobytes()
-                at = 0
+                ids, at = decoder.decode(bits, np.array(checkpoints), n), 0
                 for doc_id, size in zip(doc_ids, sizes):
-                    yield doc_id, first + at, raw[4 * at : 4 * (at + size)]
+                    yield each(doc_id, first + at, ids[at : at + size])
                     at += size
 
         return step
 
     segments = spark.read.parquet(f"{folder}/segments")
     return map_rows(
-        segments.select("first_id", "n_ids", "doc_ids", "doc_sizes", "checkpoints", "bits"), make, DECODED, rows=4
+        segments.select("first_id", "n_ids", "doc_ids", "doc_sizes", "checkpoints", "bits"), make, schema, rows=4
     )

@@ -15,6 +15,8 @@ import numpy as np
 
 # White space, by any definition, that may join with its neighbours, and the sign put between pieces.
 _ODD = re.compile(r"[\x00\x02\x09\x0b-\x0d\x1c-\x1f\x85\xa0  -     　]")
+# Letters of which the tokenizer keeps as many when it lowers them, and a sign.
+_SIMPLE = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
 _LONG = 64  # longer pieces are encoded each time and not remembered
 
 
@@ -129,16 +131,39 @@ class ByteBpe(TokenizerMemory):
 
 
 class WordBpe(TokenizerMemory):
-    """BPE over lower-cased words, white space dropped; a control sign stands between pieces."""
+    """BPE over lower-cased words, white space dropped, with a mark on each word's last id.
+
+    A piece of common letters, with or without one sign behind them, is one or two words. Between other pieces stands a
+    control sign.
+    """
 
     def __init__(self, file: str, **options):
         super().__init__(file, **options)
         (sign,) = self._ids(["\x02"])[0]
         self.signs = np.zeros(max(self.vocabulary.values()) + 1, bool)
         self.signs[sign] = True
+        self.ends = self.marks(lambda token: token.endswith("</w>"))
 
     def _pieces(self, pieces):
-        return self._joined(pieces, lambda part: "\x02 " + " \x02 ".join(part), self.signs, 1)
+        simple, others = [], []
+        for p in pieces:
+            (simple if _SIMPLE.fullmatch(p) else others).append(p)
+        known = dict(zip(simple, self._simple(simple)))
+        known.update(zip(others, self._joined(others, lambda part: "\x02 " + " \x02 ".join(part), self.signs, 1)))
+        return [known[p] for p in pieces]
+
+    def _simple(self, pieces: list[str]) -> list[bytes]:
+        found, size = [], self.dtype.itemsize
+        for at in range(0, len(pieces), 4096):
+            part = pieces[at : at + 4096]
+            ids = np.asarray(self._ids([" ".join(part)])[0], self.dtype)
+            words = np.cumsum([1 if p[-1].isalpha() else 2 for p in part])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != words[-1]:
+                raise ValueError("the tokenizer cuts pieces into more or fewer words than were expected")
+            raw, edges = ids.tobytes(), [0, *(ends[words - 1] * size).tolist()]
+            found += [raw[i:j] for i, j in zip(edges, edges[1:])]
+        return found
 
 
 _held: dict[tuple, Memory] = {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,9 +54,8 @@ def op6_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "huffman")
     huffman.write(table(spark, sf_dir, "documents"), folder)
 
-    return huffman.read(spark, folder).select(
-        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
-    )
+    digest = lambda doc_id, start, ids: (doc_id, start, len(ids), zlib.crc32(ids.astype("<u4")))
+    return huffman.read(spark, folder, digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

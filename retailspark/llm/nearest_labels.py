@@ -1,26 +1,29 @@
 """Toxicity by the nearest labelled examples (operator 9).
 
-Examples are at most ``EXAMPLES`` labelled rows, the least by a hash of doc_id; labels of rows with crc32(doc_id) mod 5 = 0
-are never read. Terms are the words that the labels depend on most, at most ``TERMS``, by chi-square over the examples.
-Weights are (1 + log tf) * idf, with document frequencies counted over all documents, and vectors have length 1.
+Examples are the texts of at most ``EXAMPLES`` labelled documents, the least by a hash of doc_id; labels of rows with
+crc32(doc_id) mod 5 = 0 are never read. Terms are all words of the examples. The weight of a term in a text is
+(1 + log tf) * idf * sqrt(1 + chi2), with document frequencies counted over all documents and chi2 the dependence of the
+labels on the term among the examples. So words that tell of the label weigh most and no word of an example is left out.
+Vectors have length 1. Words that are in no example are in no vector.
 
-The index holds, for each term, its examples in order, cut into blocks of ``BLOCK`` examples with the largest weight in
-each. For a document, the terms' block maxima add up to a bound for each block of examples. The blocks with the largest
-bounds are scored first; of the others only those whose bound reaches the ``NEAREST``-th best cosine so far. So the
-neighbours are exact; equal cosines go to the earlier example. A document is never its own neighbour.
+The index has the most frequent terms, at most ``DENSE``, as a matrix and all others as inverted lists. A document's
+cosines with all examples are summed up in single precision from both. All that can be among the nearest, by the bound of
+the rounding error, are summed again in double precision. So the neighbours are exact; equal cosines go to the earlier
+example. A document is never its own neighbour, nor is another text of its doc_id.
 
 The vote is sum(w * label) + PRIOR * rate over sum(w) + PRIOR, w being the squared cosine, and is calibrated by isotonic
 regression on the examples, each voted on by the others. The neighbours are returned as evidence.
 
 Null and empty texts, and texts without any of the terms, have no neighbours and get the calibrated prior. Repeated labels
 of a document count as their majority; null labels are left out. Without any labels, the score is 0. Repeated rows are
-scored each. Labels, lang, source and doc_id take no part in a score.
+scored each, and are one example. Labels, lang, source and doc_id take no part in a score.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -30,17 +33,19 @@ from pyspark.sql import functions as F
 from retailspark.llm.common import append_columns, map_rows, staged
 
 EXAMPLES = 16_384
-TERMS = 1024
-LEAST_DOCS = 5  # examples that a term must occur in
-LEAST_CHI2 = 10.0  # once in six hundred words by chance
-BLOCK = 64
-FIRST_BLOCKS = 8  # scored before the first threshold is known
+DENSE = 512  # terms at most that the index holds as a matrix
+DENSE_SHARE = 0.1  # of the examples, that such a term occurs in
+SLACK = 1e-4  # over twice the relative rounding error of DENSE single-precision sums
+QUERIES = 64  # multiplied with the matrix at once
 NEAREST = 25
 PRIOR = 0.5
 HELD_OUT = 5
+MEMORY = 20_000  # texts whose scores a task remembers
 
 _WORD = re.compile(r"[^\W\d_]+")
 
+Sparse = tuple[np.ndarray, np.ndarray]  # terms in order, and a number for each
+
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
@@ -50,59 +55,123 @@ def words_of(text: str | None) -> Counter:
     return Counter(_WORD.findall((text or "").lower()))
 
 
-def known_terms(text: str | None, number: dict[str, int]) -> dict[int, int]:
-    """How often each term of ``number`` stands in the text."""
-    found = Counter(filter(number.__contains__, _WORD.findall((text or "").lower()))) if number else {}
-    return {number[word]: n for word, n in found.items()}
+class Terms:
+    """The words of the examples by number."""
+
+    def __init__(self, joined: str):
+        self.joined = joined
+        self.number = {word: i for i, word in enumerate(joined.split())}
+
+    def __reduce__(self):
+        return unpacked_terms, (zlib.compress(self.joined.encode(), 1),)
+
+    def numbers(self, texts: list[str | None]) -> np.ndarray:
+        """Each text's distinct terms, one text's after another's."""
+        found: list[int | None] = []
+        for text in texts:
+            found += map(self.number.get, set(_WORD.findall((text or "").lower())))
+        return np.array([i for i in found if i is not None], np.int64)
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        """How often each term stands in the text."""
+        number = self.number
+        return {number[word]: n for word, n in words_of(text).items() if word in number}
+
+
+def unpacked_terms(data: bytes) -> Terms:
+    return Terms(zlib.decompress(data).decode())
+
+
+def packed(*arrays: np.ndarray) -> list[bytes]:
+    return [zlib.compress(a.astype("<i4").tobytes(), 1) for a in arrays]
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<i4")
+
+
+def sparse(counts: dict[int, float]) -> Sparse:
+    order = sorted(counts)
+    return np.array(order, np.int64), np.array([counts[t] for t in order], float)
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, .. for sizes[0] numbers, and so on."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
 
 
 class Index:
-    """Block-max inverted lists of the examples' unit vectors."""
+    """The examples' unit vectors by rows, and by terms: a matrix of the frequent ones and inverted lists of the others."""
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        self.size, blocks = len(vectors), -(-max(1, len(vectors)) // BLOCK)
-        lists: list[tuple[list[int], list[float]]] = [([], []) for _ in range(n_terms)]
-        for i, vector in enumerate(vectors):
-            for t, w in vector.items():
-                lists[t][0].append(i)
-                lists[t][1].append(w)
-        self.lists = [(np.array(i, np.int64), np.array(w)) for i, w in lists]
-        self.blocks = [i // BLOCK for i, _ in self.lists]
-        self.most = np.zeros((n_terms, blocks))
-        for t, (_, w) in enumerate(self.lists):
-            np.maximum.at(self.most[t], self.blocks[t], w)
-
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
+        rows = [sparse(v) for v in vectors]
+        edges = np.cumsum([0, *(len(t) for t, _ in rows)])
+        joined = (np.concatenate([r[k] for r in rows] or [np.zeros(0)]) for k in (0, 1))
+        self.fill(edges, *joined, n_terms)
+
+    @classmethod
+    def of(cls, edges: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> Index:
+        index = cls.__new__(cls)
+        index.fill(edges, terms, weights, n_terms)
+        return index
+
+    def fill(self, edges, terms, weights, n_terms) -> None:
+        self.size, self.edges, self.terms, self.weights = len(edges) - 1, edges, terms.astype(np.int32), weights
+        examples = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(edges))
+        seen = np.bincount(self.terms, minlength=n_terms)
+        frequent = np.argsort(-seen, kind="stable")[:DENSE]
+        frequent = frequent[seen[frequent] >= max(1.0, DENSE_SHARE * self.size)]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        columns = self.column[self.terms]
+        dense = columns >= 0
+        self.matrix = np.zeros((len(frequent), self.size), np.float32)
+        self.matrix[columns[dense], examples[dense]] = weights[dense]
+        rest = np.flatnonzero(~dense)
+        rest = rest[np.argsort(self.terms[rest], kind="stable")]
+        self.listed, self.values = examples[rest], weights[rest].astype(np.float32)
+        self.sizes = np.where(self.column < 0, seen, 0)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.scratch = np.zeros(n_terms)
+
+    def nearest(self, query: dict[int, float], k: int, without=()) -> list[tuple[float, int]]:
         """The k examples of largest positive cosine with a unit vector, nearest first, but for ``without``."""
-        terms = [(t, q) for t, q in query.items() if len(self.lists[t][0])]
-        if not terms:
-            return []
-        numbers, weights = [t for t, _ in terms], np.array([q for _, q in terms])
-        bounds = weights @ self.most[numbers]
-        order = np.argsort(-bounds, kind="stable")
-        scores, done = np.zeros(self.size), 0
-        best, kth, step = np.zeros(0, np.int64), 0.0, FIRST_BLOCKS
-        while done < len(order):
-            # The next blocks in order of their bounds, and then all that can still reach the k-th best.
-            turn = order[done : done + step]
-            turn = turn[(bounds[turn] > 0) & (bounds[turn] >= kth - 1e-12)]
-            if not len(turn):
-                break
-            chosen = np.zeros(len(bounds), bool)
-            chosen[turn] = True
-            for t, q in terms:
-                ids, values = self.lists[t]
-                inside = chosen[self.blocks[t]]
-                scores[ids[inside]] += q * values[inside]
-            if 0 <= without < self.size:
-                scores[without] = 0
-            done, step = done + step, len(order)
-            best = np.flatnonzero(scores > 0)
-            if len(best) > k:
-                kth = float(np.partition(scores[best], -k)[-k])
-                best = best[scores[best] >= kth]
-        best = best[np.lexsort((best, -scores[best]))][:k]
-        return list(zip(scores[best].tolist(), best.tolist()))
+        scores, ids = self.nearest_of_all([sparse(query)], k, [np.atleast_1d(np.array(without, np.int64))])[0]
+        return list(zip(scores.tolist(), ids.tolist()))
+
+    def nearest_of_all(self, queries: list[Sparse], k: int, without: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(cosines, examples) for each query."""
+        found = []
+        for at in range(0, len(queries), QUERIES):
+            part = queries[at : at + QUERIES]
+            dense = np.zeros((len(part), len(self.matrix)), np.float32)
+            for i, (terms, weights) in enumerate(part):
+                columns = self.column[terms]
+                dense[i, columns[columns >= 0]] = weights[columns >= 0]
+            for scores, query, own in zip(dense @ self.matrix, part, without[at : at + QUERIES]):
+                found.append(self.best(scores, query, k, own))
+        return found
+
+    def best(self, scores: np.ndarray, query: Sparse, k: int, without) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest, from the dense terms' sums."""
+        terms, weights = query
+        sizes = self.sizes[terms]
+        at = ranges(self.starts[terms], sizes)
+        if len(at):
+            scores += np.bincount(self.listed[at], self.values[at] * np.repeat(weights, sizes), self.size).astype(np.float32)
+        if len(without):
+            scores[without] = 0
+        least = np.partition(scores, -k)[-k] * np.float32(1 - SLACK) if self.size > k else np.float32(0)
+        ids = np.flatnonzero((scores >= least) & (scores > 0))
+        if not len(ids):
+            return np.zeros(0), ids
+        sizes = self.edges[ids + 1] - self.edges[ids]
+        at = ranges(self.edges[ids], sizes)
+        self.scratch[terms] = weights
+        exact = np.add.reduceat(self.scratch[self.terms[at]] * self.weights[at], np.cumsum(sizes) - sizes)
+        self.scratch[terms] = 0
+        order = np.lexsort((ids, -exact))[:k]
+        return exact[order], ids[order]
 
 
 class Isotonic:
@@ -129,37 +198,70 @@ def _groups(votes, labels):
 
 
 class Model:
-    """Terms with their idf, the index and the calibration: all bounded by ``EXAMPLES`` and ``TERMS``."""
-
-    def __init__(self, terms: list[str], idf: list[float], examples: list[tuple[int, dict[int, int], int]]):
-        self.number, self.idf = {t: i for i, t in enumerate(terms)}, idf
-        self.labels = np.array([y for *_, y in examples], float)
-        self.rate = float(self.labels.mean()) if len(examples) else 0.0
-        vectors = [self.unit(v) for _, v, _ in examples]
-        full = [i for i, v in enumerate(vectors) if v]  # others are neighbours of nothing
-        self.ids, self.index = [examples[i][0] for i in full], Index([vectors[i] for i in full], len(terms))
-        self.known, self.place = self.labels[full], {d: i for i, d in enumerate(self.ids)}
-        at = {i: k for k, i in enumerate(full)}
-        votes = [self.vote(self.index.nearest(v, NEAREST, at.get(i, -1))) for i, v in enumerate(vectors)]
-        self.calibrate = Isotonic(np.array(votes), self.labels)
-
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        length = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / length for t, w in raw.items()}
-
-    def vote(self, neighbours: list[tuple[float, int]]) -> float:
-        weights = [c * c for c, _ in neighbours]
-        for_it = sum(w * self.known[i] for w, (_, i) in zip(weights, neighbours))
-        return (for_it + PRIOR * self.rate) / (sum(weights) + PRIOR)
+    """Terms with their weights, the index and the calibration. Pickles hold the examples' counts, packed."""
+
+    def __init__(self, terms: Terms, idf: np.ndarray, ids: list[int], edges, numbers, counts, labels: np.ndarray):
+        self.state = terms, idf, ids, edges, *packed(np.diff(numbers, prepend=0), counts), labels
+        self.terms, self.ids, self.known = terms, ids, labels
+        self.rate = float(labels.mean()) if len(labels) else 0.0
+        self.weight = idf * np.sqrt(1 + dependence(numbers, labels, edges, len(idf)))
+        weights = (1 + np.log(counts)) * self.weight[numbers]
+        rows = np.repeat(np.arange(len(ids)), np.diff(edges))
+        weights /= np.sqrt(np.bincount(rows, weights * weights, len(ids)))[rows]
+        self.index = Index.of(edges, numbers, weights, len(idf))
+        self.place: dict[int, list[int]] = {}
+        for i, doc_id in enumerate(ids):
+            self.place.setdefault(doc_id, []).append(i)
+        self.calibrate: Isotonic | None = None
+
+    def __reduce__(self):
+        return unpacked_model, self.state, {"calibrate": self.calibrate}
+
+    def unit(self, counts: dict[int, int]) -> Sparse:
+        terms, n = sparse(counts)
+        weights = (1 + np.log(n)) * self.weight[terms]
+        return terms, weights / np.sqrt((weights * weights).sum()) if len(terms) else weights
+
+    def example(self, i: int) -> Sparse:
+        part = slice(self.index.edges[i], self.index.edges[i + 1])
+        return self.index.terms[part], self.index.weights[part]
+
+    def vote(self, cosines: np.ndarray, neighbours: np.ndarray) -> float:
+        weights = cosines * cosines
+        return float(((weights * self.known[neighbours]).sum() + PRIOR * self.rate) / (weights.sum() + PRIOR))
+
+    def votes(self, examples: list[int]) -> list[float]:
+        """Of the other documents' examples on these."""
+        own = [self.place[self.ids[i]] for i in examples]
+        return [self.vote(*x) for x in self.index.nearest_of_all([self.example(i) for i in examples], NEAREST, own)]
 
     def counts(self, text: str | None) -> dict[int, int]:
-        return known_terms(text, self.number)
+        return self.terms.counts(text)
+
+    def scores(self, doc_ids: list, counts: list[dict[int, int]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        own = [self.place.get(doc_id, ()) for doc_id in doc_ids]
+        out = []
+        for cosines, found in self.index.nearest_of_all([self.unit(c) for c in counts], NEAREST, own):
+            evidence = [(self.ids[i], c, int(self.known[i])) for c, i in zip(cosines[:3].tolist(), found[:3].tolist())]
+            out.append((min(1.0, max(0.0, self.calibrate(self.vote(cosines, found)))), evidence))
+        return out
 
     def score(self, doc_id: int | None, counts: dict[int, int]) -> tuple[float, list[tuple[int, float, int]]]:
-        found = self.index.nearest(self.unit(counts), NEAREST, self.place.get(doc_id, -1)) if counts else []
-        evidence = [(self.ids[i], c, int(self.known[i])) for c, i in found[:3]]
-        return min(1.0, max(0.0, self.calibrate(self.vote(found)))), evidence
+        return self.scores([doc_id], [counts])[0]
+
+
+def unpacked_model(terms, idf, ids, edges, steps, counts, labels) -> Model:
+    return Model(terms, idf, ids, edges, np.cumsum(unpacked(steps), dtype=np.int32), unpacked(counts), labels)
+
+
+def dependence(numbers: np.ndarray, labels: np.ndarray, edges: np.ndarray, n_terms: int) -> np.ndarray:
+    """Chi-square between each term's occurring in an example and the label; 0 for terms of all examples."""
+    n, n1 = len(labels), float(labels.sum())
+    of_row = np.repeat(labels, np.diff(edges))
+    seen, seen1 = np.bincount(numbers, minlength=n_terms), np.bincount(numbers, of_row, n_terms)
+    cross = seen1 * (n - n1) - (seen - seen1) * n1
+    under = seen * (n - seen) * (n1 * (n - n1))
+    return np.divide(n * cross * cross, under, out=np.zeros(n_terms), where=under > 0)
 
 
 def chosen_labels(labels: DataFrame) -> DataFrame:
@@ -169,68 +271,77 @@ def chosen_labels(labels: DataFrame) -> DataFrame:
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
 
 
-def choose_terms(examples: DataFrame) -> list[str]:
-    """Words by chi-square between their occurring in a text and its label; from rows (text, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model from the labelled rows of ``docs``, with idf over all of them. Two passes over the texts."""
+    spark = docs.sparkSession
+    chosen = staged(chosen_labels(labels), "toxic-labels")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    examples = staged(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "toxic-examples")
 
-    def make():
-        def step(rows):
-            seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-            for text, toxic in rows:
-                seen[toxic].update(words_of(text).keys())
-            for word in seen[0].keys() | seen[1].keys():
-                yield word, seen[0][word], seen[1][word]
+    def distinct():
+        def step(part):
+            for word in set().union(*(words_of(text) for (text,) in part)):
+                yield (word,)
 
         return step
 
-    totals = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = float(totals.get(0, 0)), float(totals.get(1, 0))
-    if not n0 or not n1:
-        return []
-    words = map_rows(examples.select("text", "toxic"), make, "word string, n0 long, n1 long", rows=4096)
-    words = words.groupBy("word").agg(F.sum("n0").cast("double").alias("n0"), F.sum("n1").cast("double").alias("n1"))
-    words = words.filter(f"n0 + n1 >= {LEAST_DOCS} AND n0 + n1 < {n0 + n1}")
-    cross = F.col("n1") * (n0 - F.col("n0")) - F.col("n0") * (n1 - F.col("n1"))
-    chi2 = cross * cross * (n0 + n1) / ((F.col("n0") + F.col("n1")) * (n0 + n1 - F.col("n0") - F.col("n1")) * n0 * n1)
-    best = words.withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "word").limit(TERMS)
-    return sorted(r["word"] for r in best.select("word").collect())
+    words = map_rows(examples.select("text"), distinct, "word string", rows=4096).distinct().toArrow()["word"].to_pylist()
+    terms = Terms(" ".join(sorted(words)))
+    shared = spark.sparkContext.broadcast(terms)
 
+    def occurring():
+        known = shared.value
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from the labelled rows of ``docs``, with idf over all of them. Two passes over the texts."""
-    chosen = staged(chosen_labels(labels), "toxic-labels")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    examples = staged(rows.join(F.broadcast(chosen), "doc_id"), "toxic-examples")
-    terms = choose_terms(examples)
-    number = {t: i for i, t in enumerate(terms)}
-
-    def make():
         def step(part):
-            seen: Counter = Counter()
-            for (text,) in part:
-                seen.update(known_terms(text, number).keys())
+            term, n = np.unique(known.numbers([text for (text,) in part]), return_counts=True)
             yield -1, len(part)
-            yield from seen.items()
+            yield from zip(term.tolist(), n.tolist())
 
         return step
 
-    counted = map_rows(rows.select("text"), make, "term long, n long", rows=4096).groupBy("term").agg(F.sum("n").alias("n"))
-    found = {r["term"]: r["n"] for r in counted.collect()}  # one row a term
-    total = found.get(-1, 0)
-    idf = [math.log((1 + total) / (1 + found.get(i, 0))) + 1 for i in range(len(terms))]
+    found = map_rows(rows.select("text"), occurring, "term long, n long", rows=4096).groupBy("term").agg(F.sum("n").alias("n"))
+    found = found.toArrow()  # one row a term
+    term, n = (found[c].to_numpy() for c in ("term", "n"))
+    total, seen = int(n[term < 0].sum()), np.zeros(len(terms.number))
+    seen[term[term >= 0]] = n[term >= 0]
+    idf = np.log((1 + total) / (1 + seen)) + 1
 
     def vectors():
+        known = shared.value
+
         def step(part):
             for doc_id, text, toxic in part:
-                seen = known_terms(text, number)
-                yield doc_id, list(seen), list(seen.values()), toxic
+                terms, counts = sparse(known.counts(text))
+                yield doc_id, hashlib.md5((text or "").encode()).hexdigest(), *packed(terms, counts), toxic
 
         return step
 
-    schema = "doc_id long, terms array<long>, counts array<long>, toxic int"
-    known = map_rows(examples.select("doc_id", "text", "toxic"), vectors, schema).orderBy("doc_id", "terms", "counts")
-    # Rows of a repeated doc_id are examples each; a bound above EXAMPLES rows holds for those too.
-    rows = known.limit(2 * EXAMPLES).collect()
-    return Model(terms, idf, [(r["doc_id"], dict(zip(r["terms"], r["counts"])), r["toxic"]) for r in rows])
+    schema = "doc_id long, digest string, terms binary, counts binary, toxic int"
+    # Repeated rows are one example.
+    known = map_rows(examples, vectors, schema).dropDuplicates(["doc_id", "digest"]).toArrow()
+    shared.destroy()
+    known = known.sort_by([("doc_id", "ascending"), ("digest", "ascending")])
+    none = [np.zeros(0, np.int32)]
+    lists, counts = ([unpacked(x) for x in known[c].to_pylist()] for c in ("terms", "counts"))
+    edges = np.cumsum([0, *map(len, lists)])
+    numbers, counts = np.concatenate(lists or none), np.concatenate(counts or none)
+    model = Model(terms, idf, known["doc_id"].to_pylist(), edges, numbers, counts, known["toxic"].to_numpy().astype(float))
+    model.calibrate = Isotonic(votes_of(spark, model), model.known)
+    return model
+
+
+def votes_of(spark, model: Model) -> np.ndarray:
+    """The vote on each example, by the others."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def make():
+        return lambda part: zip([i for (i,) in part], shared.value.votes([i for (i,) in part]))
+
+    found = map_rows(spark.range(len(model.ids)), make, "example long, vote double").toArrow()
+    votes = np.zeros(len(model.ids))
+    votes[found["example"].to_numpy()] = found["vote"].to_numpy()
+    shared.destroy()
+    return votes
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,18 +352,18 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         known = model.value
         memory: dict[tuple, tuple] = {}
 
-        def one(doc_id, text):
-            counts = known.counts(text)
-            if doc_id in known.place:
-                return known.score(doc_id, counts)
-            key = tuple(sorted(counts.items()))
-            if key not in memory:
-                if len(memory) > 100_000:
-                    memory.clear()
-                memory[key] = known.score(None, counts)
-            return memory[key]
-
-        return lambda rows: [one(*row) for row in rows]
+        def step(rows):
+            if len(memory) > MEMORY:
+                memory.clear()
+            # An example's neighbours depend on its doc_id, those of other documents on the text alone.
+            keys = [
+                (doc_id if doc_id in known.place else None, hashlib.md5((text or "").encode()).digest()) for doc_id, text in rows
+            ]
+            new = {key: text for key, (_, text) in zip(keys, rows) if key not in memory}
+            memory.update(zip(new, known.scores([doc_id for doc_id, _ in new], [known.counts(t) for t in new.values()])))
+            return [memory[key] for key in keys]
+
+        return step
 
     schema = "toxic_score double, toxic_evidence array<struct<doc_id: long, cosine: double, label: int>>"
     return append_columns(docs, ["doc_id", "text"], make, schema)

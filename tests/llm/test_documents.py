@@ -155,6 +155,34 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert all((r.toxic_score >= 0.5) == bool(r.doc_id % 2) for r in nearest_labels.score(docs, labels).collect())
 
 
+def test_rare_words_of_examples_count(spark):
+    """Near copies of labelled texts are found by words that few examples have; a repeated row is one example."""
+    rng = random.Random(11)
+    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    rows, labels, fresh = [], [], []
+    for group in range(60):
+        words, toxic = [word() for _ in range(30)], int(group < 20)
+        for k in range(4):
+            text = " ".join(w for i, w in enumerate(words) if i != k)
+            doc_id = learnt[3 * group + k] if k < 3 else 1000 + group
+            rows.append((doc_id, text))
+            if k < 3:
+                labels.append((doc_id, toxic))
+            else:
+                fresh.append((doc_id, toxic, set(learnt[3 * group : 3 * group + 3])))
+    docs = spark.createDataFrame(rows + 20 * rows[:1], "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = nearest_labels.fit(docs, marks)
+    assert sorted(model.ids) == sorted(i for i, _ in labels)
+    assert len(model.terms.number) == len({w for _, text in rows for w in text.split()})
+    found = {r.doc_id: r for r in nearest_labels.score(docs, marks).collect()}
+    for doc_id, toxic, copies in fresh:
+        assert {e.doc_id for e in found[doc_id].toxic_evidence} == copies
+        assert all(e.cosine > 0.9 for e in found[doc_id].toxic_evidence)
+        assert (found[doc_id].toxic_score >= 0.5) == bool(toxic)
+
+
 # ----------------------------------------------------------------- licences
 
 

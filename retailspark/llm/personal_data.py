@@ -7,9 +7,12 @@ Disguised ones are found in a normalised text. A transducer rewrites the text fr
 character it emits which source characters it stands for:
 
 - look-alike letters, full-width forms and decimal digits of other scripts become ASCII, one for one;
-- runs of at least four spelled digits (``five five oh ...``, with ``double``, ``plus`` and ``dot`` between them) become
-  digits without space;
-- bracketed ``[at]`` and ``(dot)``, and spaced `` at `` with `` dot `` behind it, become ``@`` and ``.``.
+- runs of spelled digits (``five five oh ...``, with ``double``, ``plus`` and ``dot`` between them) and numerals, of at
+  least four digits, become digits: without space between spelled ones and at dots, with a space beside numerals;
+- bracketed ``[at]`` and ``(dot)``, and spaced `` at `` with `` dot `` behind it, become ``@`` and ``.``;
+- spaced `` at `` before a domain with plain dots becomes ``@`` if the word before it has a digit, dot, ``_``, ``%`` or
+  ``+``, or stands behind a word like ``mail`` or ``contact``, or if the domain is a mail provider's. Without any of
+  these it is left alone: ``look at example.com`` has the same form.
 
 Identifiers in the normalised text that hold a rewritten character are mapped back to source spans, and are added to the
 plain ones unless a plain one of the same kind holds them. Offsets are code points, ends are exclusive.
@@ -108,16 +111,22 @@ SPELLED = {
     "eight": "8", "nine": "9",
 }
 _FOREIGN = re.compile("[" + "".join(LOOK_ALIKES) + "！-～]|(?![0-9])\\d")
-_DIGIT = "(?:(?:double |triple )?(?:" + "|".join(SPELLED) + "))"
-_RUN = re.compile(
-    rf"(?i)\b(?:plus[ ,-]+)?{_DIGIT}(?:(?:[ ,-]+|[ ,]+(?:dot|point)[ ,]+){_DIGIT}){{3,}}\b"
-)
-_RUN_WORD = re.compile(r"(?i)[a-z]+")
+_DIGIT = "(?:(?:double |triple )?(?:" + "|".join(SPELLED) + r")\b)"
+_ITEM = rf"(?:{_DIGIT}|[0-9]++(?:\.[0-9]++)*+\b)"
+_RUN = re.compile(rf"(?i)\b(?:plus[ ,-]+)?{_ITEM}(?:(?:[ ,()-]+|[ ,]+(?:dot|point)[ ,]+){_ITEM})++")
+_RUN_PART = re.compile(r"(?i)[a-z]+|[0-9.]+")
+_RUN_DIGITS = 4  # an address has as many at least
 _AT = re.compile(r"(?i)\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*")
 _DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*")
 _SPACED = re.compile(r"(?i)(?<=[a-z0-9_%+-])( +at +|@)(?=[a-z0-9-]+ +dot +[a-z0-9-])([a-z0-9-]+)((?: +dot +[a-z0-9-]+)+)")
 _SPACED_LOCAL = re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9_%+-]+(?: +dot +[a-z0-9_%+-]+)+(?= *[\[({<]\s*at\b| +at +[a-z0-9-]+ +dot +)")
 _SPACED_DOT = re.compile(r"(?i) +dot +")
+_AT_DOMAIN = re.compile(r"(?i)(?<![a-z0-9._%+-])([a-z0-9._%+-]++)( +at +)((?:[a-z0-9-]+\.)+[a-z]{2,})(?![a-z0-9-])")
+_MAIL_WORD = re.compile(r"(?i)\b(?:e-?mails?|mail|mailto|contact|reach|write)(?: (?:me|us|to|is|address))*[ :=-]+$")
+# Domains that are there for mail.
+_PROVIDER = re.compile(
+    r"(?i)(?:gmail|googlemail|yahoo|ymail|hotmail|outlook|live|msn|icloud|aol|proton|protonmail|gmx|yandex|zoho|fastmail|qq)\."
+)
 _DISGUISE = re.compile(r"(?i)[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]| dot ")
 
 Edit = tuple[int, int, str]
@@ -136,23 +145,44 @@ def _spelled(text: str) -> list[Edit]:
     """One edit a digit, so that the spans of single digits stay known; what stands between them goes."""
     edits = []
     for run in _RUN.finditer(text):
-        at, times = run.start(), 1
-        for word in _RUN_WORD.finditer(text, run.start(), run.end()):
-            name = word.group().lower()
+        own, spoken, n, times, before, end = [], False, 0, 1, "", run.start()
+        for part in _RUN_PART.finditer(text, run.start(), run.end()):
+            name = part.group().lower()
+            sign = {"plus": "+", "dot": ".", "point": "."}.get(name)
+            kind = "sign" if sign else "numeral" if name[0] in "0123456789." else "word"
+            if times == 1 and part.start() > end:
+                between = text[end : part.start()]
+                if "sign" in (before, kind) or before == kind == "word":
+                    own.append((end, part.start(), ""))
+                elif "word" in (before, kind) or "," in between:
+                    own.append((end, part.start(), " "))
+            before, spoken = kind, spoken or kind != "numeral"
             if name in ("double", "triple"):
-                times = 2 if name == "double" else 3
+                times, end = 2 if name == "double" else 3, part.start()
                 continue
-            sign = {"plus": "+", "dot": ".", "point": "."}.get(name)
-            edits.append((at, word.end(), sign or SPELLED[name] * times))
-            at, times = word.end(), 1
+            if kind != "numeral":
+                own.append((end if times > 1 else part.start(), part.end(), sign or SPELLED[name] * times))
+            n += 0 if sign else len(digits_of(name)) or times
+            end, times = part.end(), 1
+        if spoken and n >= _RUN_DIGITS:
+            edits += own
     return edits
 
 
+def _addressed(text: str, m: re.Match) -> bool:
+    """Whether what stands before the at is meant as a mailbox."""
+    return bool(
+        _PROVIDER.match(m.group(3)) or re.search(r"[0-9_%+]|\w\.\w", m.group(1))
+        or _MAIL_WORD.search(text, max(0, m.start() - 40), m.start())
+    )
+
+
 def _at_and_dot(text: str) -> list[Edit]:
     edits = [(*m.span(), "@") for m in _AT.finditer(text)] + [(*m.span(), ".") for m in _DOT.finditer(text)]
     for m in _SPACED.finditer(text):
         edits.append((*m.span(1), "@"))
         edits += [(*d.span(), ".") for d in _SPACED_DOT.finditer(text, *m.span(3))]
+    edits += [(*m.span(2), "@") for m in _AT_DOMAIN.finditer(text) if _addressed(text, m)]
     for m in _SPACED_LOCAL.finditer(text):
         edits += [(*d.span(), ".") for d in _SPACED_DOT.finditer(text, *m.span())]
     return edits
@@ -188,7 +218,7 @@ class Normalised:
 def hidden_spans(text: str, plain: list[Span]) -> list[Span]:
     """Spans of disguised identifiers that no plain span of their kind holds."""
     foreign = not text.isascii() and _FOREIGN.search(text)
-    if not (foreign or _DISGUISE.search(text) or _RUN.search(text)):
+    if not (foreign or _DISGUISE.search(text) or _AT_DOMAIN.search(text) or _spelled(text)):
         return []
     form = Normalised(text)
     if foreign:

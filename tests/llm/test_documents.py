@@ -66,6 +66,28 @@ def test_ordinary_text_is_left_alone(text):
     assert personal_data.spans(text) == ([], [])
 
 
+@pytest.mark.parametrize("text, kind, part", [
+    ("call +1 555 one two three 4567 now", "phone", "+1 555 one two three 4567"),
+    ("call plus 1 (555) one double two 4567 now", "phone", "plus 1 (555) one double two 4567"),
+    ("host 192 dot 168 dot one dot one is up", "ip", "192 dot 168 dot one dot one"),
+    ("host 192 dot 168 dot 1 dot 1, is up", "ip", "192 dot 168 dot 1 dot 1"),
+    ("number one 10.20 dot 30 dot four is up", "ip", "10.20 dot 30 dot four"),
+    ("card 4111 1111 1111 one one one one.", "card", "4111 1111 1111 one one one one"),
+    ("ask john at gmail.com today", "email", "john at gmail.com"),
+    ("ask j.doe at corp.example.org.", "email", "j.doe at corp.example.org"),
+    ("email me: jane at example.com", "email", "jane at example.com"),
+])
+def test_mixed_disguises_are_found(text, kind, part):
+    plain, found = personal_data.spans(text)
+    assert (kind, text.index(part), text.index(part) + len(part)) in found
+    assert part not in personal_data.redact(text, found)
+
+
+@pytest.mark.parametrize("text", ["we met at 10.30 and one of 200 2 left", "look at example.com, point 3 of 12", "one 2 three dot"])
+def test_mixed_numbers_in_ordinary_text_are_left_alone(text):
+    assert personal_data.spans(text) == ([], [])
+
+
 # --------------------------------------------------------------- host rules
 
 

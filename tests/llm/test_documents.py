@@ -223,6 +223,34 @@ def test_licence_lines_are_found(spark):
     assert all(0.5 <= r.probability <= 1 for r in found)
 
 
+def test_wrapped_and_neighbouring_licences_are_told_apart():
+    rng = random.Random(4)
+    others = [["".join(rng.choices("abcdefgh", k=4)) for _ in range(12)] for _ in range(200)]
+    model = licences.Classifier(others)
+    published = "General Public License as published by the Free Software Foundation"
+    cases = [
+        (f"it under the terms of the GNU Affero {published}", "agpl"),
+        (f"it under the terms of the GNU Lesser {published}", "lgpl"),
+        (f"it under the terms of the GNU {published}", "gpl"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "cc-by-nc-sa"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "cc-by-nd"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+        ("Released under the ISC License.", "isc"),
+    ]
+    for text, family in cases:
+        assert [(x[3], x[-1]) for x in model.find(text)] == [(family, True)], text
+        words = text.split()
+        for width in (3, 5):
+            lines = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            whole = "abcd efgh\n\n" + "\n".join(lines) + "\n\nlast"
+            assert {x[3] for x in model.find(whole) if x[-1]} == {family}, whole
+    two = "Permission is hereby granted, free of charge,\nto any person obtaining a copy of this software\n"
+    two += "you may not use this file except in\ncompliance with the Apache License, Version 2.0"
+    assert [x[3] for x in model.find(two) if x[-1]] == ["mit", "apache-2.0"]
+    for text in ("Licensed under the Sleepycat License, Version 2.0.", "Licensed under the Apache License, Version 1.1."):
+        assert not any(x[-1] for x in model.find(text)), text
+
+
 # ------------------------------------------------------------- small worlds
 
 

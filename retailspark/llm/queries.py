@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailspark.llm import (
-    host_rules, huffman, licences, near_copies, nearest_labels, packing, personal_data, prefix_bpe, separators, small_world,
+    host_rules, huffman, infilling, licences, near_copies, nearest_labels, oracle, packing, personal_data, prefix_bpe,
+    prefix_trie, separators, small_world, substrings,
 )
 from retailspark.llm.common import table
 from retailspark.session import scratch_folder
@@ -89,6 +90,30 @@ def op10_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_world.search(embeddings, embeddings.filter("vec_id % 20 = 0"))
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed and the digest of the words kept of every document."""
+    return substrings.repeats_removed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def op12_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cuts of every document, and digests of the text made and of the one restored from it."""
+    made = infilling.infilled(table(spark, sf_dir, "documents"))
+    back = infilling.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    conversations = table(spark, sf_dir, "conversations")
+    sequences = prefix_trie.paths(prefix_trie.rebuilt(prefix_trie.listed(conversations)))
+    return prefix_trie.nodes(sequences).drop("turn")
+
+
 QUERIES = {
     "op1_licences": op1_licences,
     "op2_token_counts": op2_token_counts,
@@ -100,5 +125,12 @@ QUERIES = {
     "op8_prefix_bpe": op8_prefix_bpe,
     "op9_nearest_labels": op9_nearest_labels,
     "op10_small_world": op10_small_world,
+    "op11_substrings": op11_substrings,
+    "op12_infilling": op12_infilling,
+    "op13_prefix_trie": op13_prefix_trie,
+}
+ORACLES: dict[str, str] = {
+    "op11_substrings": oracle.SUBSTRINGS,
+    "op12_infilling": oracle.INFILLING,
+    "op13_prefix_trie": oracle.PREFIX_TRIE,
 }
-ORACLES: dict[str, str] = {}

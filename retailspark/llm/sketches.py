@@ -22,9 +22,10 @@ def powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit number for each word of the lower-cased texts, and where each text's words start (one more entry)."""
-    raw = [t.lower().encode() for t in texts]
+def words(texts: list[str], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit number for each word of the texts, lower-cased if ``fold``, and where each text's words start (one more
+    entry)."""
+    raw = [(t.lower() if fold else t).encode() for t in texts]
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     space = _SPACE[data]
     before = np.empty(len(data), bool)

@@ -30,11 +30,16 @@ def folder(spark, tmp_path_factory):
     """Tables of awkward rows, and the same without any rows."""
     base = tmp_path_factory.mktemp("edges")
     embeddings = [(20, [1.0, 0.0], 1), (20, [1.0, 0.0], 1), (21, [0.5, 0.5], None), (22, None, 1), (None, [1.0, 1.0], 1)]
+    conversations = [
+        (5, 1, "user", "a", "p", 1, 2, 3), (5, 1, "user", "a", "p", 1, 2, 3), (5, None, None, None, None, None, None, None),
+        (6, 1, "user", "", "p", 1, 2, 3), (None, 1, "user", "a", "p", 1, 2, 3), (7, 0, "user", "x " * 50_000, "p", 1, 2, 3),
+    ]
     labels = [(1, 1, 0), (2, None, None), (5, 0, 0), (7, 1, 0), (7, 1, 1), (None, 1, 1)]
     for name, keep in (("awkward", True), ("empty", False)):
         for table, data, schema in (
             ("documents", rows(), COLUMNS), ("embeddings", embeddings, "vec_id long, embedding array<float>, label int"),
             ("labels", labels, "doc_id long, quality int, toxic int"),
+            ("conversations", conversations, "conv_id long, turn int, role string, text string, path string, key int, number int, keys int"),
         ):
             df = spark.createDataFrame(data if keep else [], schema)
             df.write.parquet(f"{base}/{name}/{table}.parquet")
@@ -43,7 +48,7 @@ def folder(spark, tmp_path_factory):
 
 ONE_ROW_A_DOCUMENT = [
     "op2_token_counts", "op3_near_copies", "op5_personal_data", "op6_huffman", "op7_host_rules", "op8_prefix_bpe",
-    "op9_nearest_labels",
+    "op9_nearest_labels", "op11_substrings", "op12_infilling",
 ]
 
 

@@ -6,34 +6,88 @@ from pyspark.sql import Column, functions as F
 
 EARLIEST_YEAR = 1900
 LATEST_YEAR = 2025
-NAMED_MONTHS = ("MMM d, yyyy", "MMMM d, yyyy", "d-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy")
+# Month and weekday names as date texts have them, whole or shortened.
+MONTHS = (
+    "jan(?:uary)?", "feb(?:ruary)?", "mar(?:ch)?", "apr(?:il)?", "may", "june?", "july?", "aug(?:ust)?",
+    "sep(?:t|tember)?", "oct(?:ober)?", "nov(?:ember)?", "dec(?:ember)?",
+)
+WEEKDAYS = "(?:mon|tue(?:s)?|wed(?:nes)?|thu(?:r|rs)?|fri|sat(?:ur)?|sun)(?:day)?"
+
+_SEP = r"[ ,./-]*"
+
+
+HALF_DAY = r"(?i)^(.*[ ,])([0-9]{1,2})((?::[0-9]{2}){0,2}(?:\.[0-9]{1,9})?) *([ap])\.?m\.?$"
+
+
+def _by_24_hours(text: Column) -> Column:
+    """A text that ends in am or pm with its hour as 24 hours have it."""
+    front, hour, rest, half = (F.regexp_extract(text, HALF_DAY, i) for i in range(1, 5))
+    hour = hour.try_cast("int") % 12 + F.when(F.lower(half) == "p", 12).otherwise(0)
+    return F.concat(front, F.lpad(hour.cast("string"), 2, "0"), F.when(rest == "", ":00").otherwise(rest))
+
+
+def _with_names(text: Column) -> Column:
+    """Year, month and day in figures, of a text in lower case with the month's name: day first, month first or year
+    first, or no day, which is the first of the month then. Any other text stays as it is."""
+    t = F.regexp_replace(text, rf"^{WEEKDAYS}\.?,? +", "")
+    t = F.regexp_replace(t, r"(?<=[0-9])(?:st|nd|rd|th)\b", "")
+    for number, name in enumerate(MONTHS, 1):
+        t = F.regexp_replace(t, rf"(?<![a-z]){name}(?![a-z])\.?", f"#{number:02d}#")
+    end = "(?=$|[ ,])"
+    for pattern, figures in (
+        (rf"^([0-9]{{1,2}}){_SEP}#([0-9]{{2}})#{_SEP}([0-9]{{4}}|[0-9]{{2}}){end}", "$3-$2-$1"),
+        (rf"^#([0-9]{{2}})#{_SEP}([0-9]{{4}}){end}", "$2-$1-01"),
+        (rf"^#([0-9]{{2}})#{_SEP}([0-9]{{1,2}})[ ,./-]+([0-9]{{4}}|[0-9]{{2}}){end}", "$3-$1-$2"),
+        (rf"^([0-9]{{4}}){_SEP}#([0-9]{{2}})#{_SEP}([0-9]{{1,2}}){end}", "$1-$2-$3"),
+        (rf"^([0-9]{{4}}){_SEP}#([0-9]{{2}})#{end}", "$1-$2-01"),
+    ):
+        t = F.regexp_replace(t, pattern, figures)
+    return t
+
+
+def _in_figures(text: Column) -> Column:
+    """Year first, of a text of figures."""
+    for pattern, figures in (
+        (r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})(?![0-9])", "$1-$2-$3"),
+        (r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[ T])", "$1-$2-$3"),
+        (r"^([0-9-]+[ T])([0-9]{2})([0-9]{2})([0-9]{2})$", "$1$2:$3:$4"),
+        (r"^([0-9-]+[ T])([0-9]{2})([0-9]{2})$", "$1$2:$3"),
+        (r"^(1[3-9]|2[0-9]|3[01])[/.-]([0-9]{1,2})[/.-]([0-9]{4}|[0-9]{2})(?=$|[ T,])", "$3-$2-$1"),
+        (r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4}|[0-9]{2})(?=$|[ T,])", "$3-$1-$2"),
+    ):
+        text = F.regexp_replace(text, pattern, figures)
+    return text
 
 
 def parse_timestamp(c: Column, dtype: str = "string", formats: tuple[str, ...] = ()) -> Column:
     """Timestamp of ``c`` or NULL.
 
-    Reads ISO dates and times, ``yyyy/MM/dd``, ``yyyyMMdd``, and dates with month names. Dates
-    of two small numbers and a year are month first, or day first if the first number is over 12;
-    a year of two digits lies in 1969..2068. ``formats`` adds further datetime patterns, tried in
-    order afterwards.
+    Reads ISO dates and times, dates of figures with ``/``, ``.`` or ``-`` or none of them, and dates with a month's name,
+    whole or shortened, in any order and case, with or without a weekday; all with a time behind, by 24 hours or with am
+    and pm. Dates of two small numbers and a year are month first, or day first if the first number is over 12; a year of
+    two digits lies in 1969..2068; a month and a year are the first of the month. ``formats`` adds further datetime
+    patterns, tried in order afterwards.
     """
     if dtype in ("timestamp", "timestamp_ntz", "date"):
         return c.cast("timestamp_ntz")
-    text = F.trim(c)
-    iso = F.regexp_replace(text, r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", "$1-$2-$3")
-    iso = F.regexp_replace(iso, r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
-    short = r"^[0-9]{1,2}[/-][0-9]{1,2}[/-](?=%s$)"
-    iso = F.regexp_replace(iso, short % "(?:69|[7-9][0-9])", "$019")
-    iso = F.regexp_replace(iso, short % "[0-6][0-9]", "$020")
-    iso = F.regexp_replace(iso, r"^(1[3-9]|2[0-9]|3[01])[/-]([0-9]{1,2})[/-]([0-9]{4})", "$3-$2-$1")
-    iso = F.regexp_replace(iso, r"^([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})", "$3-$1-$2")
-    attempts = [F.when(iso.rlike(r"^[0-9]{4}-"), iso).try_cast("timestamp_ntz")]
-    attempts += [
-        F.when(text.rlike("[A-Za-z]"), F.try_to_timestamp(text, F.lit(f))).cast("timestamp_ntz")
-        for f in NAMED_MONTHS
-    ]
-    attempts += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*attempts)
+    raw = F.trim(c)
+    text = F.when(raw.rlike(HALF_DAY), _by_24_hours(raw)).otherwise(raw)
+    named = raw.rlike("[A-Za-z]{3}") & raw.rlike("[0-9]")
+    plain = F.when(named, _with_names(F.lower(text))).otherwise(_in_figures(text))
+    for pattern, figures in (
+        ("^(?=(?:69|[7-9][0-9])-)", "19"),
+        ("^(?=[0-6][0-9]-)", "20"),
+        ("^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[ ,]+(?=[0-9])", "$1 "),
+    ):
+        plain = F.regexp_replace(plain, pattern, figures)
+    attempts = [F.regexp_extract(plain, "^[0-9]{4}-[0-9].*$", 0).try_cast("timestamp_ntz")]
+    attempts += [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(*attempts) if formats else attempts[0]
+
+
+def unread(c: Column, dtype: str = "string", formats: tuple[str, ...] = ()) -> Column:
+    """Whether there is a text that no date can be read from."""
+    return c.isNotNull() & parse_timestamp(c, dtype, formats).isNull()
 
 
 def repair_year(ts: Column, mode: str = "repair", latest: int = LATEST_YEAR) -> Column:
@@ -42,14 +96,12 @@ def repair_year(ts: Column, mode: str = "repair", latest: int = LATEST_YEAR) ->
     ``repair`` moves the date forward by whole millennia (1016 -> 2016) and gives
     NULL when no such move lands in [1900, latest]; ``null`` gives NULL outright.
     """
+    # Stated as a sum, both parts of which are always needed, so that ``ts`` is computed once.
     year = F.year(ts)
-    fine = year >= EARLIEST_YEAR
     if mode == "null":
-        return F.when(fine, ts)
+        return ts + F.make_ym_interval(F.when(year >= EARLIEST_YEAR, 0), F.lit(0))
     if mode != "repair":
         raise ValueError(f"unknown year repair mode: {mode}")
     shift = F.floor((F.lit(latest) - year) / F.lit(1000)).cast("int") * F.lit(1000)
-    return F.when(fine, ts).when(
-        (year + shift).between(EARLIEST_YEAR, latest),
-        ts + F.make_ym_interval(shift, F.lit(0)),
-    )
+    years = F.when(year >= EARLIEST_YEAR, 0).when((year + shift).between(EARLIEST_YEAR, latest), shift)
+    return ts + F.make_ym_interval(years, F.lit(0))

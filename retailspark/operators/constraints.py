@@ -32,28 +32,31 @@ def _key_violations(df: DataFrame, name: str) -> DataFrame:
 
 
 def reference_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per reference: child rows and distinct child keys without a parent, NULL left out.
+    """Per reference: child rows and distinct child keys without a parent, NULL left out."""
+    return _union([
+        _lost_keys(tables[name], name, column, tables[parent])
+        for name, table in TABLES.items()
+        for column, (parent, _) in table.references.items()
+        if name in tables and parent in tables
+    ])
 
-    Children are counted by key first, so a frequent key is one row in the join.
-    """
-    frames = []
-    for name, table in TABLES.items():
-        for column, (parent, parent_key) in table.references.items():
-            if name in tables and parent in tables:
-                keys = tables[name].select(F.col(column).alias("k")).filter("k is not null")
-                parents = tables[parent].select(F.col(parent_key).alias("k"))
-                lost = keys.groupBy("k").agg(F.count("*").alias("n")).join(
-                    parents, "k", "left_anti"
-                )
-                frames.append(
-                    lost.agg(
-                        F.coalesce(F.sum("n"), F.lit(0)).alias("violating_rows"),
-                        F.count("*").alias("violating_keys"),
-                    ).select(
-                        F.lit(f"{name}.{column} -> {parent}.{parent_key}").alias("reference"), "*"
-                    )
-                )
-    return _union(frames)
+
+def lost_references(child: DataFrame, name: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """The same for the references of one table."""
+    return _union([
+        _lost_keys(child, name, column, parents[parent]) for column, (parent, _) in TABLES[name].references.items()
+    ])
+
+
+def _lost_keys(child: DataFrame, name: str, column: str, parent_rows: DataFrame) -> DataFrame:
+    """Children are counted by key first, so a frequent key is one row in the join."""
+    parent, parent_key = TABLES[name].references[column]
+    keys = child.select(F.col(column).alias("k")).filter("k is not null")
+    parents = parent_rows.select(F.col(parent_key).alias("k"))
+    lost = keys.groupBy("k").agg(F.count("*").alias("n")).join(parents, "k", "left_anti")
+    return lost.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("violating_rows"), F.count("*").alias("violating_keys")
+    ).select(F.lit(f"{name}.{column} -> {parent}.{parent_key}").alias("reference"), "*")
 
 
 def not_null_violations(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 
@@ -91,15 +92,25 @@ def conform(df: DataFrame, name: str, strict: bool = False) -> DataFrame:
     return df.select(*columns)
 
 
-def refused(df: DataFrame, name: str) -> str | None:
-    """Why the table's constraints refuse the rows on their own: keys that repeat, or NULL where none may be."""
-    keys = constraints.key_violations({name: df}).first()
-    if keys.repeated_keys or keys.null_key_rows:
-        return f"{name}: {keys.repeated_keys} repeated keys, {keys.null_key_rows} rows without a full key"
-    for row in constraints.not_null_violations({name: df}).collect() if TABLES[name].not_null else ():
-        if row.null_rows:
-            return f"{name}.{row.column_name}: {row.null_rows} NULLs"
-    return None
+def refused(new: DataFrame, name: str, old: DataFrame | None = None, parents: Mapping[str, DataFrame] | None = None) -> str | None:
+    """Why the table's constraints refuse the ``new`` rows beside the ``old`` ones: keys that repeat, NULL where none may be,
+    or references to rows that ``parents`` do not have. All are looked for in one job."""
+    text = lambda *parts: F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+    repeated, partial = F.col("repeated_keys"), F.col("null_key_rows")
+    found = [
+        constraints.key_violations({name: new if old is None else new.unionByName(old)}).filter((repeated > 0) | (partial > 0))
+        .select(F.lit(0).alias("rank"), text(f"{name}: ", repeated, " repeated keys, ", partial, " rows without a full key").alias("cause"))
+    ]
+    if TABLES[name].not_null:
+        found.append(constraints.not_null_violations({name: new}).filter("null_rows > 0").select(
+            F.lit(1), text(f"{name}.", F.col("column_name"), ": ", F.col("null_rows"), " NULLs")
+        ))
+    if parents:
+        found.append(constraints.lost_references(new, name, parents).filter("violating_rows > 0").select(
+            F.lit(2), text(F.col("reference"), ": ", F.col("violating_rows"), " rows without a parent")
+        ))
+    causes = sorted((r.rank, r.cause) for r in reduce(DataFrame.unionAll, found).collect())  # one a constraint at most
+    return causes[0][1] if causes else None
 
 
 def conformance(df: DataFrame, name: str) -> DataFrame:
@@ -119,41 +130,111 @@ def conformance(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+# A load writes its rows to a partition of its own in each table's store. Views show the partitions of committed loads
+# only, and a load commits by one insert into the table of commits, so all of its tables appear at once or none does.
+COMMITS = "load_commits"
+
+
+def _store(database: str, name: str) -> str:
+    return f"{database}.rows_{name}"
+
+
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """(Re)create the nine empty tables of ``database`` under ``location``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    for name, table in reversed(TABLES.items()):
+    for name in reversed(TABLES):
+        spark.sql(f"DROP VIEW IF EXISTS {database}.{name}")
+        spark.sql(f"DROP TABLE IF EXISTS {_store(database, name)}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{COMMITS}")
+    spark.sql(f"CREATE TABLE {database}.{COMMITS} (load_id string, table_name string) USING parquet")
+    for name, table in TABLES.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet")
+        spark.sql(
+            f"CREATE TABLE {_store(database, name)} ({columns}, load_id string) USING parquet PARTITIONED BY (load_id)"
+        )
+        spark.sql(
+            f"CREATE VIEW {database}.{name} AS SELECT {', '.join(table.columns)} FROM {_store(database, name)}"
+            f" WHERE load_id IN (SELECT load_id FROM {database}.{COMMITS} WHERE table_name = '{name}')"
+        )
+
+
+def _staged(spark: SparkSession, database: str, name: str, load_id: str) -> DataFrame:
+    """What this load has written for the table, committed or not."""
+    rows = spark.table(_store(database, name)).filter(F.col("load_id") == load_id)
+    return rows.select(*TABLES[name].columns)
+
+
+def _stage(rows: DataFrame, database: str, name: str, load_id: str) -> None:
+    """Write the rows beside the table, in place of what a broken attempt of the same load has left."""
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE {_store(database, name)} PARTITION (load_id = '{load_id}') SELECT * FROM {{rows}}", rows=rows
+    )
+
+
+def _withdraw(spark: SparkSession, database: str, name: str, load_id: str) -> None:
+    spark.sql(f"ALTER TABLE {_store(database, name)} DROP IF EXISTS PARTITION (load_id = '{load_id}')")
+
+
+def committed(spark: SparkSession, database: str, load_id: str) -> set[str]:
+    """Tables that this load has filled."""
+    rows = spark.table(f"{database}.{COMMITS}").filter(F.col("load_id") == load_id).select("table_name")
+    return {r.table_name for r in rows.distinct().collect()}  # nine at most
 
 
 def append_tables(
-    tables: Mapping[str, DataFrame], database: str, spark: SparkSession, check: bool = True
+    tables: Mapping[str, DataFrame],
+    database: str,
+    spark: SparkSession,
+    check: bool = True,
+    whole: bool = False,
+    load_id: str | None = None,
 ) -> DataFrame:
     """Append to the target tables, parents first; stops at the first failure and logs its cause.
 
-    Absent tables are skipped. Tables appended before a failure stay loaded. Values that a column cannot hold,
-    repeated or NULL keys and NULLs in NOT NULL columns are refused unless ``check`` is off. They are looked for in
-    the old and new rows together, before anything is written.
+    Absent tables are skipped. Values that a column cannot hold, repeated or NULL keys, NULLs in NOT NULL columns and
+    references without a parent are refused unless ``check`` is off. All rows are written once, beside the tables, and
+    looked at there together with the rows the tables have. Then all tables that passed are committed in one step; with
+    ``whole`` none is, unless all have passed. Until then nobody sees any of the rows. A table that the load ``load_id``
+    has committed before is left as it is, so a load may be repeated.
     """
-    log = []
+    load_id = load_id or uuid.uuid4().hex
+    done = committed(spark, database, load_id)
+    log, passed, failure = [], [], None
     for position, name in enumerate(TABLES, start=1):
         if name not in tables:
             continue
-        target = f"{database}.{name}"
-        before = spark.table(target).count()
+        if name in done:
+            log.append((position, name, 0, spark.table(f"{database}.{name}").count(), True, None))
+            continue
         try:
-            rows = conform(tables[name], name, strict=check)
-            cause = refused(rows.unionByName(spark.table(target)), name) if check else None
-            if cause:
-                raise ValueError(cause)
-            rows.write.mode("append").format("parquet").saveAsTable(target)
+            _stage(conform(tables[name], name, strict=check), database, name, load_id)
+            new = _staged(spark, database, name, load_id)
+            if check:
+                parents = {p for p, _ in TABLES[name].references.values()}
+                seen = {
+                    p: _staged(spark, database, p, load_id).unionByName(spark.table(f"{database}.{p}")) for p in parents
+                }
+                cause = refused(new, name, spark.table(f"{database}.{name}"), seen)
+                if cause:
+                    raise ValueError(cause)
         except Exception as error:  # the cause goes to the log
-            log.append((position, name, 0, before, False, str(error)[:2000]))
+            _withdraw(spark, database, name, load_id)
+            failure = name
+            log.append((position, name, 0, spark.table(f"{database}.{name}").count(), False, str(error)[:2000]))
             break
-        after = spark.table(target).count()
-        log.append((position, name, after - before, after, True, None))
+        passed.append(name)
+        rows = new.count()
+        log.append((position, name, rows, spark.table(f"{database}.{name}").count() + rows, True, None))
+    if whole and failure:
+        for name in passed:
+            _withdraw(spark, database, name, load_id)
+        log = [
+            (position, name, 0, after - rows, False, f"withdrawn with {failure}" if name in passed else error)
+            for position, name, rows, after, _, error in log
+        ]
+    elif passed:
+        commits = spark.createDataFrame([(load_id, name) for name in passed], "load_id string, table_name string")
+        commits.coalesce(1).write.insertInto(f"{database}.{COMMITS}")
     return spark.createDataFrame(log, LOG_SCHEMA)
 
 

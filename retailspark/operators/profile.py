@@ -1,12 +1,12 @@
 """Quality checks and the findings they produce.
 
-A check contributes aggregates and the finding rows built from them, so that any
-set of checks on a table runs as one aggregation. The full profile groups equal
-rows first and weights every aggregate by the number of copies: one scan and one
-shuffle give duplicates, missing values, types and range rules together.
+A check contributes conditions to be counted and the finding rows built from the counts, so that any set of checks on a
+table runs as one aggregation. Where repeated rows are asked for, each row is reduced to a digest and a bit for each
+condition first: rows of one digest are equal and have equal bits, so one scan and one narrow shuffle give duplicates,
+missing values, types and range rules together.
 
-Aggregates and findings are stated as SQL text: a wide table has hundreds of them,
-and text reaches the planner in one call.
+Conditions and findings are stated as SQL text: a wide table has hundreds of them, and text reaches the planner in one
+call.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from retailspark.functions import dates, numbers
 from retailspark.functions.numbers import pct
@@ -40,7 +40,7 @@ CLEANING_CHECKS = [DUPLICATES, MISSING, TYPES, QUALITY]
 
 @dataclass
 class Check:
-    """Named aggregates, and finding structs over their names, both as SQL."""
+    """Named counts, and finding structs over their names, both as SQL."""
 
     aggregates: dict[str, str] = field(default_factory=dict)
     findings: list[str] = field(default_factory=list)
@@ -89,10 +89,10 @@ class _Source:
         return cls(_positional(df), df.columns, [t for _, t in df.dtypes])
 
     def count(self, condition: str) -> str:
-        return f"count_if({condition})"
+        return Condition(condition)
 
     def total(self) -> str:
-        return "count(1)"
+        return TOTAL
 
     def nulls(self, i: int) -> str:
         """Missing values: NULL, and NaN where a column can hold it."""
@@ -112,36 +112,62 @@ class _Source:
         return None
 
     def aggregate(self, aggregates: Mapping[str, str]) -> DataFrame:
+        """One row with a count under each name: of rows that meet a condition, of all rows, or of ``EXTRA`` copies."""
         readings = {
             f"n{i}": numbers.number(F.col(f"c{i}"), self.types[i]) for i in sorted(self.numeric)
         }
         df = self.df.withColumns(readings) if readings else self.df
-        plain = {name: sql for name, sql in aggregates.items() if sql != EXTRA}
-        found = df.selectExpr(*[f"{sql} as {name}" for name, sql in plain.items()])
-        if len(plain) == len(aggregates):
-            return found
-        # Two single rows made one.
-        extra = extra_copies(self.df).toDF("extra")
-        both = found.unionByName(extra, allowMissingColumns=True)
-        return both.agg(*[F.max(name).alias(name) for name in aggregates])
+        if EXTRA not in aggregates.values():
+            counted = {TOTAL: "count(1)"}
+            return df.selectExpr(*[f"{counted.get(sql, f'count_if({sql})')} as {name}" for name, sql in aggregates.items()])
+        conditions = sorted({sql for sql in aggregates.values() if isinstance(sql, Condition)})
+        masks = [
+            " | ".join(f"if({c}, {1 << i}L, 0L)" for i, c in enumerate(conditions[at : at + BITS]))
+            for at in range(0, len(conditions), BITS)
+        ]
+        marked = df.select(
+            digest(self.df).alias("digest"), *[F.expr(sql).alias(f"mask{k}") for k, sql in enumerate(masks)]
+        )
+        kinds = marked.groupBy("digest").agg(
+            F.count("*").alias("n"), *[F.min(f"mask{k}").alias(f"mask{k}") for k in range(len(masks))]
+        )
+        held = {c: f"if((mask{i // BITS} & {1 << i % BITS}L) <> 0, n, 0L)" for i, c in enumerate(conditions)}
+        counted = {TOTAL: "n", EXTRA: "n - 1"} | held
+        return kinds.selectExpr(*[f"coalesce(sum({counted[sql]}), 0L) as {name}" for name, sql in aggregates.items()])
+
 
+class Condition(str):
+    """SQL that is true for the rows to be counted."""
 
-EXTRA = "extra copies"  # an aggregate that takes passes of its own
 
+TOTAL, EXTRA = "all rows", "extra copies"
+BITS = 62  # conditions that share a number
 
-def extra_copies(df: DataFrame) -> DataFrame:
-    """One row: how many rows equal another one, less one of each kind.
+_AS_THEY_ARE = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "date")
 
-    Two hashes of each row are counted first, so whole rows travel only where both
-    hashes repeat.
+
+def digest(df: DataFrame) -> Column:
+    """Half of the SHA-256 of a row's values, each with its length: equal for equal rows, and for no others.
+
+    As in a grouping, NULL equals NULL, NaN equals NaN and -0.0 equals 0.0.
     """
-    hashes = {"_h1": F.xxhash64(*df.columns), "_h2": F.hash(*df.columns)}
-    repeated = df.select(*[h.alias(n) for n, h in hashes.items()]).groupBy(*hashes).agg(
-        F.count("*").alias("n")
-    ).filter("n > 1")
-    suspects = df.withColumns(hashes).join(repeated, list(hashes), "left_semi")
-    kinds = suspects.groupBy(*df.columns).agg(F.count("*").alias("n"))
-    return kinds.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"))
+    parts = []
+    for name, dtype in df.dtypes:
+        c = F.col(f"`{name}`")
+        if dtype in _AS_THEY_ARE or dtype.startswith("decimal"):
+            text = c.cast("string")
+        elif dtype in ("float", "double"):
+            text = (c + F.lit(0.0).cast(dtype)).cast("string")
+        elif dtype == "binary":
+            text = F.hex(c)
+        elif dtype == "timestamp":
+            text = F.unix_micros(c).cast("string")
+        elif dtype == "timestamp_ntz":
+            text = c.cast("string")
+        else:
+            text = F.to_json(F.struct(c.alias("v")))
+        parts.append(F.when(c.isNull(), "-").otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)))
+    return F.unhex(F.left(F.sha2(F.concat(*parts), 256), F.lit(32)))
 
 
 def _positional(df: DataFrame) -> DataFrame:
@@ -307,7 +333,7 @@ def _run(s: _Source, table: str, checks: list[Check]) -> DataFrame:
 def profile_table(
     df: DataFrame, table: str, nullable_int_is_drift: bool = False
 ) -> DataFrame:
-    """All findings of one table: one aggregate, and row hashes for the duplicates."""
+    """All findings of one table, from one scan."""
     s = _Source.rows(df)
     checks = [
         _names_check(s),
@@ -358,17 +384,23 @@ def missing(df: DataFrame, table: str) -> DataFrame:
     return _run(s, table, [_missing_check(s)])
 
 
+# What to do about missing values: a condition on the column's lower-case name and share of missing values, and the
+# advice. Fixed values are the share of 50 percent, the words looked for and the order; the first that holds counts.
+ADVICE = {
+    "mostly_empty": "pct > 50",
+    "use_placeholder": "contains(name, 'phone') or contains(name, 'email')",
+    "use_median": "contains(name, 'price')",
+    "inspect": "true",
+}
+
+
 def missing_advice(findings: DataFrame) -> DataFrame:
-    """What to do about each column with missing values; the first fitting advice."""
-    name = F.lower("column_name")
-    advice = (
-        F.when(F.col("pct") > 50, "mostly_empty")
-        .when(name.contains("phone") | name.contains("email"), "use_placeholder")
-        .when(name.contains("price"), "use_median")
-        .otherwise("inspect")
-    )
+    """What to do about each column with missing values, by the table of advice."""
     columns = findings.filter((F.col("check_name") == MISSING) & F.col("column_name").isNotNull())
-    return columns.select("table_name", "column_name", "count", "pct", advice.alias("advice"))
+    fitting = F.array(*[F.when(F.expr(condition), advice) for advice, condition in ADVICE.items()])
+    return columns.withColumn("name", F.lower("column_name")).select(
+        "table_name", "column_name", "count", "pct", F.array_compact(fitting)[0].alias("advice")
+    )
 
 
 def types(
@@ -488,7 +520,10 @@ def orphans(
 
 QUARTILES = (0.25, 0.5, 0.75)
 # Error of the quantile sketch that narrows the search: 1/ACCURACY of the rows.
-ACCURACY = 100_000
+ACCURACY = 10_000
+# Half widths of the brackets that the sketch is asked for, in multiples of its error. The narrowest that is sure to hold
+# a quartile and the value behind it is taken.
+WIDTHS = tuple(2 * 4**k for k in range(9))
 
 
 def _long(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -501,18 +536,18 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe(df: DataFrame, table: str, columns: list[str], exact: bool = True) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max of numeric columns.
 
-    Quartiles are exact with linear interpolation. A bounded sketch brackets each of
-    them to a few hundred-thousandths of the rows; only the values in a bracket are
-    counted and ranked. ``exact=False`` takes the sketch's answer.
+    Quartiles are exact with linear interpolation. A bounded sketch brackets each of them to a few ten-thousandths of
+    the rows; the distinct values in the brackets are counted and sorted over all partitions, and the running counts of
+    the partitions tell which few of them hold the quartiles. ``exact=False`` takes the sketch's answer.
     """
     values = _long(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns)
     value = F.col("value")
-    n = F.count("*")
-    margin = 1.5 / ACCURACY
-    cuts = [min(1.0, max(0.0, q + d)) for q in QUARTILES for d in (-margin, 0.0, margin)]
+    cuts = [
+        min(1.0, max(0.0, q + side * width / ACCURACY)) for q in QUARTILES for side in (-1, 1) for width in (*WIDTHS, 0)
+    ]
     sketch = F.percentile_approx(value, [float(c) for c in cuts], ACCURACY)
     basic = values.groupBy("column_name").agg(
-        n.alias("n"),
+        F.count("*").alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min_value"),
@@ -520,14 +555,12 @@ def describe(df: DataFrame, table: str, columns: list[str], exact: bool = True)
         sketch.alias("cuts"),
     )
     # One row a column, written: it brackets the second scan and gives the first half of the result.
-    folder = scratch_folder(df.sparkSession, "describe")
-    basic.coalesce(1).write.parquet(folder)
-    basic = df.sparkSession.read.schema(basic.schema).parquet(folder)
+    basic = _written(basic.coalesce(1), "describe")
     if exact:
-        quartiles = _exact_quartiles(values, basic)
-        result = basic.join(F.broadcast(quartiles), "column_name")
+        result = basic.join(F.broadcast(_exact_quartiles(values, basic)), "column_name")
     else:
-        result = basic.withColumns({f"q{i}": F.col("cuts")[3 * i + 1] for i in range(3)})
+        step = len(WIDTHS) + 1
+        result = basic.withColumns({f"q{i}": F.col("cuts")[(2 * i + 1) * step - 1] for i in range(3)})
     result = _every(df, columns).join(F.broadcast(result), "column_name", "left")
     return result.select(
         F.lit(table).alias("table_name"),
@@ -541,72 +574,81 @@ def describe(df: DataFrame, table: str, columns: list[str], exact: bool = True)
     )
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    folder = scratch_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _brackets(basic: DataFrame) -> DataFrame:
+    """Per column and quartile: where the value's rank lies, and the least and greatest value it may be.
+
+    A sketch of fewer rows than ``ACCURACY`` is exact; in general a cut is off by up to n / ACCURACY ranks. The bracket
+    reaches over that and two ranks more on both sides.
+    """
+    n, step = F.col("n"), len(WIDTHS) + 1
+    needed = (n / F.lit(ACCURACY) + 2.0) / n * ACCURACY  # half width that is enough
+    choice = F.coalesce(*[F.when(F.lit(float(w)) >= needed, F.lit(k)) for k, w in enumerate(WIDTHS)], F.lit(-1))
+    structs = []
+    for i, q in enumerate(QUARTILES):
+        position = F.lit(q) * (n - 1)
+        low, high = (F.get("cuts", F.lit((2 * i + side) * step) + F.col("choice")) for side in (0, 1))
+        structs.append(F.struct(
+            F.lit(i).alias("i"), F.floor(position).alias("rank"), (position - F.floor(position)).alias("part"),
+            F.when(F.col("choice") < 0, F.col("min_value")).otherwise(low).alias("lo"),
+            F.when(F.col("choice") < 0, F.col("max_value")).otherwise(high).alias("hi"),
+        ))
+    chosen = basic.withColumn("choice", choice)
+    return chosen.select("column_name", F.explode(F.array(*structs)).alias("t")).select("column_name", "t.*")
+
+
 def _exact_quartiles(values: DataFrame, basic: DataFrame) -> DataFrame:
-    # One row per column; too few rows for the sketch to bracket safely keep them all.
-    few = F.col("n") <= 4 * ACCURACY
-    brackets = basic.select(
-        "column_name",
-        "n",
-        *[
-            F.when(few, F.col("min_value")).otherwise(F.col("cuts")[3 * i]).alias(f"lo{i}")
-            for i in range(3)
-        ],
-        *[
-            F.when(few, F.col("max_value")).otherwise(F.col("cuts")[3 * i + 2]).alias(f"hi{i}")
-            for i in range(3)
-        ],
-    )
-    # As many rows as there are columns to describe, so safe to broadcast.
-    placed = values.join(F.broadcast(brackets), "column_name")
     value = F.col("value")
+    targets = _brackets(basic)  # three rows a column, so safe to broadcast
+    wide = targets.groupBy("column_name").agg(
+        *[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(3) for c in ("lo", "hi")]
+    )
+    placed = values.join(F.broadcast(wide), "column_name")
     inside = reduce(
         lambda a, b: a | b, [value.between(F.col(f"lo{i}"), F.col(f"hi{i}")) for i in range(3)]
     )
+    # Outside the brackets a row is only counted, as below each of them.
     counted = placed.groupBy("column_name", F.when(inside, value).alias("value")).agg(
-        F.count("*").alias("copies"),
-        *[F.count_if(value < F.col(f"lo{i}")).alias(f"below{i}") for i in range(3)],
+        F.count("*").alias("copies"), *[F.count_if(value < F.col(f"lo{i}")).alias(f"below{i}") for i in range(3)],
     )
+    counted = _written(counted, "describe-counted")
     below = counted.groupBy("column_name").agg(
-        *[F.sum(f"below{i}").alias(f"below{i}") for i in range(3)]
+        F.array(*[F.sum(f"below{i}") for i in range(3)]).alias("below")
     )
-    per_bracket = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(q).alias("q"),
-                F.col(f"lo{i}").alias("lo"),
-                F.col(f"hi{i}").alias("hi"),
-                F.col(f"below{i}").alias("below"),
-            )
-            for i, q in enumerate(QUARTILES)
-        ]
-    )
-    # Again one row per column and quartile.
-    targets = brackets.join(below, "column_name").select(
-        "column_name", "n", F.explode(per_bracket).alias("t")
-    ).select("column_name", "n", "t.*")
-    ranked = (
-        counted.select("column_name", "value", "copies")
-        .filter("value is not null")
-        .join(F.broadcast(targets), "column_name")
-        .filter(value.between(F.col("lo"), F.col("hi")))
+    targets = targets.join(F.broadcast(below), "column_name").withColumn("below", F.col("below")[F.col("i")])
+
+    ordered = counted.filter("value is not null").select("column_name", "value", "copies")
+    ordered = ordered.repartitionByRange("column_name", "value").withColumn("range", F.spark_partition_id())
+    ordered = _written(ordered, "describe-ordered")
+    # Values in front of each range, per column and bracket: as many rows as there are ranges, times three.
+    held = ordered.join(F.broadcast(targets), "column_name").filter(value.between(F.col("lo"), F.col("hi")))
+    ranges = held.groupBy("column_name", "i", "range").agg(F.sum("copies").alias("held"))
+    before = Window.partitionBy("column_name", "i").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
+    ranges = ranges.join(F.broadcast(targets), ["column_name", "i"]).withColumn("before", F.col("before") + F.col("below"))
+    upto = F.col("before") + F.col("held")
+    needed = [(F.col("before") <= F.col("rank") + k) & (F.col("rank") + k < upto) for k in (0, 1)]
+    ranges = ranges.filter(needed[0] | needed[1]).select(
+        "column_name", "i", "range", "rank", "part", "lo", "hi", "before"
     )
-    order = Window.partitionBy("column_name", "i").orderBy("value")
-    ranked = ranked.withColumn("upto", F.col("below") + F.sum("copies").over(order))
-    position = F.col("q") * (F.col("n") - 1)
-    rank = F.floor(position)
-    picked = ranked.groupBy("column_name", "i", (position - rank).alias("part")).agg(
-        F.min(F.when(F.col("upto") > rank, value)).alias("low"),
-        F.min(F.when(F.col("upto") > rank + 1, value)).alias("high"),
-        F.max(F.col("below") > rank).alias("missed"),
+    # At most two ranges a quartile are ranked, each in a task of its own.
+    found = ordered.join(F.broadcast(ranges), ["column_name", "range"]).filter(value.between(F.col("lo"), F.col("hi")))
+    order = Window.partitionBy("column_name", "i", "range").orderBy("value")
+    found = found.withColumn("upto", F.col("before") + F.sum("copies").over(order))
+    first = found.withColumn("from", F.col("upto") - F.col("copies"))
+    at = lambda k: F.max(F.when((F.col("from") <= F.col("rank") + k) & (F.col("rank") + k < F.col("upto")), value))
+    picked = targets.select("column_name", "i", "rank", "part").join(
+        first.groupBy("column_name", "i").agg(at(0).alias("low"), at(1).alias("high")), ["column_name", "i"], "left"
     )
     # The sketch's error bound rules this out; never answer from a wrong bracket.
-    missed = F.col("missed") | F.col("low").isNull()
-    low = F.when(missed, F.raise_error(F.lit("quartile outside its bracket"))).otherwise(
-        F.col("low")
-    )
-    picked = picked.withColumn("low", low)
-    low, high = F.col("low"), F.coalesce("high", "low")
+    missed = F.col("low").isNull() | (F.col("high").isNull() & (F.col("part") > 0))
+    low = F.when(missed, F.raise_error(F.lit("quartile outside its bracket")).cast("double")).otherwise(F.col("low"))
+    high = F.coalesce("high", "low")
     return picked.groupBy("column_name").agg(
         *[
             F.max(F.when(F.col("i") == i, low + (high - low) * F.col("part"))).alias(f"q{i}")
@@ -678,9 +720,9 @@ def score(findings: DataFrame) -> DataFrame:
 def table_score(df: DataFrame, table: str) -> DataFrame:
     """100 less the share of NULL cells (30 at most) and of repeated rows (20 at most)."""
     s = _Source.rows(df)
-    cells = " + ".join(s.nulls(i) for i in range(len(s.names)))
-    stats = s.aggregate(
-        {"rows": s.total(), "extra": EXTRA, "nulls": cells}
+    cells = {f"nulls_{i}": s.nulls(i) for i in range(len(s.names))}
+    stats = s.aggregate({"rows": s.total(), "extra": EXTRA} | cells).withColumn(
+        "nulls", reduce(lambda a, b: a + b, [F.col(c) for c in cells])
     )
     rows = F.col("rows").cast("double")
     null_share = F.col("nulls") * 100.0 / (rows * len(s.names))

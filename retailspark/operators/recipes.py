@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retailspark.functions import dates, numbers, text
 from retailspark.operators import clean as steps
 from retailspark.operators.clean import REASON, Split
+from retailspark.operators.profile import digest
 from retailspark.schemas import UNKNOWN, UNKNOWN_EMAIL, UNKNOWN_ZIP
 
 
@@ -100,6 +101,7 @@ class Staged:
     rows: DataFrame
     rules: list[tuple[str, Column]]
     columns: dict[str, Column]
+    source: DataFrame
 
     @property
     def clean(self) -> DataFrame:
@@ -117,6 +119,19 @@ class Staged:
     def quarantine(self) -> DataFrame:
         return self.tagged.filter(F.col(REASON).isNotNull())
 
+    def delta(self, name: str) -> DataFrame:
+        """One row: the table's name, its rows as they came and those that stay, from one scan; digests of rows are
+        counted, not rows."""
+        kept = F.lit(True)
+        for _, accepted in self.rules:
+            kept = kept & F.coalesce(accepted, F.lit(False))
+        kinds = self.source.select(digest(self.source).alias("digest"), kept.cast("bigint").alias("kept")).groupBy(
+            "digest"
+        ).agg(F.count("*").alias("copies"), F.min("kept").alias("kept"))
+        return kinds.agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_before"), F.coalesce(F.sum("kept"), F.lit(0)).alias("rows_after")
+        ).select(F.lit(name).alias("table_name"), "*")
+
     def stored(self, path: str) -> Split:
         """Both parts, from the tagged rows written once to ``path`` and read back.
 
@@ -204,7 +219,7 @@ def stage_table(
     if recipe.full_name and {"first_name", "last_name"} <= present and "full_name" not in present:
         columns["full_name"] = F.concat(value("first_name"), F.lit(" "), value("last_name"))
 
-    return Staged(steps.drop_duplicates(df), rules, columns)
+    return Staged(steps.drop_duplicates(df), rules, columns, df)
 
 
 def clean_table(name: str, df: DataFrame, **options) -> Split:

@@ -138,7 +138,22 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id,
 FROM orders LEFT JOIN customer ON c_custkey = o_custkey
 LEFT JOIN v_order_items i ON i.order_id = o_orderkey GROUP BY ALL"""
 
+# What is left of a moment in each of the twelve forms: the day, the day and minute, the first of the month, and so on.
+_KEPT = ["day", "day", "day", "minute", "month", "second", "minute", "day", "day", "second", "hour", "second"]
+DATE_FORMS = (
+    "SELECT o_orderkey AS order_id, CASE o_orderkey % 12 "
+    + " ".join(f"WHEN {i} THEN date_trunc('{part}', t)" for i, part in enumerate(_KEPT))
+    + " END::TIMESTAMP AS order_date FROM (SELECT o_orderkey, o_orderdate::TIMESTAMP + to_hours(o_orderkey % 24)"
+    " + to_minutes(o_orderkey % 60) AS t FROM orders)"
+)
+
 ORACLES = {
+    "cln_date_forms": DATE_FORMS,
+    "cln_unread_dates": over_dirty(" UNION ALL ".join(
+        f"SELECT 'orders' AS table_name, '{c}' AS column_name,"
+        f" (SELECT count(*) FROM d_orders WHERE {c} IS NOT NULL AND {parsed(c)} IS NULL) AS unread"
+        for c in ("order_date", "required_date", "shipped_date")
+    )),
     "cln_standardise_names": over_dirty(
         "SELECT * RENAME (order_date AS orderdate) FROM d_orders"
     ),

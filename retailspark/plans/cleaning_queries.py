@@ -114,12 +114,31 @@ def invalid_dates(spark, folder):
 
 def row_delta(spark, folder):
     tables = dirt.dirty_tables(spark, folder)
-    return union_all(
-        [
-            clean.row_delta(name, tables[name], recipes.clean_table(name, tables[name]).clean)
-            for name in recipes.RECIPES
-        ]
-    )
+    return union_all([recipes.stage_table(name, tables[name]).delta(name) for name in recipes.RECIPES])
+
+
+# Forms of one date, as datetime patterns.
+DATE_FORMS = (
+    "dd-MMM-yy", "MMM d, yyyy", "M.d.yyyy", "yyyyMMdd HH:mm", "MMMM yyyy", "EEE, dd MMM yyyy HH:mm:ss", "M/d/yyyy h:mm a",
+    "d MMMM yyyy", "yyyy.MM.dd", "yyyyMMdd'T'HHmmss", "MMMM d yyyy h a", "yyyy-MM-dd HH:mm:ss",
+)
+
+
+def date_forms(spark, folder):
+    """Order dates, with a time of day, written in twelve forms and read again."""
+    orders = starschema.source(spark, folder, "orders")
+    key = F.col("o_orderkey")
+    moment = F.col("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int"), mins=(key % 60).cast("int"))
+    written = F.coalesce(*[
+        F.when(key % len(DATE_FORMS) == i, F.date_format(moment, form)) for i, form in enumerate(DATE_FORMS)
+    ])
+    forms = orders.select(key.alias("order_id"), written.alias("order_date"))
+    return forms.select("order_id", clean.read_date(forms, "order_date").alias("order_date"))
+
+
+def unread_dates(spark, folder):
+    """How many values of each date column cannot be read."""
+    return clean.count_unread_dates(dirt.orders(spark, folder), "orders", DATES)
 
 
 def _recipe(name: str) -> Query:
@@ -190,6 +209,8 @@ QUERIES: dict[str, Query] = {
     "cln_phone_digits": phone_digits,
     "cln_date_repair": date_repair,
     "cln_date_repair_null": date_repair_null,
+    "cln_date_forms": date_forms,
+    "cln_unread_dates": unread_dates,
     "cln_invalid_dates": invalid_dates,
     "cln_row_delta": row_delta,
     **{f"cln_{name}": _recipe(name) for name in recipes.RECIPES},

@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Collection
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from retailspark.functions import dates
 from retailspark.operators import constraints, enrich, load, profile, recipes
-from retailspark.operators.clean import standardise_names
+from retailspark.operators.clean import standard_name, standardise_names
 from retailspark.plans import reports
 from retailspark.schemas import TABLES
 from retailspark.sources import files
@@ -18,8 +19,10 @@ from retailspark.sources import files
 STAGES = ("check", "transform", "load", "report")
 LOG_SCHEMA = (
     "run_id string, stage string, ok boolean, rows_in bigint, rows_out bigint, seconds double,"
-    " error string"
+    " error string, attempt int"
 )
+# What a run has finished, table by table: written behind each piece of work, read by a run that resumes.
+MARK_SCHEMA = "run_id string, stage string, table_name string, rows_in bigint"
 
 
 def run(
@@ -35,6 +38,7 @@ def run(
     on_violation: str = "raise",
     cleaning_needed: bool = True,
     cleaned_folder: str | None = None,
+    resume: str | None = None,
     **cleaning_options,
 ) -> DataFrame:
     """Run the stages over ``raw_folder/<table>.csv`` and return the run log.
@@ -47,18 +51,24 @@ def run(
     ``gated`` cleans just the tables the check has flagged and computes just the derived columns that are missing;
     ``cleaning_needed=False`` cleans none. Broken keys, references, NOT NULL columns and row counts fail the load,
     unless ``on_violation="report"`` leaves them to ``out_folder/checks``. Raw records with too many or too few
-    fields fail the run, unless ``on_malformed="quarantine"`` puts them into ``out_folder/malformed``.
+    fields fail the run, unless ``on_malformed="quarantine"`` puts them into ``out_folder/malformed``. Dates that are
+    there but cannot be read become NULL; the transform's row counts them by column.
+
+    ``resume`` names a run that broke off. Its stages that went through are not run again, nor are tables it has cleaned;
+    a load that broke off has left nothing. The log returned has the last attempt of each stage.
     """
     if on_violation not in ("raise", "report"):
         raise ValueError(f"on_violation must be 'raise' or 'report', not {on_violation!r}")
-    run_id = uuid.uuid4().hex
+    run_id = resume or uuid.uuid4().hex
+    past = _past(spark, out_folder, run_id) if resume else {}
+    attempt = 1 + max((entry.attempt for entry in past.values()), default=0)
+    marks = _marks(spark, out_folder, run_id) if resume else {}
     cleaned_folder = cleaned_folder or f"{out_folder}/cleaned/{run_id}"
     notes: dict[str, str] = {}
     database = database or f"retail_{run_id}"
-    log: list[tuple] = []
 
     def stage(name: str, work: Callable[[], tuple[int, int]]) -> bool:
-        if name in skip:
+        if name in skip or (name in past and past[name].ok):
             return True
         start = time.time()
         try:
@@ -67,7 +77,7 @@ def run(
         except Exception as failure:  # the outcome goes to the log
             rows_in = rows_out = None
             ok, error = False, str(failure)[:2000]
-        log.append((run_id, name, ok, rows_in, rows_out, time.time() - start, error))
+        _append(spark, f"{out_folder}/run_log", LOG_SCHEMA, run_id, name, ok, rows_in, rows_out, time.time() - start, error, attempt)
         return ok
 
     raw, missing = files.load_raw(
@@ -80,10 +90,10 @@ def run(
         watched, seen = _observed(raw)
         findings = profile.profile(watched).withColumn("run_id", F.lit(run_id))
         findings.write.mode("overwrite").parquet(f"{out_folder}/findings")
-        return _total(seen), spark.read.parquet(f"{out_folder}/findings").count()
+        return sum(c.get["n"] for c in seen.values()), spark.read.parquet(f"{out_folder}/findings").count()
 
     def transform() -> tuple[int, int]:
-        watched, seen = _observed(raw)
+        watched, seen = _observed(raw, cleaning_options.get("date_formats", ()))
         needed = _gates(spark, out_folder) if gated and "check" not in skip else None
         derive = _derivations(raw) if gated else {}
         if on_malformed == "quarantine":
@@ -91,33 +101,54 @@ def run(
                 files.malformed_records(spark, f"{raw_folder}/{name}.csv", encoding, multiline).write.mode(
                     "overwrite"
                 ).parquet(f"{out_folder}/malformed/{name}")
-        cleaned = {}
+        cleaned, fresh = {}, [name for name in watched if name not in marks]
         for name, df in watched.items():
-            if cleaning_needed and (needed is None or needed.get(name, True)):
+            if name in marks:
+                cleaned |= files.load_cleaned(spark, cleaned_folder, [name])
+            elif cleaning_needed and (needed is None or needed.get(name, True)):
                 staged = recipes.stage_table(name, df, **cleaning_options)
                 cleaned[name] = staged.stored(f"{out_folder}/staged/{name}").clean
             else:
                 cleaned[name] = _typed(name, df)
+
+        def finish(name: str, df: DataFrame) -> None:
+            load.write_cleaned({name: df}, cleaned_folder)
+            marks[name] = seen[name].get["n"]
+            _append(spark, f"{out_folder}/manifest", MARK_SCHEMA, run_id, "transform", name, marks[name])
+
         # Line totals are stored before the order totals are summed from them.
-        enriched = enrich.enrich_all(cleaned, {**_able(cleaned, derive), "calculate_order_total": False})
+        steps = {**_able(cleaned, derive), "calculate_order_total": False}
+        steps["enrich_products"] &= "products" not in marks
+        steps["calculate_item_total"] &= "order_items" not in marks
+        enriched = enrich.enrich_all(cleaned, steps)
         orders = enriched.pop("orders", None)
-        load.write_cleaned(enriched, cleaned_folder)
-        if orders is not None:
+        for name, df in enriched.items():
+            if name not in marks:
+                finish(name, df)
+        if orders is not None and "orders" not in marks:
             if "order_items" in cleaned and derive.get("calculate_order_total", True):
                 items = files.load_cleaned(spark, cleaned_folder, ["order_items"])["order_items"]
                 orders = enrich.add_order_total(orders, items, keep_line_counts=True)
-            load.write_cleaned({"orders": orders}, cleaned_folder)
+            finish("orders", orders)
+        unread = [
+            f"{name}.{column}: {count}"
+            for name in fresh for column, count in seen[name].get.items() if column != "n" and count
+        ]
+        if unread:
+            notes["transform"] = "; ".join(filter(None, [notes.get("transform"), f"unread dates: {', '.join(unread)}"]))
         stored = files.load_cleaned(spark, cleaned_folder, cleaned)
-        return _total(seen), _rows(stored)
+        return sum(marks[name] for name in cleaned), _rows(stored)
 
     def load_tables() -> tuple[int, int]:
         cleaned = files.load_cleaned(spark, cleaned_folder)
         load.create_tables(spark, database, f"{out_folder}/tables-{run_id}")
         strict = on_violation == "raise"
-        appended = load.append_tables(cleaned, database, spark, strict).collect()  # nine rows
+        appended = load.append_tables(
+            cleaned, database, spark, check=strict, whole=strict, load_id=run_id
+        ).collect()  # nine rows
         failed = [f"{row.table_name}: {row.error}" for row in appended if not row.ok]
         if failed:
-            raise RuntimeError(f"load stopped at {failed[0]}")
+            raise RuntimeError(f"load stopped at {failed[-1]}")
         target = load.target_tables(spark, database)
         load.reconcile(cleaned, target).write.mode("overwrite").parquet(
             f"{out_folder}/checks/reconcile"
@@ -148,9 +179,33 @@ def run(
     work = {"check": check, "transform": transform, "load": load_tables, "report": report}
     all(stage(name, work[name]) for name in STAGES)  # ends at the first that fails
 
-    entries = spark.createDataFrame(log, LOG_SCHEMA).coalesce(1)
-    entries.write.mode("append").parquet(f"{out_folder}/run_log")
-    return spark.read.parquet(f"{out_folder}/run_log").filter(F.col("run_id") == run_id)
+    return _last_attempts(spark, out_folder, run_id)
+
+
+def _append(spark: SparkSession, folder: str, schema: str, *row) -> None:
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _last_attempts(spark: SparkSession, out_folder: str, run_id: str) -> DataFrame:
+    entries = spark.read.schema(LOG_SCHEMA).parquet(f"{out_folder}/run_log").filter(F.col("run_id") == run_id)
+    last = entries.groupBy("stage").agg(F.max_by(F.struct(*entries.columns), F.coalesce("attempt", F.lit(1))).alias("e"))
+    return last.select("e.*")
+
+
+def _past(spark: SparkSession, out_folder: str, run_id: str) -> dict:
+    """The stages an earlier attempt of the run has come to: four at most."""
+    return {row.stage: row for row in _last_attempts(spark, out_folder, run_id).collect()}
+
+
+def _marks(spark: SparkSession, out_folder: str, run_id: str) -> dict[str, int]:
+    """The tables the run has cleaned, with their raw rows: nine at most."""
+    try:
+        marks = spark.read.schema(MARK_SCHEMA).parquet(f"{out_folder}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r.table_name: r.rows_in for r in marks.filter(F.col("run_id") == run_id).collect()}
 
 
 def succeeded(log: DataFrame) -> bool:
@@ -189,18 +244,23 @@ def _typed(name: str, df: DataFrame) -> DataFrame:
     return load.conform(df, name).select(*[c for c in TABLES[name].columns if c in df.columns])
 
 
-def _observed(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[Observation]]:
-    """The tables with a row counter each that rides along with their next use."""
+def _observed(
+    tables: dict[str, DataFrame], date_formats: tuple[str, ...] | None = None
+) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """The tables with counters each that ride along with their next use: of rows, and with ``date_formats`` of the dates
+    that cannot be read in each column of dates."""
     counters = {name: Observation(f"rows of {name}") for name in tables}
-    watched = {
-        name: df.observe(counters[name], F.count(F.lit(1)).alias("n"))
-        for name, df in tables.items()
-    }
-    return watched, list(counters.values())
-
-
-def _total(counters: list[Observation]) -> int:
-    return reduce(lambda total, c: total + c.get["n"], counters, 0)
+    watched = {}
+    for name, df in tables.items():
+        measures = [F.count(F.lit(1)).alias("n")]
+        if date_formats is not None:
+            dated = recipes.RECIPES[name].timestamps
+            measures += [
+                F.count_if(dates.unread(F.col(f"`{c}`"), kind, date_formats)).alias(c)
+                for c, kind in df.dtypes if standard_name(c) in dated
+            ]
+        watched[name] = df.observe(counters[name], *measures)
+    return watched, counters
 
 
 def _rows(tables: dict[str, DataFrame]) -> int:

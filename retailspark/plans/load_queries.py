@@ -68,6 +68,21 @@ def encoding_probe(spark, folder):
     return reduce(DataFrame.unionByName, frames)
 
 
+def mixed_folder(spark, folder):
+    """Documents in one folder, each language in files of its own, two in UTF-8 and two in Latin-1, read as they are."""
+    out = scratch_folder(spark, "mixed")
+    docs = starschema.source(spark, folder, "documents").select("doc_id", "lang", F.regexp_replace("text", "\r\n?", " ").alias("text"))
+    writer = lambda df: df.write.mode("append").option("header", True).option("escape", '"')
+    latin = F.col("lang").isin("de", "fr")
+    writer(docs.filter(latin)).option("encoding", "ISO-8859-1").csv(out)
+    writer(docs.filter(~F.coalesce(latin, F.lit(False)))).option("encoding", "UTF-8").csv(out)
+    read = files.read_csv(spark, out, multiline=True)
+    return read.groupBy("lang").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("text").rlike("[À-ÿ]")).alias("accented_rows"),
+        F.sum(F.length("text")).alias("chars"), F.sum(F.size(F.split("text", "\n"))).cast("bigint").alias("lines"),
+    )
+
+
 def cleaned_required(spark, folder):
     return profile.shapes(files.load_cleaned(spark, _stored(spark, folder)))
 
@@ -151,9 +166,48 @@ def load_refused(spark, folder):
     return log.select("position", "table_name", "rows_appended", "ok", F.col("error").isNotNull().alias("has_cause"))
 
 
+def _tidy(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Tables that a checked load takes: states fit their columns, no line's key repeats, and orders without lines, so
+    without staff, are left out."""
+    tables = {name: view(spark, folder) for name, view in starschema.VIEWS.items()}
+    tables["customers"] = tables["customers"].withColumns(
+        {"state": F.left("state", F.lit(10)), "first_name": F.col("full_name"), "last_name": F.lit("Tidy")}
+    )
+    tables["orders"] = tables["orders"].filter("staff_id IS NOT NULL")
+    tables["order_items"] = tables["order_items"].dropDuplicates(["order_id", "item_id"])
+    return tables
+
+
+def load_orphans(spark, folder):
+    """Logs of two loads in which line items name products that do not exist: one table by table, one whole or not at all."""
+    items = dirt.orphaned_items(spark, folder).dropDuplicates(["order_id", "item_id"])
+    sources = {**_tidy(spark, folder), "order_items": items}
+    logs = []
+    for whole in (False, True):
+        database, out = f"retail_{uuid.uuid4().hex}", scratch_folder(spark, "orphans")
+        load.create_tables(spark, database, f"{out}/tables")
+        log = load.append_tables(sources, database, spark, whole=whole)
+        left = profile.shapes(load.target_tables(spark, database)).select("table_name", F.col("row_count").alias("rows_left"))
+        logs.append(log.join(left, "table_name").select(
+            F.lit(whole).alias("whole"), "position", "table_name", "rows_appended", "ok", "rows_left",
+            F.nullif(F.regexp_extract("error", r"[a-z_.]+ -> [a-z_.]+", 0), F.lit("")).alias("broken"),
+        ))
+    return reduce(DataFrame.unionByName, logs)
+
+
+def strict_run(spark, folder):
+    """A whole run over tidy raw files with every check of the load in force."""
+    raw, out = scratch_folder(spark, "tidy"), scratch_folder(spark, "strict")
+    for name, df in _tidy(spark, folder).items():
+        columns = [c for c in TABLES[name].columns if c in df.columns and c not in TABLES[name].derived]
+        df.select(*columns).write.option("header", True).csv(f"{raw}/{name}.csv")
+    return job.run(spark, raw, out).select("stage", "ok", F.col("error").isNull().alias("quiet"))
+
+
 QUERIES: dict[str, Query] = {
     "src_csv_load": csv_load,
     "src_encoding_probe": encoding_probe,
+    "src_mixed_folder": mixed_folder,
     "src_cleaned_required": cleaned_required,
     "snk_cleaned_roundtrip": cleaned_roundtrip,
     "snk_reports_nonempty": reports_nonempty,
@@ -161,8 +215,10 @@ QUERIES: dict[str, Query] = {
     "snk_append": append,
     "load_reconcile": reconcile,
     "load_refused": load_refused,
+    "load_orphans": load_orphans,
     "load_pk_violations": key_violations,
     "load_fk_violations": reference_violations,
     "load_notnull_violations": not_null_violations,
     "job_stage_log": stage_log,
+    "job_strict_run": strict_run,
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,22 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="retailspark-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def portable(function: Callable) -> Callable:
+    """``function`` of one argument for use in tasks, which find this package where the driver found it even if it is not
+    on their path."""
+    from pyspark import cloudpickle
+
+    payload, root = cloudpickle.dumps(function), str(Path(__file__).resolve().parents[1])
+
+    def call(argument):
+        import sys
+
+        if root not in sys.path:
+            sys.path.append(root)
+        from pyspark import cloudpickle
+
+        return cloudpickle.loads(payload)(argument)
+
+    return call

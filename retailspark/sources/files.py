@@ -9,19 +9,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.functions.text import null_if_na
 from retailspark.schemas import TABLES
+from retailspark.sources import records
 
 
-def has_invalid_utf8(spark: SparkSession, path: str) -> bool:
-    """Whether any line of the text at ``path`` is not valid UTF-8.
+def latin_files(spark: SparkSession, path: str) -> tuple[list[str], int]:
+    """Which of the files at ``path`` hold a line that is not valid UTF-8, and how many files there are.
 
-    The CSV reader replaces bad bytes silently, so they have to be looked for.
-    Stops at the first such line.
+    The CSV reader replaces bad bytes silently, so they have to be looked for. One scan, a row a file to the driver, which
+    has listed the files anyway.
     """
-    return not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty()
+    lines = spark.read.text(path)
+    bad = lines.filter(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return sorted(r.file for r in bad.collect()), len(lines.inputFiles())
+
+
+MIXED = "UTF-8 or ISO-8859-1 by file"
 
 
 def pick_encoding(spark: SparkSession, path: str) -> str:
-    return "ISO-8859-1" if has_invalid_utf8(spark, path) else "UTF-8"
+    """UTF-8, ISO-8859-1, or ``MIXED`` if some of the files are the one and some the other."""
+    latin, files = latin_files(spark, path)
+    return "UTF-8" if not latin else "ISO-8859-1" if len(latin) == files else MIXED
 
 
 RECORD = "_malformed_record"
@@ -36,9 +44,9 @@ def read_csv(
 ) -> DataFrame:
     """A CSV with header, every column as text, NA tokens as NULL.
 
-    ``multiline`` allows line breaks inside quotes but makes a file unsplittable. A record with
-    too many or too few fields fails the job when it is read; with ``on_malformed="quarantine"``
-    it is left out, and ``malformed_records`` has it.
+    Without ``encoding`` each file is read as UTF-8 if it is valid, and else as ISO-8859-1. ``multiline`` allows line breaks
+    inside quotes; files in these two encodings are read by many tasks even so. A record with too many or too few fields
+    fails the job when it is read; with ``on_malformed="quarantine"`` it is left out, and ``malformed_records`` has it.
     """
     if on_malformed not in ("raise", "quarantine"):
         raise ValueError(f"on_malformed must be 'raise' or 'quarantine', not {on_malformed!r}")
@@ -60,22 +68,52 @@ def malformed_records(
 
 
 def _read_too(df: DataFrame) -> Column:
-    """True, from a data column: Spark reads no CSV for its malformed records alone."""
-    return F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
+    """True, from all data columns: Spark counts a record's fields only as far as the columns it has to read."""
+    columns = [F.col(f"`{name.replace('`', '``')}`") for name in df.columns if name != RECORD]
+    return F.length(F.coalesce(*columns, F.lit(""))) >= 0
 
 
 def _records(spark, path: str, encoding: str | None, multiline: bool) -> DataFrame:
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("encoding", encoding or pick_encoding(spark, path))
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("columnNameOfCorruptRecord", RECORD)
-    )
+    latin: list[str] = []
+    if encoding in (None, MIXED):
+        latin, files = latin_files(spark, path)
+        encoding = "UTF-8" if not latin else "ISO-8859-1" if len(latin) == files else MIXED
+    byte_by_byte = encoding in ("UTF-8", "ISO-8859-1", MIXED)
+    # Of mixed files, all are read as Latin-1, which keeps every byte, and then the UTF-8 ones are read again from these.
+    reading = "ISO-8859-1" if encoding == MIXED else encoding
+    options = {
+        "header": "true", "inferSchema": "false", "encoding": reading, "escape": '"', "multiLine": str(multiline).lower(),
+        "columnNameOfCorruptRecord": RECORD,
+    }
+    reader = spark.read.options(**options)
     names = reader.csv(path).columns
+    if encoding == MIXED:
+        names = [_again(n) for n in names]
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, RECORD])
-    return reader.schema(schema).csv(path)
+    is_latin = F.col("_file").isin(latin) if encoding == MIXED else F.lit(encoding != "UTF-8")
+    if multiline and byte_by_byte:
+        rows = records.texts(
+            records.records(spark, path).withColumn("_file", F.col("file")),
+            F.when(is_latin, "ISO-8859-1").otherwise("UTF-8"),
+        )
+        parsed = F.from_csv("record", schema, {k: v for k, v in options.items() if k not in ("header", "encoding", "inferSchema")})
+        return rows.filter(~F.col("header")).select(parsed.alias("r")).select("r.*")
+    df = reader.schema(schema).csv(path)
+    if encoding != MIXED:
+        return df
+    df = df.withColumn("_file", F.col("_metadata.file_path"))
+    return df.select(*[
+        F.when(is_latin, c).otherwise(F.encode(c, "ISO-8859-1").cast("string")).alias(n)
+        for n, c in ((n, F.col(f"`{n.replace('`', '``')}`")) for n in [*names, RECORD])
+    ])
+
+
+def _again(name: str) -> str:
+    """A column name that was read as Latin-1, as UTF-8 if it is."""
+    try:
+        return name.encode("latin-1").decode("utf-8")
+    except UnicodeDecodeError:
+        return name
 
 
 def normalise_na(df: DataFrame) -> DataFrame:

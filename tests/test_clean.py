@@ -301,3 +301,21 @@ def test_gates(text_table):
     assert rows(recipes.clean_all(tables)) == {"brands": 1, "categories": 1}
     assert rows(recipes.clean_all(tables, {"brands": False})) == {"brands": 2, "categories": 1}
     assert rows(recipes.clean_all(tables, cleaning_needed=False)) == {"brands": 2, "categories": 2}
+
+
+@pytest.mark.parametrize("written, read", [
+    ("05-Jan-17", dt.datetime(2017, 1, 5)), ("Sept 5, 2017", dt.datetime(2017, 9, 5)), ("5.1.2017", dt.datetime(2017, 5, 1)),
+    ("31.12.2016 10:11:12", dt.datetime(2016, 12, 31, 10, 11, 12)), ("20161231 10:00", dt.datetime(2016, 12, 31, 10)),
+    ("20161231 1011", dt.datetime(2016, 12, 31, 10, 11)), ("20161231T101112", dt.datetime(2016, 12, 31, 10, 11, 12)),
+    ("January 2017", dt.datetime(2017, 1, 1)), ("Mon, 05 Jan 2017 10:00:00", dt.datetime(2017, 1, 5, 10)),
+    ("May 5th, 2016", dt.datetime(2016, 5, 5)), ("2016 Dec 31", dt.datetime(2016, 12, 31)), ("5Jan2017", dt.datetime(2017, 1, 5)),
+    ("1/5/2017 3:04 PM", dt.datetime(2017, 1, 5, 15, 4)), ("1/5/2017 12:04 am", dt.datetime(2017, 1, 5, 0, 4)),
+    ("September 12 2016 5pm", dt.datetime(2016, 9, 12, 17)), ("2016.05.06", dt.datetime(2016, 5, 6)),
+    ("2016-01-02T03:04:05.123456", dt.datetime(2016, 1, 2, 3, 4, 5, 123456)), ("12/31/99", dt.datetime(1999, 12, 31)),
+    ("Marchen 5 2016", None), ("13/13/2016", None), ("January 5", None), ("2016-02-30", None), ("10:00", None), ("", None),
+    ("not a date", None), ("99-99-99", None),
+])
+def test_lenient_dates(spark, written, read):
+    df = spark.createDataFrame([(written,)], "t string")
+    assert column(df, dates.parse_timestamp(F.col("t"))) == [read]
+    assert column(df, dates.unread(F.col("t"))) == [read is None]

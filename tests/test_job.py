@@ -103,3 +103,55 @@ def test_runs_append_to_one_log(spark, raw_folder, tmp_path):
     for _ in range(2):
         job.run(spark, raw_folder, str(tmp_path / "out"), skip=("transform", "load", "report"))
     assert spark.read.parquet(str(tmp_path / "out" / "run_log")).count() == 2
+
+
+def test_a_run_that_broke_in_the_load_goes_on_from_there(spark, raw_folder, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    real = job.load.append_tables
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("no connection")
+
+    monkeypatch.setattr(job.load, "append_tables", broken)
+    first = job.run(spark, raw_folder, out, on_violation="report")
+    assert {s: ok for s, (ok, _, _) in stages(first).items()} == {"check": True, "transform": True, "load": False}
+    run_id = first.first().run_id
+    cleaned = tmp_path / "out" / "cleaned" / run_id
+    before = {p: p.stat().st_mtime_ns for p in cleaned.rglob("*.parquet")}
+
+    monkeypatch.setattr(job.load, "append_tables", real)
+    monkeypatch.setattr(job.recipes, "stage_table", broken)
+    log = job.run(spark, raw_folder, out, on_violation="report", resume=run_id)
+    assert job.succeeded(log) and {r.run_id for r in log.collect()} == {run_id}
+    assert {r.stage: r.attempt for r in log.collect()} == {"check": 1, "transform": 1, "load": 2, "report": 2}
+    assert {p: p.stat().st_mtime_ns for p in cleaned.rglob("*.parquet")} == before
+
+
+def test_a_run_that_broke_in_the_transform_keeps_the_tables_it_has_cleaned(spark, raw_folder, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    skip = ("check", "load", "report")
+    real, done = job.load.write_cleaned, []
+
+    def few(tables, folder, **kwargs):
+        if len(done) == 4:
+            raise RuntimeError("disk full")
+        done.extend(tables)
+        real(tables, folder, **kwargs)
+
+    monkeypatch.setattr(job.load, "write_cleaned", few)
+    first = job.run(spark, raw_folder, out, skip=skip)
+    assert not job.succeeded(first)
+    again = []
+    monkeypatch.setattr(job.load, "write_cleaned", lambda tables, folder: (again.extend(tables), real(tables, folder)))
+    log = job.run(spark, raw_folder, out, skip=skip, resume=first.first().run_id)
+    assert stages(log)["transform"] == (True, 13, 9) and sorted(again + done) == sorted(files.TABLES)
+
+
+def test_unread_dates_are_counted_in_the_log(spark, raw_folder, tmp_path):
+    (tmp_path / "raw" / "orders.csv" / "more.csv").write_text(
+        "order_id,customer_id,order_status,order_date,required_date,shipped_date,store_id,staff_id\n"
+        "2,1,4,some day,5.1.2017,,1,1\n3,1,4,January 2017,soon,later,1,1\n"
+    )
+    log = job.run(spark, raw_folder, str(tmp_path / "out"), skip=("check", "load", "report"))
+    assert log.first().error == "unread dates: orders.order_date: 1, orders.required_date: 1, orders.shipped_date: 1"
+    assert log.first().ok

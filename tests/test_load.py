@@ -21,7 +21,7 @@ def brands(spark, *rows):
 
 def test_load_appends_once_to_the_named_table(spark, database):
     log = load.append_tables({"brands": brands(spark, (1, "A"))}, database, spark)
-    assert [tuple(r) for r in log.collect()] == [(1, "brands", 1, 1, True)]
+    assert [tuple(r) for r in log.collect()] == [(1, "brands", 1, 1, True, None)]
     load.append_tables({"brands": brands(spark, (2, "B"))}, database, spark)
     assert values(spark.table(f"{database}.brands")) == [(1, "A"), (2, "B")]
     assert spark.table(f"{database}.stocks").count() == 0
@@ -43,7 +43,65 @@ def test_a_failing_table_ends_the_load_but_earlier_ones_stay(spark, database):
     )
     tables = {"brands": brands(spark, (1, "A")), "categories": broken, "stores": broken}
     log = [tuple(r) for r in load.append_tables(tables, database, spark).collect()]
-    assert log == [(1, "brands", 1, 1, True), (2, "categories", 0, 0, False)]
+    assert [r[:5] for r in log] == [(1, "brands", 1, 1, True), (2, "categories", 0, 0, False)]
+    assert log[0][5] is None and "boom" in log[1][5]
+    assert spark.table(f"{database}.brands").count() == 1 and spark.table(f"{database}.categories").count() == 0
+
+
+def family(spark, store):
+    """A store, and a staff row that refers to ``store``."""
+    return {
+        "brands": brands(spark, (1, "A")),
+        "stores": spark.createDataFrame([(1, "S")], "store_id bigint, store_name string"),
+        "staffs": spark.createDataFrame([(1, store)], "staff_id bigint, store_id bigint"),
+    }
+
+
+def counts(spark, database, *names):
+    return [spark.table(f"{database}.{n}").count() for n in names]
+
+
+def test_an_orphan_leaves_every_table_of_a_whole_load_unchanged(spark, database):
+    load.append_tables({"brands": brands(spark, (7, "Old"))}, database, spark)
+    log = load.append_tables(family(spark, 2), database, spark, whole=True).collect()
+    assert [(r.table_name, r.rows_appended, r.rows_after, r.ok) for r in log] == [
+        ("brands", 0, 1, False), ("stores", 0, 0, False), ("staffs", 0, 0, False),
+    ]
+    assert "staffs.store_id -> stores.store_id: 1 rows" in log[-1].error
+    assert counts(spark, database, "brands", "stores", "staffs") == [1, 0, 0]
+    # mended, the same load goes through, with parents of the same load
+    assert all(r.ok for r in load.append_tables(family(spark, 1), database, spark, whole=True).collect())
+    assert counts(spark, database, "brands", "stores", "staffs") == [2, 1, 1]
+
+
+def test_an_orphan_is_refused_before_its_table_is_written(spark, database):
+    log = load.append_tables(family(spark, 2), database, spark).collect()
+    assert [r.ok for r in log] == [True, True, False]
+    assert counts(spark, database, "brands", "stores", "staffs") == [1, 1, 0]
+    # a parent that an earlier load has brought will do
+    again = {"staffs": family(spark, 1)["staffs"]}
+    assert [r.ok for r in load.append_tables(again, database, spark).collect()] == [True]
+
+
+def test_a_load_may_be_repeated(spark, database):
+    for _ in range(2):
+        log = load.append_tables(family(spark, 1), database, spark, load_id="first").collect()
+    assert [(r.rows_appended, r.rows_after, r.ok) for r in log] == [(0, 1, True)] * 3
+    assert counts(spark, database, "brands", "stores", "staffs") == [1, 1, 1]
+
+
+def test_rows_of_a_load_that_broke_off_are_not_seen(spark, database):
+    load._stage(load.conform(brands(spark, (1, "half")), "brands"), database, "brands", "broken")
+    assert counts(spark, database, "brands") == [0]
+    load.append_tables({"brands": brands(spark, (1, "A"))}, database, spark, load_id="broken")
+    assert values(spark.table(f"{database}.brands")) == [(1, "A")]
+
+
+def test_old_rows_count_when_keys_are_checked(spark, database):
+    load.append_tables({"brands": brands(spark, (1, "A"))}, database, spark)
+    row = load.append_tables({"brands": brands(spark, (1, "B"))}, database, spark).first()
+    assert not row.ok and "1 repeated keys" in row.error
+    assert values(spark.table(f"{database}.brands")) == [(1, "A")]
 
 
 def test_load_order_puts_parents_first():

@@ -149,7 +149,7 @@ def test_describe_interpolates(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (None,)], "x double")
     row = profile.describe(df, "t", ["x"]).first()
     assert (row.value_count, row.q25, row.q50, row.q75) == (3, 1.5, 2.0, 3.0)
-    assert (row.min_value, row.max_value, row.mean) == (1.0, 4.0, 2.333333)
+    assert (row.min_value, row.max_value, row.mean) == (1.0, 4.0, 7 / 3)
 
 
 def test_describe_brackets_agree_with_exact_percentiles(spark, monkeypatch):
@@ -237,3 +237,31 @@ def test_profile_reads_each_table_once(spark, text_table):
     text = plan_of(profile.profile_table(text_table("a b", [("1", "2")]), "t"), "optimized")
     assert text.count("LogicalRDD") + text.count("LocalRelation") == 1
     assert "Join" not in text
+
+
+def test_rows_that_look_alike_joined_are_no_copies(spark):
+    """What a digest of the joined values would take for equal: values that move between columns, NULL and its signs."""
+    rows = [("ab", "c"), ("a", "bc"), ("1:a", ""), ("", "1:a"), (None, "-"), ("-", None), (None, None), ("", "")]
+    df = spark.createDataFrame(rows + [("a", "bc")], "x string, y string")
+    found = profile.duplicates(df, "t").first()
+    assert found["count"] == 1
+
+
+def test_digests_group_as_values_do(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (0.0D, 'a', array(1)), (-0.0D, 'a', array(1)), (double('nan'), 'b', array(2)),"
+        " (double('nan'), 'b', array(2)), (1.0D, NULL, NULL) AS t(d, s, l)"
+    )
+    assert df.select(profile.digest(df)).distinct().count() == df.distinct().count() == 3
+
+
+def test_quartiles_of_a_wide_bracket_are_ranked_in_parts(spark, monkeypatch):
+    """Many distinct values in the brackets, and a hot one at a quartile's edge."""
+    monkeypatch.setattr(profile, "ACCURACY", 20)
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 4 == 0, 0.0).otherwise((F.col("id") * 7919 % 60_013).cast("double")).alias("x"),
+        F.when(F.col("id") < 3, F.col("id").cast("double")).alias("few"), F.lit(None).cast("double").alias("none"),
+    )
+    for row in profile.describe(df, "t", ["x", "few", "none"]).collect():
+        want = df.agg(F.expr(f"percentile({row.column_name}, array(0.25, 0.5, 0.75))").alias("p")).first().p
+        assert [row.q25, row.q50, row.q75] == (want or [None] * 3)

@@ -150,6 +150,8 @@ def places(texts: DataFrame, length: int, seed: int, group: int) -> DataFrame:
     shared = every.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b")
     ).filter("a <> b").select("anchor", F.ceil(F.col("n") / group).cast("int").alias("parts"))
+    # Written, so that the join has two plain shuffles, and Spark splits the places of a hot anchor.
+    shared = staged(shared, "substring-shared")
     listed = every.join(shared, "anchor").groupBy("key").agg(
         F.collect_list(F.struct("place", "anchor", "low", "high", "parts")).alias("seeds")
     )

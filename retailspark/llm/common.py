@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailspark.session import scratch_folder
+from retailspark.session import portable, scratch_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,25 +53,6 @@ def map_rows(
     return df.mapInArrow(portable(run), schema)
 
 
-def portable(function: Callable) -> Callable:
-    """``function`` of one argument for use in tasks, which find this package where the driver found it even if it is not
-    on their path."""
-    from pyspark import cloudpickle
-
-    payload, root = cloudpickle.dumps(function), str(Path(__file__).resolve().parents[2])
-
-    def call(argument):
-        import sys
-
-        if root not in sys.path:
-            sys.path.append(root)
-        from pyspark import cloudpickle
-
-        return cloudpickle.loads(payload)(argument)
-
-    return call
-
-
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], most_rows: int = 2_000_000) -> DataFrame:
     """Inner join with a written table: broadcast if its rows, of a few numbers each, are at most ``most_rows``;
     by shuffle otherwise."""

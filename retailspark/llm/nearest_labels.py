@@ -9,10 +9,12 @@ Vectors have length 1. Words that are in no example are in no vector.
 The index has the most frequent terms, at most ``DENSE``, as a matrix and all others as inverted lists. A document's
 cosines with all examples are summed up in single precision from both. All that can be among the nearest, by the bound of
 the rounding error, are summed again in double precision. So the neighbours are exact; equal cosines go to the earlier
-example. A document is never its own neighbour, nor is another text of its doc_id.
+example. Equal texts have equal scores, whatever their doc_id: an example is a neighbour of its own text as of any other.
 
 The vote is sum(w * label) + PRIOR * rate over sum(w) + PRIOR, w being the squared cosine, and is calibrated by isotonic
-regression on the examples, each voted on by the others. The neighbours are returned as evidence.
+regression on the examples, each voted on by those of other documents. The neighbours are returned as evidence.
+
+The driver has the examples' words and counts, compressed; vectors and index are built in the tasks.
 
 Null and empty texts, and texts without any of the terms, have no neighbours and get the calibrated prior. Repeated labels
 of a document count as their majority; null labels are left out. Without any labels, the score is 0. Repeated rows are
@@ -25,12 +27,14 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailspark.llm.common import append_columns, map_rows, staged
+from retailspark.llm.common import append_columns, map_rows, portable, staged
 
 EXAMPLES = 16_384
 DENSE = 512  # terms at most that the index holds as a matrix
@@ -56,14 +60,17 @@ def words_of(text: str | None) -> Counter:
 
 
 class Terms:
-    """The words of the examples by number."""
+    """The words of the examples by number; the table is made where it is first looked into."""
 
     def __init__(self, joined: str):
-        self.joined = joined
-        self.number = {word: i for i, word in enumerate(joined.split())}
+        self.data, self.size = zlib.compress(joined.encode(), 1), joined.count(" ") + 1 if joined else 0
 
     def __reduce__(self):
-        return unpacked_terms, (zlib.compress(self.joined.encode(), 1),)
+        return unpacked_terms, (self.data, self.size)
+
+    @cached_property
+    def number(self) -> dict[str, int]:
+        return {word: i for i, word in enumerate(zlib.decompress(self.data).decode().split())}
 
     def numbers(self, texts: list[str | None]) -> np.ndarray:
         """Each text's distinct terms, one text's after another's."""
@@ -78,8 +85,10 @@ class Terms:
         return {number[word]: n for word, n in words_of(text).items() if word in number}
 
 
-def unpacked_terms(data: bytes) -> Terms:
-    return Terms(zlib.decompress(data).decode())
+def unpacked_terms(data: bytes, size: int) -> Terms:
+    terms = Terms("")
+    terms.data, terms.size = data, size
+    return terms
 
 
 def packed(*arrays: np.ndarray) -> list[bytes]:
@@ -198,24 +207,45 @@ def _groups(votes, labels):
 
 
 class Model:
-    """Terms with their weights, the index and the calibration. Pickles hold the examples' counts, packed."""
+    """Terms with their weights, the examples and the calibration. Vectors and index are made where they are first used."""
 
-    def __init__(self, terms: Terms, idf: np.ndarray, ids: list[int], edges, numbers, counts, labels: np.ndarray):
-        self.state = terms, idf, ids, edges, *packed(np.diff(numbers, prepend=0), counts), labels
+    def __init__(self, terms: Terms, idf: np.ndarray, ids: list[int], sizes: bytes, steps: bytes, counts: bytes, labels: np.ndarray):
+        """``sizes``: terms of each example; ``steps`` and ``counts``: their numbers, as differences, and how often they are
+        there, one example's after another's."""
+        self.state = terms, idf, ids, sizes, steps, counts, labels
         self.terms, self.ids, self.known = terms, ids, labels
         self.rate = float(labels.mean()) if len(labels) else 0.0
-        self.weight = idf * np.sqrt(1 + dependence(numbers, labels, edges, len(idf)))
-        weights = (1 + np.log(counts)) * self.weight[numbers]
-        rows = np.repeat(np.arange(len(ids)), np.diff(edges))
-        weights /= np.sqrt(np.bincount(rows, weights * weights, len(ids)))[rows]
-        self.index = Index.of(edges, numbers, weights, len(idf))
-        self.place: dict[int, list[int]] = {}
-        for i, doc_id in enumerate(ids):
-            self.place.setdefault(doc_id, []).append(i)
         self.calibrate: Isotonic | None = None
 
     def __reduce__(self):
-        return unpacked_model, self.state, {"calibrate": self.calibrate}
+        return Model, self.state, {"calibrate": self.calibrate}
+
+    @cached_property
+    def vectors(self) -> tuple[np.ndarray, Index]:
+        """The terms' weights, and the index."""
+        _, idf, ids, sizes, steps, counts, labels = self.state
+        edges = np.concatenate([[0], np.cumsum(unpacked(sizes), dtype=np.int64)])
+        numbers, counts = np.cumsum(unpacked(steps), dtype=np.int32), unpacked(counts)
+        weight = idf * np.sqrt(1 + dependence(numbers, labels, edges, len(idf)))
+        weights = (1 + np.log(counts)) * weight[numbers]
+        rows = np.repeat(np.arange(len(ids)), np.diff(edges))
+        weights /= np.sqrt(np.bincount(rows, weights * weights, len(ids)))[rows]
+        return weight, Index.of(edges, numbers, weights, len(idf))
+
+    @property
+    def weight(self) -> np.ndarray:
+        return self.vectors[0]
+
+    @property
+    def index(self) -> Index:
+        return self.vectors[1]
+
+    @cached_property
+    def place(self) -> dict[int, list[int]]:
+        found: dict[int, list[int]] = {}
+        for i, doc_id in enumerate(self.ids):
+            found.setdefault(doc_id, []).append(i)
+        return found
 
     def unit(self, counts: dict[int, int]) -> Sparse:
         terms, n = sparse(counts)
@@ -238,21 +268,13 @@ class Model:
     def counts(self, text: str | None) -> dict[int, int]:
         return self.terms.counts(text)
 
-    def scores(self, doc_ids: list, counts: list[dict[int, int]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
-        own = [self.place.get(doc_id, ()) for doc_id in doc_ids]
+    def scores(self, counts: list[dict[int, int]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
         out = []
-        for cosines, found in self.index.nearest_of_all([self.unit(c) for c in counts], NEAREST, own):
+        for cosines, found in self.index.nearest_of_all([self.unit(c) for c in counts], NEAREST, [()] * len(counts)):
             evidence = [(self.ids[i], c, int(self.known[i])) for c, i in zip(cosines[:3].tolist(), found[:3].tolist())]
             out.append((min(1.0, max(0.0, self.calibrate(self.vote(cosines, found)))), evidence))
         return out
 
-    def score(self, doc_id: int | None, counts: dict[int, int]) -> tuple[float, list[tuple[int, float, int]]]:
-        return self.scores([doc_id], [counts])[0]
-
-
-def unpacked_model(terms, idf, ids, edges, steps, counts, labels) -> Model:
-    return Model(terms, idf, ids, edges, np.cumsum(unpacked(steps), dtype=np.int32), unpacked(counts), labels)
-
 
 def dependence(numbers: np.ndarray, labels: np.ndarray, edges: np.ndarray, n_terms: int) -> np.ndarray:
     """Chi-square between each term's occurring in an example and the label; 0 for terms of all examples."""
@@ -285,24 +307,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
         return step
 
-    words = map_rows(examples.select("text"), distinct, "word string", rows=4096).distinct().toArrow()["word"].to_pylist()
-    terms = Terms(" ".join(sorted(words)))
+    words = map_rows(examples.select("text"), distinct, "word string", rows=4096).distinct()
+    terms = Terms(" ".join(sorted(words.toArrow()["word"].to_pylist())))
     shared = spark.sparkContext.broadcast(terms)
 
-    def occurring():
+    def occurring(batches):
+        """(term, texts that have it) over all of the task's texts; term -1 stands for any."""
         known = shared.value
-
-        def step(part):
-            term, n = np.unique(known.numbers([text for (text,) in part]), return_counts=True)
-            yield -1, len(part)
-            yield from zip(term.tolist(), n.tolist())
-
-        return step
-
-    found = map_rows(rows.select("text"), occurring, "term long, n long", rows=4096).groupBy("term").agg(F.sum("n").alias("n"))
+        seen, rows = np.zeros(known.size, np.int64), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                texts = batch.column(0).slice(at, 1024).to_pylist()
+                rows += len(texts)
+                seen += np.bincount(known.numbers(texts), minlength=known.size)
+        term = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(term, -1), pa.int64()), pa.array(np.append(seen[term], rows), pa.int64())], names=["term", "n"]
+        )
+
+    found = rows.select("text").mapInArrow(portable(occurring), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = found.toArrow()  # one row a term
     term, n = (found[c].to_numpy() for c in ("term", "n"))
-    total, seen = int(n[term < 0].sum()), np.zeros(len(terms.number))
+    total, seen = int(n[term < 0].sum()), np.zeros(terms.size)
     seen[term[term >= 0]] = n[term >= 0]
     idf = np.log((1 + total) / (1 + seen)) + 1
 
@@ -322,10 +348,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     shared.destroy()
     known = known.sort_by([("doc_id", "ascending"), ("digest", "ascending")])
     none = [np.zeros(0, np.int32)]
-    lists, counts = ([unpacked(x) for x in known[c].to_pylist()] for c in ("terms", "counts"))
-    edges = np.cumsum([0, *map(len, lists)])
-    numbers, counts = np.concatenate(lists or none), np.concatenate(counts or none)
-    model = Model(terms, idf, known["doc_id"].to_pylist(), edges, numbers, counts, known["toxic"].to_numpy().astype(float))
+    numbers = [unpacked(x) for x in known["terms"].to_pylist()]
+    sizes, = packed(np.array([len(x) for x in numbers]))
+    steps, = packed(np.diff(np.concatenate(numbers or none), prepend=0))
+    counts, = packed(np.concatenate([unpacked(x) for x in known["counts"].to_pylist()] or none))
+    model = Model(terms, idf, known["doc_id"].to_pylist(), sizes, steps, counts, known["toxic"].to_numpy().astype(float))
     model.calibrate = Isotonic(votes_of(spark, model), model.known)
     return model
 
@@ -350,23 +377,20 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def make():
         known = model.value
-        memory: dict[tuple, tuple] = {}
+        memory: dict[bytes, tuple] = {}
 
         def step(rows):
             if len(memory) > MEMORY:
                 memory.clear()
-            # An example's neighbours depend on its doc_id, those of other documents on the text alone.
-            keys = [
-                (doc_id if doc_id in known.place else None, hashlib.md5((text or "").encode()).digest()) for doc_id, text in rows
-            ]
-            new = {key: text for key, (_, text) in zip(keys, rows) if key not in memory}
-            memory.update(zip(new, known.scores([doc_id for doc_id, _ in new], [known.counts(t) for t in new.values()])))
+            keys = [hashlib.md5((text or "").encode()).digest() for (text,) in rows]
+            new = {key: text for key, (text,) in zip(keys, rows) if key not in memory}
+            memory.update(zip(new, known.scores([known.counts(t) for t in new.values()])))
             return [memory[key] for key in keys]
 
         return step
 
     schema = "toxic_score double, toxic_evidence array<struct<doc_id: long, cosine: double, label: int>>"
-    return append_columns(docs, ["doc_id", "text"], make, schema)
+    return append_columns(docs, ["text"], make, schema)
 
 
 def keep(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:

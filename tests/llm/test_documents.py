@@ -177,6 +177,42 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert all((r.toxic_score >= 0.5) == bool(r.doc_id % 2) for r in nearest_labels.score(docs, labels).collect())
 
 
+def test_equal_texts_score_alike_whatever_their_ids(spark):
+    rows = [(i, ("vile words here" if i % 2 else "kind words here") + f" w{i % 7}") for i in range(100)]
+    labels = [(i, i % 2) for i in range(60)]
+    again = [(i + 1000, text) for i, text in rows] + [(None, rows[4][1])]
+    docs = spark.createDataFrame(rows + again, "doc_id long, text string")
+    found = nearest_labels.score(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    scores = {}
+    for row in found:
+        scores.setdefault(row.text, set()).add(row.toxic_score)
+    assert len(scores) > 10 and all(len(s) == 1 for s in scores.values())
+
+
+def test_neighbours_and_votes_equal_brute_force(spark):
+    """Every cosine from the words' counts, the 25 largest, and the vote on their labels."""
+    folder = SMALL
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = nearest_labels.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    vectors = [model.unit(model.counts(texts[i])) for i in model.ids]
+    dense = np.zeros((len(vectors), model.terms.size))
+    for row, (terms, weights) in zip(dense, vectors):
+        row[terms] = weights
+    for text in list(texts.values())[::5]:
+        query = np.zeros(model.terms.size)
+        terms, weights = model.unit(model.counts(text))
+        query[terms] = weights
+        cosines = dense @ query
+        order = np.lexsort((np.arange(len(cosines)), -cosines))[:25]
+        order = order[cosines[order] > 0]
+        ((got, ids),) = model.index.nearest_of_all([(terms, weights)], 25, [()])
+        assert np.allclose(got, cosines[order])
+        w = cosines[order] ** 2
+        vote = ((w * model.known[order]).sum() + nearest_labels.PRIOR * model.rate) / (w.sum() + nearest_labels.PRIOR)
+        assert np.isclose(model.vote(got, ids), vote)
+
+
 def test_rare_words_of_examples_count(spark):
     """Near copies of labelled texts are found by words that few examples have; a repeated row is one example."""
     rng = random.Random(11)

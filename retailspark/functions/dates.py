@@ -65,8 +65,8 @@ def parse_timestamp(c: Column, dtype: str = "string", formats: tuple[str, ...] =
     Reads ISO dates and times, dates of figures with ``/``, ``.`` or ``-`` or none of them, and dates with a month's name,
     whole or shortened, in any order and case, with or without a weekday; all with a time behind, by 24 hours or with am
     and pm. Dates of two small numbers and a year are month first, or day first if the first number is over 12; a year of
-    two digits lies in 1969..2068; a month and a year are the first of the month. ``formats`` adds further datetime
-    patterns, tried in order afterwards.
+    two digits lies in 1969..2068; a month and a year are the first of the month. ``formats`` are datetime patterns
+    of the caller's, which go before all this, in their order.
     """
     if dtype in ("timestamp", "timestamp_ntz", "date"):
         return c.cast("timestamp_ntz")
@@ -80,8 +80,8 @@ def parse_timestamp(c: Column, dtype: str = "string", formats: tuple[str, ...] =
         ("^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[ ,]+(?=[0-9])", "$1 "),
     ):
         plain = F.regexp_replace(plain, pattern, figures)
-    attempts = [F.regexp_extract(plain, "^[0-9]{4}-[0-9].*$", 0).try_cast("timestamp_ntz")]
-    attempts += [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    attempts = [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    attempts.append(F.regexp_extract(plain, "^[0-9]{4}-[0-9].*$", 0).try_cast("timestamp_ntz"))
     return F.coalesce(*attempts) if formats else attempts[0]
 
 

@@ -160,7 +160,7 @@ def stage_table(
     """Prepare the recipe of table ``name`` for ``df``.
 
     ``on_bad="quarantine"`` treats strict columns like safe ones instead of
-    failing the job. ``date_formats`` are tried on dates that are not read otherwise.
+    failing the job. ``date_formats`` are tried on dates first, before the usual readings.
     """
     if on_bad not in ("raise", "quarantine"):
         raise ValueError(f"on_bad must be 'raise' or 'quarantine', not {on_bad!r}")

@@ -4,7 +4,9 @@ Documents with equal texts are one node. A node's sketch has ``FUNCTIONS`` numbe
 occurrence-labelled five-word shingles that one hash function ranks lowest, in their order in the text. Nodes with an
 equal number are candidates. A candidate pair is a link if the banded alignment of its shingle sequences matches M of n
 and m shingles with M / (n + m - M) >= ``SIMILARITY``: word shingles' similarity, with order and repetition counted.
-A pair at the threshold shares no number with probability (1 - 0.8^4)^24 < 1e-5.
+A pair of long texts at the threshold shares no number with probability (1 - 0.8^4)^24 = 3e-6, one of more than 12
+shingles each with less than 1e-5. Of fewer shingles the chance would grow to 5e-3, so nodes of at most ``SHORT`` shingles
+are also candidates by every single shingle they have in common, of which similar ones have some.
 
 Classes are the connected components of the links, and candidates of a bucket are not all compared with one another:
 
@@ -36,6 +38,7 @@ SIMILARITY = 0.8
 FUNCTIONS = 24
 SAMPLE = 4
 RARE = 16  # nodes that a rare shingle has at most
+SHORT = 15  # shingles; a text of 12 may be similar to one of 15
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
@@ -80,19 +83,20 @@ def nodes_of(docs: DataFrame) -> DataFrame:
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """(node, size, keys) for nodes with words."""
+    """(node, size, keys, singles) for nodes with words; ``singles`` are the shingles of short ones."""
 
     def make():
         def step(part):
             values, edges = sketches.shingles(*sketches.words([t for _, t in part]), WORDS)
             numbers = sketches.order_minhash(values, edges, FUNCTIONS, SAMPLE).view(np.int64)
-            for (node, _), size, keys in zip(part, np.diff(edges).tolist(), numbers.tolist()):
+            for k, ((node, _), size, keys) in enumerate(zip(part, np.diff(edges).tolist(), numbers.tolist())):
                 if size:
-                    yield node, size, keys
+                    singles = values[edges[k] : edges[k + 1]].view(np.int64).tolist() if size <= SHORT else []
+                    yield node, size, keys, sorted(set(singles))
 
         return step
 
-    return map_rows(rows.select("node", "text"), make, "node string, size long, keys array<long>")
+    return map_rows(rows.select("node", "text"), make, "node string, size long, keys array<long>, singles array<long>")
 
 
 def texts_of(rows: DataFrame, needed: DataFrame) -> DataFrame:
@@ -159,11 +163,11 @@ def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame, sketc
         (F.col("size") - F.coalesce("n_rare", F.lit(0))).alias("common"),
         F.coalesce(F.transform(shared, lambda x: x["token"]), F.array().cast("array<long>")).alias("rare"),
     )
-    open_members = open_members.join(sketch.select("node", "keys"), "node")
+    open_members = open_members.join(sketch.select("node", "keys", "singles"), "node")
     open_members = staged(open_members, "near-bounded")  # both sides of the join below read it
 
     side = lambda s: open_members.select(
-        "f", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "common", "rare", "keys")),
+        "f", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "common", "rare", "keys", "singles")),
         *(["largest"] if s == "a" else []),
     )
     # Without a rare shingle in common, no more than the common ones match.
@@ -171,8 +175,9 @@ def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame, sketc
     able = best >= F.lit(SIMILARITY) * (F.col("size_a") + F.col("size_b") - best)
     sizes = F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b")
     # A pair that shares several buckets is made in the first of them alone.
-    agree = F.zip_with("keys_a", "keys_b", lambda x, y: x == y)
-    here = F.array_position(agree, True) == F.col("f") + 1
+    agree = F.array_position(F.zip_with("keys_a", "keys_b", lambda x, y: x == y), True)
+    single = (agree == 0) & (F.array_min(F.array_intersect("singles_a", "singles_b")) == F.col("key"))
+    here = F.when(F.col("f") < FUNCTIONS, agree == F.col("f") + 1).otherwise(single)
     pairs = side("a").filter(F.col("label_a") != F.col("largest")).join(side("b"), ["f", "key"]).filter(
         (F.col("label_a") != F.col("label_b")) & sizes & here & (able | F.arrays_overlap("rare_a", "rare_b"))
     )
@@ -182,7 +187,9 @@ def residual_pairs(members: DataFrame, labels: DataFrame, rows: DataFrame, sketc
 def links(rows: DataFrame) -> DataFrame:
     """Links (a, b) between nodes that join all nodes of each class."""
     sketch = staged(sketched(rows).dropDuplicates(["node"]), "near-sketches")
-    keys = sketch.select("node", "size", F.posexplode("keys").alias("f", "key"))
+    keys = sketch.select("node", "size", F.posexplode("keys").alias("f", "key")).unionByName(
+        sketch.select("node", "size", F.lit(FUNCTIONS).alias("f"), F.explode("singles").alias("key"))
+    )
     shared = keys.groupBy("f", "key").agg(F.count("*").alias("n")).filter("n > 1")
     members = staged(keys.join(shared, ["f", "key"]), "near-buckets")
     central = members.groupBy("node").agg(F.sum("n").alias("central"))
@@ -211,8 +218,10 @@ def classes(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """One row of each class: the least doc_id, whole rows."""
     kept = classes(docs).filter("stays AND doc_id <=> class_id").select(
-        F.col("node").alias("__kept"), F.col("class_id").alias("__id")
+        F.col("node").alias("kept"), F.col("class_id").alias("id")
     ).distinct()
-    marked = docs.withColumn("__node", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    joined = marked.join(kept, (F.col("__node") == F.col("__kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    return joined.dropDuplicates(["__node"]).select(*docs.columns)
+    names = [f"__{i}" for i in range(len(docs.columns))]  # the caller's columns may have any name
+    text, doc_id = (F.col(names[docs.columns.index(c)]) for c in ("text", "doc_id"))
+    marked = docs.toDF(*names).withColumn("node", F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    joined = marked.join(kept, (F.col("node") == F.col("kept")) & doc_id.cast("long").eqNullSafe(F.col("id")))
+    return joined.dropDuplicates(["node"]).select(*names).toDF(*docs.columns)

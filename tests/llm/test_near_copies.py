@@ -116,6 +116,26 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted({c for _, c in brute_classes(rows)})
 
 
+def test_short_texts_lose_no_link(spark):
+    """Texts of 8 words and the same with one word more are similar at the threshold exactly."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    rows = []
+    for i in range(4000):
+        words = [word() for _ in range(8)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words, word()]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.class_id == r.doc_id // 2 * 2 for r in near_copies.classes(docs).collect())
+
+
+def test_columns_of_any_name_are_left_alone(spark):
+    names = ["__node", "node", "kept", "id", "__kept", "key", "__0", "least"]
+    rows = [(i, "the same words again and again in this text", *(f"{n} {i}" for n in names)) for i in range(3)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    (row,) = near_copies.first_of_each(spark.createDataFrame(rows, schema)).collect()
+    assert tuple(row) == rows[0]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("900", "901"), ("901", "901"), ("901", "900")]
     found = components(spark.createDataFrame(edges, "a string, b string")).collect()

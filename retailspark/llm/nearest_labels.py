@@ -23,10 +23,8 @@ scored each, and are one example. Labels, lang, source and doc_id take no part i
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
-from collections import Counter
 from functools import cached_property
 
 import numpy as np
@@ -55,38 +53,46 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
 
 
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+# Latin-1 bytes of the letters in lower case, blanks for all others.
+_LATIN = bytes(ord(chr(i).lower()) if _WORD.fullmatch(chr(i)) else 32 for i in range(256))
+
+
+def _key(word: str) -> bytes:
+    try:
+        return word.encode("latin-1")
+    except UnicodeEncodeError:
+        return b"\0" + word.encode()
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text, each as Latin-1 if it has only such letters. Most texts are cut as bytes as a whole."""
+    try:
+        return (text or "").encode("latin-1").translate(_LATIN).split() if text else []
+    except UnicodeEncodeError:
+        return [_key(w) for w in _WORD.findall(text.lower())]
 
 
 class Terms:
     """The words of the examples by number; the table is made where it is first looked into."""
 
-    def __init__(self, joined: str):
-        self.data, self.size = zlib.compress(joined.encode(), 1), joined.count(" ") + 1 if joined else 0
+    def __init__(self, joined: bytes):
+        self.data, self.size = zlib.compress(joined, 1), joined.count(b" ") + 1 if joined else 0
 
     def __reduce__(self):
         return unpacked_terms, (self.data, self.size)
 
     @cached_property
-    def number(self) -> dict[str, int]:
-        return {word: i for i, word in enumerate(zlib.decompress(self.data).decode().split())}
+    def number(self) -> dict[bytes, int]:
+        return {word: i for i, word in enumerate(zlib.decompress(self.data).split(b" "))} if self.size else {}
 
-    def numbers(self, texts: list[str | None]) -> np.ndarray:
-        """Each text's distinct terms, one text's after another's."""
-        found: list[int | None] = []
-        for text in texts:
-            found += map(self.number.get, set(_WORD.findall((text or "").lower())))
-        return np.array([i for i in found if i is not None], np.int64)
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        """How often each term stands in the text."""
-        number = self.number
-        return {number[word]: n for word, n in words_of(text).items() if word in number}
+    def counts(self, text: str | None) -> Sparse:
+        """The text's terms, and how often each stands in it."""
+        found = [i for i in map(self.number.get, words_of(text)) if i is not None]
+        return np.unique(np.array(found, np.int64), return_counts=True)
 
 
 def unpacked_terms(data: bytes, size: int) -> Terms:
-    terms = Terms("")
+    terms = Terms(b"")
     terms.data, terms.size = data, size
     return terms
 
@@ -247,8 +253,8 @@ class Model:
             found.setdefault(doc_id, []).append(i)
         return found
 
-    def unit(self, counts: dict[int, int]) -> Sparse:
-        terms, n = sparse(counts)
+    def unit(self, counts: Sparse) -> Sparse:
+        terms, n = counts
         weights = (1 + np.log(n)) * self.weight[terms]
         return terms, weights / np.sqrt((weights * weights).sum()) if len(terms) else weights
 
@@ -265,10 +271,10 @@ class Model:
         own = [self.place[self.ids[i]] for i in examples]
         return [self.vote(*x) for x in self.index.nearest_of_all([self.example(i) for i in examples], NEAREST, own)]
 
-    def counts(self, text: str | None) -> dict[int, int]:
+    def counts(self, text: str | None) -> Sparse:
         return self.terms.counts(text)
 
-    def scores(self, counts: list[dict[int, int]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+    def scores(self, counts: list[Sparse]) -> list[tuple[float, list[tuple[int, float, int]]]]:
         out = []
         for cosines, found in self.index.nearest_of_all([self.unit(c) for c in counts], NEAREST, [()] * len(counts)):
             evidence = [(self.ids[i], c, int(self.known[i])) for c, i in zip(cosines[:3].tolist(), found[:3].tolist())]
@@ -293,68 +299,96 @@ def chosen_labels(labels: DataFrame) -> DataFrame:
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
 
 
+VECTOR = ("toxic_terms", "toxic_counts")  # a text's terms, as differences, and counts: little-endian 32-bit numbers
+
+
+def vector(terms: bytes, counts: bytes) -> Sparse:
+    return np.cumsum(np.frombuffer(terms, "<i4"), dtype=np.int64), np.frombuffer(counts, "<i4").astype(np.int64)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from the labelled rows of ``docs``, with idf over all of them. Two passes over the texts."""
+    """The model from the labelled rows of ``docs``, with idf over all of them."""
+    return fitted(docs, labels)[0]
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame, list[str]]:
+    """The model, and ``docs`` with the vectors of their texts in two more columns, whose names come last.
+
+    The texts are cut into words once, and written together with their vectors.
+    """
     spark = docs.sparkSession
     chosen = staged(chosen_labels(labels), "toxic-labels")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    examples = staged(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "toxic-examples")
+    doc_id = F.col("doc_id").cast("long")
+    examples = docs.select(doc_id.alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text")
 
     def distinct():
         def step(part):
             for word in set().union(*(words_of(text) for (text,) in part)):
-                yield (word,)
+                if word:
+                    yield (word,)
 
         return step
 
-    words = map_rows(examples.select("text"), distinct, "word string", rows=4096).distinct()
-    terms = Terms(" ".join(sorted(words.toArrow()["word"].to_pylist())))
+    words = map_rows(examples, distinct, "word binary", rows=4096).distinct()
+    terms = Terms(b" ".join(sorted(words.toArrow()["word"].to_pylist())))
     shared = spark.sparkContext.broadcast(terms)
 
+    def vectors():
+        known = shared.value
+
+        def step(rows):
+            out = []
+            for (text,) in rows:
+                terms, counts = known.counts(text)
+                out.append((np.diff(terms, prepend=0).astype("<i4").tobytes(), counts.astype("<i4").tobytes()))
+            return out
+
+        return step
+
+    names = list(VECTOR)
+    while set(names) & set(docs.columns):
+        names = [f"{n}_" for n in names]
+    held = staged(append_columns(docs, ["text"], vectors, ", ".join(f"{n} binary" for n in names)), "toxic-vectors")
+    shared.destroy()
+    size = terms.size
+
     def occurring(batches):
         """(term, texts that have it) over all of the task's texts; term -1 stands for any."""
-        known = shared.value
-        seen, rows = np.zeros(known.size, np.int64), 0
+        seen, rows = np.zeros(size, np.int64), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                texts = batch.column(0).slice(at, 1024).to_pylist()
-                rows += len(texts)
-                seen += np.bincount(known.numbers(texts), minlength=known.size)
+                steps = batch.column(0).slice(at, 1024).to_pylist()
+                rows += len(steps)
+                numbers = [np.cumsum(np.frombuffer(x, "<i4"), dtype=np.int64) for x in steps]
+                seen += np.bincount(np.concatenate(numbers), minlength=size)
         term = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(term, -1), pa.int64()), pa.array(np.append(seen[term], rows), pa.int64())], names=["term", "n"]
         )
 
-    found = rows.select("text").mapInArrow(portable(occurring), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = held.select(names[0]).mapInArrow(portable(occurring), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = found.toArrow()  # one row a term
     term, n = (found[c].to_numpy() for c in ("term", "n"))
-    total, seen = int(n[term < 0].sum()), np.zeros(terms.size)
+    total, seen = int(n[term < 0].sum()), np.zeros(size)
     seen[term[term >= 0]] = n[term >= 0]
     idf = np.log((1 + total) / (1 + seen)) + 1
 
-    def vectors():
-        known = shared.value
-
-        def step(part):
-            for doc_id, text, toxic in part:
-                terms, counts = sparse(known.counts(text))
-                yield doc_id, hashlib.md5((text or "").encode()).hexdigest(), *packed(terms, counts), toxic
-
-        return step
-
-    schema = "doc_id long, digest string, terms binary, counts binary, toxic int"
     # Repeated rows are one example.
-    known = map_rows(examples, vectors, schema).dropDuplicates(["doc_id", "digest"]).toArrow()
-    shared.destroy()
-    known = known.sort_by([("doc_id", "ascending"), ("digest", "ascending")])
-    none = [np.zeros(0, np.int32)]
-    numbers = [unpacked(x) for x in known["terms"].to_pylist()]
+    known = held.select(doc_id.alias("doc_id"), F.col(names[0]).alias("terms"), F.col(names[1]).alias("counts"))
+    known = known.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "terms", "counts"])
+    known = known.toArrow().sort_by([("doc_id", "ascending"), ("terms", "ascending"), ("counts", "ascending")])
+    none = [np.zeros(0, np.int64)]
+    numbers, counts = [], []
+    for steps, number in zip(known["terms"].to_pylist(), known["counts"].to_pylist()):
+        terms_of, counts_of = vector(steps, number)
+        numbers.append(terms_of)
+        counts.append(counts_of)
     sizes, = packed(np.array([len(x) for x in numbers]))
     steps, = packed(np.diff(np.concatenate(numbers or none), prepend=0))
-    counts, = packed(np.concatenate([unpacked(x) for x in known["counts"].to_pylist()] or none))
+    counts, = packed(np.concatenate(counts or none))
     model = Model(terms, idf, known["doc_id"].to_pylist(), sizes, steps, counts, known["toxic"].to_numpy().astype(float))
     model.calibrate = Isotonic(votes_of(spark, model), model.known)
-    return model
+    return model, held, names
 
 
 def votes_of(spark, model: Model) -> np.ndarray:
@@ -373,24 +407,24 @@ def votes_of(spark, model: Model) -> np.ndarray:
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with toxic_score and toxic_evidence (doc_id, cosine, label of the nearest examples) behind its columns."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    model, held, names = fitted(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        known = model.value
-        memory: dict[bytes, tuple] = {}
+        known = shared.value
+        memory: dict[tuple, tuple] = {}
 
         def step(rows):
             if len(memory) > MEMORY:
                 memory.clear()
-            keys = [hashlib.md5((text or "").encode()).digest() for (text,) in rows]
-            new = {key: text for key, (text,) in zip(keys, rows) if key not in memory}
-            memory.update(zip(new, known.scores([known.counts(t) for t in new.values()])))
-            return [memory[key] for key in keys]
+            new = list({row: None for row in rows if row not in memory})
+            memory.update(zip(new, known.scores([vector(*row) for row in new])))
+            return [memory[row] for row in rows]
 
         return step
 
     schema = "toxic_score double, toxic_evidence array<struct<doc_id: long, cosine: double, label: int>>"
-    return append_columns(docs, ["text"], make, schema)
+    return append_columns(held, names, make, schema).drop(*names)
 
 
 def keep(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:

@@ -329,3 +329,21 @@ def test_ties_invalid_and_few_vectors(spark):
     assert 20 not in got  # alone in its dimension
     empty = table.filter("vec_id > 1000")
     assert small_world.search(empty, empty).count() == 0
+
+
+def test_vectors_of_any_length_are_found(spark):
+    """Independent vectors in one shard, among them a few of quite other norms; brute force in double precision."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(2500, 24))
+    for row, times in ((3, 1e4), (40, 1e20), (60, 1e-20), (81, 1000.0), (100, 1e4)):
+        vectors[row] *= times
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in small_world.search(table, table.filter("vec_id % 20 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    recalls = []
+    for q in range(0, len(vectors), 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        recalls.append(len(found[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(recalls) > 0.9 and min(recalls) > 0.5

@@ -1,13 +1,15 @@
 """Approximate nearest neighbours by hierarchical navigable small-world graphs (operator 10).
 
-Equal vectors are one point, which keeps its k + 1 least ids. Points are dealt to shards by a hash. A shard becomes one
-row of flat arrays: its points, their ids, and for each layer the neighbour numbers, a fixed number a point, -1 for none.
-The measure is the inner product. To make it a nearness, a point of norm r gets one more coordinate sqrt(R^2 - r^2), with R
-the largest norm of the shard, and a query gets 0 there: then all points have one length and the order of inner products
-is the order of distances.
+Equal vectors are one point, which keeps its k + 1 least ids. Points are dealt to shards by the power of two below their
+norm, and among those by a hash. A shard becomes one row of flat arrays: its points, their ids, and for each layer the
+neighbour numbers, a fixed number a point, -1 for none. The measure is the inner product. To make it a nearness, a point of
+norm r gets one more coordinate sqrt(R^2 - r^2), with R the largest norm of the shard, and a query gets 0 there: then all
+points have one length and the order of inner products is the order of distances. Norms of one shard differ by a factor of
+two at most, so that coordinate outweighs no other, however long a few vectors of the table are.
 
-Every block of query points is searched in every shard, the hits are scored again in double precision on the original
-vectors, and the shards' hits are merged. Ties go to the lesser id; a query's own id is never a hit.
+Every block of query points is searched in every shard of its dimension: a shard is read once and the blocks pass by it. The
+hits are scored again in double precision on the original vectors, and the shards' hits are merged. Ties go to the lesser
+id; a query's own id is never a hit. Single-precision copies of vectors are scaled, so any finite components will do.
 
 Vectors that are null or zero, or hold null or non-finite components, take no part. A query meets points of its own
 dimension only. A repeated row counts once. An empty table gives no rows.
@@ -21,15 +23,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailspark.llm.common import map_rows, staged
+from retailspark.llm.common import join_checked, map_rows, portable, staged
 
 NEAREST = 20
-LINKS = 12  # of a point and layer; twice as many in the lowest
-BUILD = 64  # points held while a place for a new one is sought
-SEARCH = 96  # points held while a query's neighbours are sought
-SHARD = 50_000  # points of a shard, on average, at most
-LEAST_SHARDS = 8
-QUERY_BLOCK = 4096
+LINKS = 16  # of a point and layer; twice as many in the lowest
+BUILD = 96  # points held while a place for a new one is sought
+SEARCH = 320  # points held while a query's neighbours are sought
+SHARD = 10_000  # points of a shard, on average, at most
+QUERY_BLOCK = 1024  # query points of a block
+BLOCKS = 16  # blocks that pass by one copy of a shard
 
 
 class Graph:
@@ -133,39 +135,48 @@ class Graph:
 
 
 def augmented(vectors: np.ndarray) -> np.ndarray:
-    """With the coordinate that gives all points one length."""
+    """Scaled, with the coordinate that gives all points one length."""
+    vectors = vectors / (np.abs(vectors).max(initial=0) or 1.0)
     norms = (vectors * vectors).sum(1)
-    return np.hstack([vectors, np.sqrt(np.maximum(0, norms.max(initial=0) - norms))[:, None]]).astype(np.float32)
+    rest = np.sqrt(np.maximum(0, norms.max(initial=0) - norms))
+    return np.hstack([vectors, rest[:, None]]).astype(np.float32)
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vector, dim, key) of the rows that take part; equal vectors have equal keys."""
+    """(vec_id, vector, dim, scale, key) of the rows that take part; equal vectors have equal keys. ``scale`` is the
+    logarithm of the norm, to the base 2, without its fraction."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     good = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)) & F.exists("vector", lambda x: x != 0))
     text = F.concat_ws(",", F.transform("vector", lambda x: (x + 0.0).cast("string")))
-    return rows.select("vec_id", "vector", F.size("vector").alias("dim"), F.md5(text.cast("binary")).alias("key"))
+    most = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x / F.col("most")) * (x / F.col("most")))
+    scale = F.floor(F.log2("most") + F.log2(squares) / 2).cast("int")
+    return rows.withColumn("most", most).select(
+        "vec_id", "vector", F.size("vector").alias("dim"), scale.alias("scale"), F.md5(text.cast("binary")).alias("key")
+    )
 
 
 def points_of(rows: DataFrame, k: int) -> DataFrame:
-    """One (key, dim, vector, ids) a point, with its k + 1 least ids: others are never among k hits."""
+    """One (key, dim, scale, vector, ids) a point, with its k + 1 least ids: others are never among k hits."""
     order = Window.partitionBy("key").orderBy("vec_id")
     least = rows.dropDuplicates(["vec_id", "key"]).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
     return least.groupBy("key").agg(
-        F.first("dim").alias("dim"), F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids")
+        F.first("dim").alias("dim"), F.first("scale").alias("scale"), F.first("vector").alias("vector"),
+        F.sort_array(F.collect_list("vec_id")).alias("ids"),
     )
 
 
 INDEX = (
-    "dim int, shard int, n int, entry int, heights int, points binary, neighbours array<binary>, vectors binary, "
+    "dim int, scale int, shard int, n int, entry int, heights int, points binary, neighbours array<binary>, vectors binary, "
     "ids array<array<long>>"
 )
 
 
 def index(points: DataFrame) -> DataFrame:
     """One row a shard."""
-    n = points.count()
-    shards = max(LEAST_SHARDS, -(-n // SHARD))
+    # A row for each dimension and power of two, of which there are two thousand.
+    parts = points.groupBy("dim", "scale").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("parts"))
 
     def build(frame):
         import pandas as pd
@@ -174,17 +185,16 @@ def index(points: DataFrame) -> DataFrame:
         vectors = np.array(frame["vector"].tolist(), np.float64)
         graph = Graph.build(augmented(vectors))
         return pd.DataFrame([{
-            "dim": int(frame["dim"].iloc[0]), "shard": int(frame["shard"].iloc[0]), "n": len(frame), "entry": graph.entry,
-            "heights": len(graph.layers), "points": graph.points.tobytes(),
+            "dim": int(frame["dim"].iloc[0]), "scale": int(frame["scale"].iloc[0]), "shard": int(frame["shard"].iloc[0]),
+            "n": len(frame), "entry": graph.entry, "heights": len(graph.layers), "points": graph.points.tobytes(),
             "neighbours": [layer.tobytes() for layer in graph.layers], "vectors": vectors.tobytes(),
             "ids": frame["ids"].tolist(),
         }])
 
-    from retailspark.llm.common import portable
-
     call = portable(build)
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("dim", "shard").applyInPandas(lambda frame: call(frame), INDEX)
+    dealt = join_checked(points, staged(parts, "world-parts"), ["dim", "scale"], 100_000)
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    return dealt.groupBy("dim", "scale", "shard").applyInPandas(lambda frame: call(frame), INDEX)
 
 
 HITS = "query string, score double, ids array<long>"
@@ -193,18 +203,25 @@ HITS = "query string, score double, ids array<long>"
 def hits(shards: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The best k + 1 points of each shard for each query point (key, dim, vector)."""
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    copies = -(-blocks // BLOCKS)
     block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
     grouped = queries.groupBy("dim", block.alias("block")).agg(F.collect_list(F.struct("key", "vector")).alias("queries"))
 
     def make():
+        graph = vectors = ids = None
+
         def step(rows):
-            for n, entry, dim, points, neighbours, vectors, ids, queries in rows:
-                points = np.frombuffer(points, np.float32).reshape(n, dim + 1)
-                graph = Graph(points, [np.frombuffer(x, np.int32).reshape(n, -1) for x in neighbours], entry)
-                vectors = np.frombuffer(vectors).reshape(n, dim)
+            nonlocal graph, vectors, ids
+            for n, entry, dim, points, neighbours, own, own_ids, queries in rows:
+                if queries is None:  # the shard that the blocks behind are for
+                    points = np.frombuffer(points, np.float32).reshape(n, dim + 1)
+                    graph = Graph(points, [np.frombuffer(x, np.int32).reshape(n, -1) for x in neighbours], entry)
+                    vectors, ids = np.frombuffer(own).reshape(n, dim), own_ids
+                    continue
                 for query in queries:
                     exact = np.array(query["vector"])
-                    found = np.array(graph.nearest(np.append(exact, 0).astype(np.float32), max(SEARCH, k + 1)))
+                    scaled = np.append(exact / np.abs(exact).max(), 0).astype(np.float32)
+                    found = np.array(graph.nearest(scaled, max(SEARCH, k + 1)))
                     scores = (vectors[found] * exact).sum(1)
                     order = np.lexsort(([ids[i][0] for i in found.tolist()], -scores))[: k + 1]
                     for i in order.tolist():
@@ -212,9 +229,14 @@ def hits(shards: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
         return step
 
-    joined = shards.join(grouped, "dim")  # a block of queries with every shard of its dimension
+    place = ["dim", "scale", "shard"]
+    keys = staged(shards.select(*place), "world-keys")  # a row a shard
+    asked = join_checked(grouped, keys, ["dim"], 1_000_000).withColumn("copy", F.pmod("block", F.lit(copies)))
+    held = shards.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    both = held.withColumn("block", F.lit(-1)).unionByName(asked, allowMissingColumns=True)
+    dealt = both.repartition(*place, "copy").sortWithinPartitions(*place, "copy", "block")
     columns = ["n", "entry", "dim", "points", "neighbours", "vectors", "ids", "queries"]
-    return map_rows(joined.repartition("dim", "shard", "block").select(*columns), make, HITS, rows=1)
+    return map_rows(dealt.select(*columns), make, HITS, rows=1)
 
 
 def search(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:

@@ -93,7 +93,7 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [r.asDict() for r in docs.collect()]
     model = nearest_labels.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
-    rows = [r for r in rows if model.score(r["doc_id"], model.counts(r["text"]))[0] < 0.5]
+    rows = [r for r in rows if model.scores([model.counts(r["text"])])[0][0] < 0.5]
     measures = [host_rules.measure(r["text"]) for r in rows]
     rows = [r for r, m in zip(rows, measures) if m[0] >= 20 and 100 * m[5] <= 30 * m[0]]
     least = {c for _, c in brute_classes([(r["doc_id"], r["text"]) for r in rows], near_copies.aligned)}

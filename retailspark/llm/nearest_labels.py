@@ -14,7 +14,7 @@ example. Equal texts have equal scores, whatever their doc_id: an example is a n
 The vote is sum(w * label) + PRIOR * rate over sum(w) + PRIOR, w being the squared cosine, and is calibrated by isotonic
 regression on the examples, each voted on by those of other documents. The neighbours are returned as evidence.
 
-The driver has the examples' words and counts, compressed; vectors and index are built in the tasks.
+The driver has the hashes of the examples' words and their counts, compressed; vectors and index are built in the tasks.
 
 Null and empty texts, and texts without any of the terms, have no neighbours and get the calibrated prior. Repeated labels
 of a document count as their majority; null labels are left out. Without any labels, the score is 0. Repeated rows are
@@ -23,8 +23,10 @@ scored each, and are one example. Labels, lang, source and doc_id take no part i
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
@@ -32,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailspark.llm import sketches
 from retailspark.llm.common import append_columns, map_rows, portable, staged
 
 EXAMPLES = 16_384
@@ -42,7 +45,7 @@ QUERIES = 64  # multiplied with the matrix at once
 NEAREST = 25
 PRIOR = 0.5
 HELD_OUT = 5
-MEMORY = 20_000  # texts whose scores a task remembers
+MEMORY = 10_000  # texts whose scores a task remembers
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -64,37 +67,34 @@ def _key(word: str) -> bytes:
         return b"\0" + word.encode()
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a text, each as Latin-1 if it has only such letters. Most texts are cut as bytes as a whole."""
+def words_of(text: str | None) -> bytes:
+    """The words of a text with blanks between, as Latin-1 if a word has only such letters. Most texts are turned into
+    bytes as a whole."""
     try:
-        return (text or "").encode("latin-1").translate(_LATIN).split() if text else []
+        return (text or "").encode("latin-1").translate(_LATIN)
     except UnicodeEncodeError:
-        return [_key(w) for w in _WORD.findall(text.lower())]
+        return b" ".join(_key(w) for w in _WORD.findall(text.lower()))
 
 
 class Terms:
-    """The words of the examples by number; the table is made where it is first looked into."""
+    """The words of the examples: their 64-bit hashes in order. A term's number is its place there."""
 
-    def __init__(self, joined: bytes):
-        self.data, self.size = zlib.compress(joined, 1), joined.count(b" ") + 1 if joined else 0
+    TEXTS = 128  # that are looked up at a time
 
-    def __reduce__(self):
-        return unpacked_terms, (self.data, self.size)
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.size = hashes, len(hashes)
 
-    @cached_property
-    def number(self) -> dict[bytes, int]:
-        return {word: i for i, word in enumerate(zlib.decompress(self.data).split(b" "))} if self.size else {}
+    def counts_of(self, texts: list[str | None]) -> Iterator[Sparse]:
+        """Each text's terms, and how often each stands in it."""
+        for at in range(0, len(texts), self.TEXTS):
+            found, edges = sketches.hashed([words_of(t) for t in texts[at : at + self.TEXTS]])
+            place = np.searchsorted(self.hashes, found)
+            known = self.hashes[np.minimum(place, self.size - 1)] == found if self.size else np.zeros(len(found), bool)
+            for start, stop in zip(edges, edges[1:]):
+                yield np.unique(place[start:stop][known[start:stop]], return_counts=True)
 
     def counts(self, text: str | None) -> Sparse:
-        """The text's terms, and how often each stands in it."""
-        found = [i for i in map(self.number.get, words_of(text)) if i is not None]
-        return np.unique(np.array(found, np.int64), return_counts=True)
-
-
-def unpacked_terms(data: bytes, size: int) -> Terms:
-    terms = Terms(b"")
-    terms.data, terms.size = data, size
-    return terms
+        return next(self.counts_of([text]))
 
 
 def packed(*arrays: np.ndarray) -> list[bytes]:
@@ -321,27 +321,24 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame, list[s
     doc_id = F.col("doc_id").cast("long")
     examples = docs.select(doc_id.alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text")
 
-    def distinct():
-        def step(part):
-            for word in set().union(*(words_of(text) for (text,) in part)):
-                if word:
-                    yield (word,)
-
-        return step
+    def distinct(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                found, _ = sketches.hashed([words_of(t) for t in batch.column(0).slice(at, 256).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(found).view(np.int64))], names=["word"])
 
-    words = map_rows(examples, distinct, "word binary", rows=4096).distinct()
-    terms = Terms(b" ".join(sorted(words.toArrow()["word"].to_pylist())))
+    words = examples.mapInArrow(portable(distinct), "word long").distinct().toArrow()["word"].to_numpy()
+    terms = Terms(np.sort(words.astype(np.int64).view(np.uint64)))
     shared = spark.sparkContext.broadcast(terms)
 
     def vectors():
         known = shared.value
 
         def step(rows):
-            out = []
-            for (text,) in rows:
-                terms, counts = known.counts(text)
-                out.append((np.diff(terms, prepend=0).astype("<i4").tobytes(), counts.astype("<i4").tobytes()))
-            return out
+            return [
+                (np.diff(terms, prepend=0).astype("<i4").tobytes(), counts.astype("<i4").tobytes())
+                for terms, counts in known.counts_of([text for (text,) in rows])
+            ]
 
         return step
 
@@ -412,14 +409,15 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def make():
         known = shared.value
-        memory: dict[tuple, tuple] = {}
+        memory: dict[bytes, tuple] = {}
 
         def step(rows):
             if len(memory) > MEMORY:
                 memory.clear()
-            new = list({row: None for row in rows if row not in memory})
-            memory.update(zip(new, known.scores([vector(*row) for row in new])))
-            return [memory[row] for row in rows]
+            keys = [hashlib.md5(b"%d:" % len(terms) + terms + counts).digest() for terms, counts in rows]
+            new = {key: row for key, row in zip(keys, rows) if key not in memory}
+            memory.update(zip(new, known.scores([vector(*row) for row in new.values()])))
+            return [memory[key] for key in keys]
 
         return step
 

@@ -25,7 +25,11 @@ def powers(n: int) -> np.ndarray:
 def words(texts: list[str], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit number for each word of the texts, lower-cased if ``fold``, and where each text's words start (one more
     entry)."""
-    raw = [(t.lower() if fold else t).encode() for t in texts]
+    return hashed([(t.lower() if fold else t).encode() for t in texts])
+
+
+def hashed(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts that are bytes."""
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     space = _SPACE[data]
     before = np.empty(len(data), bool)
@@ -34,7 +38,7 @@ def words(texts: list[str], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(space & ~before)
     edges = np.cumsum([0, *(len(r) + 1 for r in raw)])
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(raw) + 1, np.int64)
     length = ends - starts
     kept = data[~space].astype(np.uint64) + np.uint64(1)
     first = np.cumsum(length) - length

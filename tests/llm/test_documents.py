@@ -233,7 +233,7 @@ def test_rare_words_of_examples_count(spark):
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
     model = nearest_labels.fit(docs, marks)
     assert sorted(model.ids) == sorted(i for i, _ in labels)
-    assert len(model.terms.number) == len({w for _, text in rows for w in text.split()})
+    assert model.terms.size == len({w for _, text in rows for w in text.split()})
     found = {r.doc_id: r for r in nearest_labels.score(docs, marks).collect()}
     for doc_id, toxic, copies in fresh:
         assert {e.doc_id for e in found[doc_id].toxic_evidence} == copies

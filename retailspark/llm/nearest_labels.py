@@ -43,6 +43,7 @@ DENSE_SHARE = 0.1  # of the examples, that such a term occurs in
 SLACK = 1e-4  # over twice the relative rounding error of DENSE single-precision sums
 QUERIES = 64  # multiplied with the matrix at once
 NEAREST = 25
+PART = 1024  # examples whose vectors are made at a time
 PRIOR = 0.5
 HELD_OUT = 5
 MEMORY = 10_000  # texts whose scores a task remembers
@@ -142,7 +143,8 @@ class Index:
         dense = columns >= 0
         self.matrix = np.zeros((len(frequent), self.size), np.float32)
         self.matrix[columns[dense], examples[dense]] = weights[dense]
-        rest = np.flatnonzero(~dense)
+        rest = np.flatnonzero(~dense).astype(np.int32)
+        del columns, dense
         rest = rest[np.argsort(self.terms[rest], kind="stable")]
         self.listed, self.values = examples[rest], weights[rest].astype(np.float32)
         self.sizes = np.where(self.column < 0, seen, 0)
@@ -215,10 +217,10 @@ def _groups(votes, labels):
 class Model:
     """Terms with their weights, the examples and the calibration. Vectors and index are made where they are first used."""
 
-    def __init__(self, terms: Terms, idf: np.ndarray, ids: list[int], sizes: bytes, steps: bytes, counts: bytes, labels: np.ndarray):
-        """``sizes``: terms of each example; ``steps`` and ``counts``: their numbers, as differences, and how often they are
+    def __init__(self, terms: Terms, weight: np.ndarray, ids: list[int], sizes: bytes, steps: bytes, counts: bytes, labels: np.ndarray):
+        """``weight`` of each term; ``sizes``: terms of each example; ``steps`` and ``counts``: their numbers, as differences, and how often they are
         there, one example's after another's."""
-        self.state = terms, idf, ids, sizes, steps, counts, labels
+        self.state = terms, weight, ids, sizes, steps, counts, labels
         self.terms, self.ids, self.known = terms, ids, labels
         self.rate = float(labels.mean()) if len(labels) else 0.0
         self.calibrate: Isotonic | None = None
@@ -229,14 +231,17 @@ class Model:
     @cached_property
     def vectors(self) -> tuple[np.ndarray, Index]:
         """The terms' weights, and the index."""
-        _, idf, ids, sizes, steps, counts, labels = self.state
+        _, weight, ids, sizes, steps, counts, _ = self.state
         edges = np.concatenate([[0], np.cumsum(unpacked(sizes), dtype=np.int64)])
         numbers, counts = np.cumsum(unpacked(steps), dtype=np.int32), unpacked(counts)
-        weight = idf * np.sqrt(1 + dependence(numbers, labels, edges, len(idf)))
-        weights = (1 + np.log(counts)) * weight[numbers]
-        rows = np.repeat(np.arange(len(ids)), np.diff(edges))
-        weights /= np.sqrt(np.bincount(rows, weights * weights, len(ids)))[rows]
-        return weight, Index.of(edges, numbers, weights, len(idf))
+        weights = np.empty(len(numbers))
+        for first in range(0, len(ids), PART):  # of the examples, so that little is held beside the result
+            last = min(first + PART, len(ids))
+            part = slice(edges[first], edges[last])
+            found = (1 + np.log(counts[part])) * weight[numbers[part]]
+            rows = np.repeat(np.arange(last - first), np.diff(edges[first : last + 1]))
+            weights[part] = found / np.sqrt(np.bincount(rows, found * found, last - first))[rows]
+        return weight, Index.of(edges, numbers, weights, len(weight))
 
     @property
     def weight(self) -> np.ndarray:
@@ -282,11 +287,13 @@ class Model:
         return out
 
 
-def dependence(numbers: np.ndarray, labels: np.ndarray, edges: np.ndarray, n_terms: int) -> np.ndarray:
+def dependence(vectors: list[np.ndarray], labels: np.ndarray, n_terms: int) -> np.ndarray:
     """Chi-square between each term's occurring in an example and the label; 0 for terms of all examples."""
     n, n1 = len(labels), float(labels.sum())
-    of_row = np.repeat(labels, np.diff(edges))
-    seen, seen1 = np.bincount(numbers, minlength=n_terms), np.bincount(numbers, of_row, n_terms)
+    seen, seen1 = np.zeros(n_terms), np.zeros(n_terms)
+    for terms, label in zip(vectors, labels):  # a vector has a term once
+        seen[terms] += 1
+        seen1[terms] += label
     cross = seen1 * (n - n1) - (seen - seen1) * n1
     under = seen * (n - seen) * (n1 * (n - n1))
     return np.divide(n * cross * cross, under, out=np.zeros(n_terms), where=under > 0)
@@ -302,8 +309,8 @@ def chosen_labels(labels: DataFrame) -> DataFrame:
 VECTOR = ("toxic_terms", "toxic_counts")  # a text's terms, as differences, and counts: little-endian 32-bit numbers
 
 
-def vector(terms: bytes, counts: bytes) -> Sparse:
-    return np.cumsum(np.frombuffer(terms, "<i4"), dtype=np.int64), np.frombuffer(counts, "<i4").astype(np.int64)
+def vector(terms: bytes, counts: bytes = b"") -> Sparse:
+    return np.cumsum(np.frombuffer(terms, "<i4"), dtype=np.int32), np.frombuffer(counts, "<i4")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -374,16 +381,14 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame, list[s
     known = held.select(doc_id.alias("doc_id"), F.col(names[0]).alias("terms"), F.col(names[1]).alias("counts"))
     known = known.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "terms", "counts"])
     known = known.toArrow().sort_by([("doc_id", "ascending"), ("terms", "ascending"), ("counts", "ascending")])
-    none = [np.zeros(0, np.int64)]
-    numbers, counts = [], []
-    for steps, number in zip(known["terms"].to_pylist(), known["counts"].to_pylist()):
-        terms_of, counts_of = vector(steps, number)
-        numbers.append(terms_of)
-        counts.append(counts_of)
+    labelled = known["toxic"].to_numpy().astype(float)
+    numbers = [vector(x)[0] for x in known["terms"].to_pylist()]
+    weight = idf * np.sqrt(1 + dependence(numbers, labelled, size))
     sizes, = packed(np.array([len(x) for x in numbers]))
-    steps, = packed(np.diff(np.concatenate(numbers or none), prepend=0))
-    counts, = packed(np.concatenate(counts or none))
-    model = Model(terms, idf, known["doc_id"].to_pylist(), sizes, steps, counts, known["toxic"].to_numpy().astype(float))
+    steps, = packed(np.diff(np.concatenate(numbers or [np.zeros(0, np.int32)]), prepend=0))
+    del numbers
+    counts, = packed(np.frombuffer(b"".join(known["counts"].to_pylist()), "<i4"))
+    model = Model(terms, weight, known["doc_id"].to_pylist(), sizes, steps, counts, labelled)
     model.calibrate = Isotonic(votes_of(spark, model), model.known)
     return model, held, names
 

@@ -39,7 +39,7 @@ from retailspark.llm.common import append_columns, map_rows, portable, staged
 
 EXAMPLES = 16_384
 DENSE = 512  # terms at most that the index holds as a matrix
-DENSE_SHARE = 0.1  # of the examples, that such a term occurs in
+DENSE_SHARE = 0.05  # of the examples, that such a term occurs in
 SLACK = 1e-4  # over twice the relative rounding error of DENSE single-precision sums
 QUERIES = 64  # multiplied with the matrix at once
 NEAREST = 25
@@ -51,6 +51,7 @@ MEMORY = 10_000  # texts whose scores a task remembers
 _WORD = re.compile(r"[^\W\d_]+")
 
 Sparse = tuple[np.ndarray, np.ndarray]  # terms in order, and a number for each
+ENTRY = np.dtype([("example", "<i4"), ("value", "<f4")])  # of an inverted list
 
 
 def held_out(doc_id: Column) -> Column:
@@ -113,7 +114,9 @@ def sparse(counts: dict[int, float]) -> Sparse:
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, .. for sizes[0] numbers, and so on."""
-    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    out = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    out += np.arange(len(out))
+    return out
 
 
 class Index:
@@ -146,9 +149,10 @@ class Index:
         rest = np.flatnonzero(~dense).astype(np.int32)
         del columns, dense
         rest = rest[np.argsort(self.terms[rest], kind="stable")]
-        self.listed, self.values = examples[rest], weights[rest].astype(np.float32)
-        self.sizes = np.where(self.column < 0, seen, 0)
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.lists = np.empty(len(rest), ENTRY)
+        self.lists["example"], self.lists["value"] = examples[rest], weights[rest]
+        sizes = np.where(self.column < 0, seen, 0)
+        self.spans = np.stack([np.cumsum(sizes) - sizes, sizes], 1)  # of each term: where its list starts, its length
         self.scratch = np.zeros(n_terms)
 
     def nearest(self, query: dict[int, float], k: int, without=()) -> list[tuple[float, int]]:
@@ -172,10 +176,13 @@ class Index:
     def best(self, scores: np.ndarray, query: Sparse, k: int, without) -> tuple[np.ndarray, np.ndarray]:
         """The nearest, from the dense terms' sums."""
         terms, weights = query
-        sizes = self.sizes[terms]
-        at = ranges(self.starts[terms], sizes)
-        if len(at):
-            scores += np.bincount(self.listed[at], self.values[at] * np.repeat(weights, sizes), self.size).astype(np.float32)
+        spans = self.spans[terms]
+        listed = np.flatnonzero(spans[:, 1])
+        if len(listed):
+            starts, sizes = spans[listed].T
+            entries = self.lists.view(np.int64).take(ranges(starts, sizes)).view(ENTRY)
+            values = entries["value"] * np.repeat(weights[listed].astype(np.float32), sizes)
+            scores += np.bincount(entries["example"], values, self.size)
         if len(without):
             scores[without] = 0
         least = np.partition(scores, -k)[-k] * np.float32(1 - SLACK) if self.size > k else np.float32(0)

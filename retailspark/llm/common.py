@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,6 +29,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def give_back() -> None:
+    """What a task has freed goes back to the system; its worker lives on and other workers need the memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone keeps freed memory and has this
+    if trim:
+        trim(0)
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[list[tuple]], Iterator[tuple]]], schema: str, rows: int = 512
 ) -> DataFrame:
@@ -49,6 +58,8 @@ def map_rows(
                 if out:
                     columns = [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)]
                     yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        del step
+        give_back()
 
     return df.mapInArrow(portable(run), schema)
 
@@ -76,5 +87,7 @@ def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable
                 out = step(list(zip(*(part.column(i).to_pylist() for i in places))))
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *arrow.names])
+        del step
+        give_back()
 
     return df.mapInArrow(portable(run), StructType([*df.schema.fields, *new.fields]))

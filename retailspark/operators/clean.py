@@ -47,6 +47,24 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+_READ = "_read_"
+
+
+def read_once(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """``df`` with the values as further columns, each computed once a row; ``read`` names them.
+
+    A filter on plain computed columns is moved in front of their projection and computes them there again, at each
+    mention, in one method that soon is too long for the JVM to compile. Past a generator no filter moves.
+    """
+    if not values:
+        return df
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(_READ + name) for name, c in values.items()]))))
+
+
+def read(name: str) -> Column:
+    return F.col(_READ + name)
+
+
 def drop_null_keys(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(subset=columns)
 
@@ -87,12 +105,13 @@ def safe_numeric(
     integers, decimals = list(integers), list(decimals)
     parsed = {c: numbers.whole(F.col(c), _type(df, c)) for c in integers}
     parsed |= {c: numbers.number(F.col(c), _type(df, c)) for c in decimals}
-    reason = first_reason((f"invalid {c}", value.isNull()) for c, value in parsed.items())
-    kept = df
-    for value in parsed.values():
-        kept = kept.filter(value.isNotNull())
-    dropped = df.withColumn(REASON, reason).filter(F.col(REASON).isNotNull())
-    return Split(kept.withColumns(parsed), dropped)
+    reason = first_reason((f"invalid {c}", read(c).isNull()) for c in parsed)
+    rows = kept = read_once(df, parsed)
+    for c in parsed:
+        kept = kept.filter(read(c).isNotNull())
+    kept = kept.select(*[read(c).alias(c) if c in parsed else F.col(f"`{c}`") for c in df.columns])
+    dropped = rows.select(*[F.col(f"`{c}`") for c in df.columns], reason.alias(REASON))
+    return Split(kept, dropped.filter(F.col(REASON).isNotNull()))
 
 
 def drop_non_finite(df: DataFrame, columns: Iterable[str]) -> DataFrame:

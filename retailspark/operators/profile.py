@@ -83,6 +83,7 @@ class _Source:
     names: list[str]
     types: list[str]
     numeric: set[int] = field(default_factory=set)
+    whole: set[int] = field(default_factory=set)
 
     @classmethod
     def rows(cls, df: DataFrame) -> _Source:
@@ -104,6 +105,11 @@ class _Source:
         self.numeric.add(i)
         return f"n{i}"
 
+    def integer(self, i: int) -> str:
+        """Name of the BIGINT reading of text column ``i``."""
+        self.whole.add(i)
+        return f"i{i}"
+
     def find(self, name: str) -> int | None:
         """Position of the column with this standardised name."""
         for i, raw in enumerate(self.names):
@@ -113,9 +119,10 @@ class _Source:
 
     def aggregate(self, aggregates: Mapping[str, str]) -> DataFrame:
         """One row with a count under each name: of rows that meet a condition, of all rows, or of ``EXTRA`` copies."""
-        readings = {
-            f"n{i}": numbers.number(F.col(f"c{i}"), self.types[i]) for i in sorted(self.numeric)
-        }
+        readings = {f"i{i}": numbers.integer(F.col(f"c{i}")) for i in sorted(self.whole)}
+        for i in sorted(self.numeric):
+            number = numbers.number(F.col(f"c{i}"), self.types[i])
+            readings[f"n{i}"] = F.coalesce(readings[f"i{i}"].cast("double"), number) if i in self.whole else number
         df = self.df.withColumns(readings) if readings else self.df
         if EXTRA not in aggregates.values():
             counted = {TOTAL: "count(1)"}
@@ -256,7 +263,7 @@ def _types_check(s: _Source, strict: bool = False, nullable_int_is_drift: bool =
         wants_number = any(kind in ("int", "float") for kind, _ in rules)
         if s.types[i] == "string" and wants_number:
             check.aggregates[f"no_int_{i}"] = s.count(
-                f"c{i} is not null and try_cast(c{i} as bigint) is null"
+                f"c{i} is not null and {s.integer(i)} is null"
             )
             check.aggregates[f"no_num_{i}"] = s.count(
                 f"c{i} is not null and {s.number(i)} is null"

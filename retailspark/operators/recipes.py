@@ -92,28 +92,33 @@ RECIPES: dict[str, Recipe] = {
 
 @dataclass(frozen=True)
 class Staged:
-    """Distinct raw rows, the rules a row must meet, and the finished columns.
+    """Distinct raw rows, the numbers read from them, the rules a row must meet, and the finished columns.
 
-    Cleaning filters on the rules one by one rather than on the reason they add up
-    to, which leaves each value parsed once in the filter and once in the result.
+    Rules and columns refer to the numbers by ``steps.read``, so each value is parsed once.
     """
 
     rows: DataFrame
+    numbers: dict[str, Column]
     rules: list[tuple[str, Column]]
     columns: dict[str, Column]
     source: DataFrame
 
     @property
     def clean(self) -> DataFrame:
-        kept = self.rows
+        kept = steps.read_once(self.rows, self.numbers)
         for _, accepted in self.rules:
             kept = kept.filter(accepted)
-        return kept.select(*[c.alias(name) for name, c in self.columns.items()])
+        return self._finished(kept)
+
+    def _finished(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*[c.alias(name) for name, c in self.columns.items()])
 
     @property
     def tagged(self) -> DataFrame:
         broken = [(name, ~F.coalesce(ok, F.lit(False))) for name, ok in self.rules]
-        return self.rows.withColumn(REASON, steps.first_reason(broken))
+        return steps.read_once(self.rows, self.numbers).select(
+            *[F.col(f"`{c}`") for c in self.rows.columns], steps.first_reason(broken).alias(REASON)
+        )
 
     @property
     def quarantine(self) -> DataFrame:
@@ -125,7 +130,8 @@ class Staged:
         kept = F.lit(True)
         for _, accepted in self.rules:
             kept = kept & F.coalesce(accepted, F.lit(False))
-        kinds = self.source.select(digest(self.source).alias("digest"), kept.cast("bigint").alias("kept")).groupBy(
+        rows = steps.read_once(self.source, self.numbers)
+        kinds = rows.select(digest(self.source).alias("digest"), kept.cast("bigint").alias("kept")).groupBy(
             "digest"
         ).agg(F.count("*").alias("copies"), F.min("kept").alias("kept"))
         return kinds.agg(
@@ -142,9 +148,7 @@ class Staged:
         tagged.write.mode("overwrite").partitionBy("rejected").parquet(path)
         back = self.rows.sparkSession.read.schema(tagged.schema).parquet(path)
         return Split(
-            back.filter(~F.col("rejected")).select(
-                *[c.alias(name) for name, c in self.columns.items()]
-            ),
+            self._finished(steps.read_once(back.filter(~F.col("rejected")), self.numbers)),
             back.filter("rejected").drop("rejected"),
         )
 
@@ -191,22 +195,22 @@ def stage_table(
         lenient = keep(recipe.strict_integers + recipe.strict_decimals) + lenient
 
     rules = [(f"missing {c}", F.col(c).isNotNull()) for c in keep(recipe.required)]
-    rules += [(f"invalid {c}", parsed[c].isNotNull()) for c in lenient]
+    rules += [(f"invalid {c}", steps.read(c).isNotNull()) for c in lenient]
     # A value out of range is dropped, and so is a NULL one; bad text in a strict
     # column passes, for the projection to fail the job on it.
     for c in keep(recipe.at_least):
-        in_range = parsed[c] >= recipe.at_least[c]
+        in_range = steps.read(c) >= recipe.at_least[c]
         if c not in lenient:
-            in_range = in_range | (parsed[c].isNull() & value(c).isNotNull())
+            in_range = in_range | (steps.read(c).isNull() & value(c).isNotNull())
         rules.append((f"{c} out of range", in_range))
-    rules += [(f"{c} out of range", parsed[c] > recipe.above[c]) for c in keep(recipe.above)]
+    rules += [(f"{c} out of range", steps.read(c) > recipe.above[c]) for c in keep(recipe.above)]
 
     columns: dict[str, Column] = {}
     for c in df.columns:
         if c in parsed:
-            columns[c] = parsed[c]
+            columns[c] = steps.read(c)
             if on_bad == "raise" and c in recipe.strict_integers + recipe.strict_decimals:
-                columns[c] = numbers.required(parsed[c], value(c), f"{name}.{c}")
+                columns[c] = numbers.required(steps.read(c), value(c), f"{name}.{c}")
         elif c in recipe.timestamps:
             columns[c] = steps.repaired(df, c, year_mode, latest_year, date_formats)
         elif c == "phone" and recipe.phone:
@@ -219,7 +223,7 @@ def stage_table(
     if recipe.full_name and {"first_name", "last_name"} <= present and "full_name" not in present:
         columns["full_name"] = F.concat(value("first_name"), F.lit(" "), value("last_name"))
 
-    return Staged(steps.drop_duplicates(df), rules, columns, df)
+    return Staged(steps.drop_duplicates(df), parsed, rules, columns, df)
 
 
 def clean_table(name: str, df: DataFrame, **options) -> Split:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from retailspark.functions import dates, numbers, text
 from retailspark.operators import clean, recipes
-from tests.conftest import values
+from tests.conftest import plan_of, values
 
 
 def column(df, expression):
@@ -56,6 +56,32 @@ def test_numbers_from_text(text_table, given, number, whole):
     assert column(df, numbers.whole(F.col("v"))) == [whole]
 
 
+@pytest.mark.parametrize(
+    "given, number, whole",
+    [
+        ("+5", 5.0, 5), ("5.", 5.0, 5), (".5", 0.5, 0), ("\t5\n", 5.0, 5), ("\x7f5", None, 5), ("5e", None, None),
+        ("--5", None, None), ("5\u0085", None, None), ("99999999999999999999", 1e20, None), ("abc", None, None),
+    ],
+)
+def test_odd_numbers_from_text(text_table, given, number, whole):
+    df = text_table("v", [(given,)])
+    assert column(df, numbers.number(F.col("v"))) == [number]
+    assert column(df, numbers.whole(F.col("v"))) == [whole]
+
+
+def test_each_value_is_computed_once(text_table):
+    columns = ["store_id", "product_id", "quantity"]
+    texts = text_table("a b c", [("1", "2", "3"), ("4", "x", "5")])
+    view = texts.select(*[F.concat(F.col(c), F.lit("0")).alias(n) for c, n in zip("abc", columns)])
+    split = clean.safe_numeric(view, columns)
+    assert values(split.clean) == [(10, 20, 30)]
+    assert [tuple(r) for r in split.quarantine.collect()] == [("40", "x0", "50", "invalid product_id")]
+    assert plan_of(split.clean, "optimized").count("concat(") == 3
+    staged = recipes.stage_table("stocks", view, on_bad="quarantine")
+    assert values(staged.clean) == [(10, 20, 30)]
+    assert plan_of(staged.clean, "optimized").count("concat(") == 5  # two more look for missing keys before the copies go
+
+
 def test_numbers_from_doubles(spark):
     df = spark.createDataFrame([(1.9,), (float("nan"),), (float("inf"),), (None,)], "v double")
     assert column(df, numbers.whole(F.col("v"), "double")) == [1, None, None, None]

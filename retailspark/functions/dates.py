@@ -16,6 +16,8 @@ WEEKDAYS = "(?:mon|tue(?:s)?|wed(?:nes)?|thu(?:r|rs)?|fri|sat(?:ur)?|sun)(?:day)
 _SEP = r"[ ,./-]*"
 
 
+# What the readings below leave as it is: by far the most common form, which need not go through them.
+ISO = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?)?\z"
 HALF_DAY = r"(?i)^(.*[ ,])([0-9]{1,2})((?::[0-9]{2}){0,2}(?:\.[0-9]{1,9})?) *([ap])\.?m\.?$"
 
 
@@ -31,15 +33,20 @@ def _with_names(text: Column) -> Column:
     first, or no day, which is the first of the month then. Any other text stays as it is."""
     t = F.regexp_replace(text, rf"^{WEEKDAYS}\.?,? +", "")
     t = F.regexp_replace(t, r"(?<=[0-9])(?:st|nd|rd|th)\b", "")
+    # One match finds every month; its first three letters become figures without another.
+    months = "|".join(f"({name[:3]}){name[3:]}" for name in MONTHS)
+    t = F.regexp_replace(t, rf"(?<![a-z])(?:{months})(?![a-z])\.?", f"#{''.join(f'${i}' for i in range(1, 13))}#")
     for number, name in enumerate(MONTHS, 1):
-        t = F.regexp_replace(t, rf"(?<![a-z]){name}(?![a-z])\.?", f"#{number:02d}#")
-    end = "(?=$|[ ,])"
+        t = F.replace(t, F.lit(f"#{name[:3]}#"), F.lit(f"#{number:02d}#"))
+    # Three orders with a day, two without; at most one of each line fits, and groups that do not are empty.
+    end, month, year = "(?=$|[ ,])", "#([0-9]{2})#", "([0-9]{4}|[0-9]{2})"
     for pattern, figures in (
-        (rf"^([0-9]{{1,2}}){_SEP}#([0-9]{{2}})#{_SEP}([0-9]{{4}}|[0-9]{{2}}){end}", "$3-$2-$1"),
-        (rf"^#([0-9]{{2}})#{_SEP}([0-9]{{4}}){end}", "$2-$1-01"),
-        (rf"^#([0-9]{{2}})#{_SEP}([0-9]{{1,2}})[ ,./-]+([0-9]{{4}}|[0-9]{{2}}){end}", "$3-$1-$2"),
-        (rf"^([0-9]{{4}}){_SEP}#([0-9]{{2}})#{_SEP}([0-9]{{1,2}}){end}", "$1-$2-$3"),
-        (rf"^([0-9]{{4}}){_SEP}#([0-9]{{2}})#{end}", "$1-$2-01"),
+        (
+            rf"^(?:([0-9]{{1,2}}){_SEP}{month}{_SEP}{year}|{month}{_SEP}([0-9]{{1,2}})[ ,./-]+{year}"
+            rf"|([0-9]{{4}}){_SEP}{month}{_SEP}([0-9]{{1,2}})){end}",
+            "$3$6$7-$2$4$8-$1$5$9",
+        ),
+        (rf"^(?:{month}{_SEP}([0-9]{{4}})|([0-9]{{4}}){_SEP}{month}){end}", "$2$3-$1$4-01"),
     ):
         t = F.regexp_replace(t, pattern, figures)
     return t
@@ -48,12 +55,18 @@ def _with_names(text: Column) -> Column:
 def _in_figures(text: Column) -> Column:
     """Year first, of a text of figures."""
     for pattern, figures in (
-        (r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})(?![0-9])", "$1-$2-$3"),
-        (r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[ T])", "$1-$2-$3"),
+        (
+            r"^([0-9]{4})(?:[/.]([0-9]{1,2})[/.]([0-9]{1,2})(?![0-9])|([0-9]{2})([0-9]{2})(?=$|[ T]))",
+            "$1-$2$4-$3$5",
+        ),
         (r"^([0-9-]+[ T])([0-9]{2})([0-9]{2})([0-9]{2})$", "$1$2:$3:$4"),
         (r"^([0-9-]+[ T])([0-9]{2})([0-9]{2})$", "$1$2:$3"),
-        (r"^(1[3-9]|2[0-9]|3[01])[/.-]([0-9]{1,2})[/.-]([0-9]{4}|[0-9]{2})(?=$|[ T,])", "$3-$2-$1"),
-        (r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4}|[0-9]{2})(?=$|[ T,])", "$3-$1-$2"),
+        # Day first if the first number can be no month; in one match, or the day would be taken for a year of two digits.
+        (
+            r"^(?:(1[3-9]|2[0-9]|3[01])[/.-]([0-9]{1,2})|([0-9]{1,2})[/.-]([0-9]{1,2}))[/.-]([0-9]{4}|[0-9]{2})"
+            r"(?=$|[ T,])",
+            "$5-$2$3-$1$4",
+        ),
     ):
         text = F.regexp_replace(text, pattern, figures)
     return text
@@ -81,7 +94,8 @@ def parse_timestamp(c: Column, dtype: str = "string", formats: tuple[str, ...] =
     ):
         plain = F.regexp_replace(plain, pattern, figures)
     attempts = [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    attempts.append(F.regexp_extract(plain, "^[0-9]{4}-[0-9].*$", 0).try_cast("timestamp_ntz"))
+    plain = F.regexp_extract(plain, "^[0-9]{4}-[0-9].*$", 0)
+    attempts.append(F.when(raw.rlike(ISO), raw).otherwise(plain).try_cast("timestamp_ntz"))
     return F.coalesce(*attempts) if formats else attempts[0]
 
 

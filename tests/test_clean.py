@@ -69,6 +69,13 @@ def test_odd_numbers_from_text(text_table, given, number, whole):
     assert column(df, numbers.whole(F.col("v"))) == [whole]
 
 
+def test_day_first_with_a_short_year_is_not_turned_twice(text_table):
+    given = ["25/12/16", "25/12/2016", "12/25/16", "2016-1-5", "2016-01-05T10:20", "5 #jan# 2016"]
+    got = column(text_table("v", [(v,) for v in given]), dates.parse_timestamp(F.col("v")))
+    christmas = dt.datetime(2016, 12, 25)
+    assert got == [christmas, christmas, christmas, dt.datetime(2016, 1, 5), dt.datetime(2016, 1, 5, 10, 20), None]
+
+
 def test_each_value_is_computed_once(text_table):
     columns = ["store_id", "product_id", "quantity"]
     texts = text_table("a b c", [("1", "2", "3"), ("4", "x", "5")])

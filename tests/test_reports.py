@@ -173,3 +173,11 @@ def test_line_grain_reports_do_not_join_the_lines(sales):
 def test_facts_meet_dimensions_only_after_aggregation(sales):
     plan = plan_of(reports.top_products(sales), "optimized")
     assert plan.index("Join ") < plan.index("Aggregate [")
+
+
+def test_full_inventory_makes_products_distinct_without_a_table_of_them(shop):
+    again = {**shop, "stocks": shop["stocks"].unionAll(shop["stocks"])}
+    once, twice = ({r.store_id: r for r in reports.store_inventory_full(t).collect()} for t in (shop, again))
+    assert {s: r.unique_products_stocked for s, r in once.items()} == {s: r.unique_products_stocked for s, r in twice.items()}
+    assert all(twice[s].total_inventory_units == 2 * r.total_inventory_units for s, r in once.items())
+    assert "distinct" not in plan_of(reports.store_inventory_full(shop), "optimized").lower()

@@ -181,3 +181,15 @@ def test_cleaned_tables_must_all_exist(spark, tmp_path):
     load.write_cleaned({"a": brands(spark, (1, "A"))}, str(tmp_path))
     with pytest.raises(FileNotFoundError, match="b, c"):
         files.load_cleaned(spark, str(tmp_path), ["a", "b", "c"])
+
+
+def test_report_run_sums_the_lines_for_all_reports_once(spark, monkeypatch):
+    from retailspark.plans import load_queries
+    from tests.conftest import SMALL, plan_of
+
+    seen = {}
+    monkeypatch.setattr(load_queries.load, "write_reports", lambda builders, *_: seen.update(builders) or spark.createDataFrame(
+        [("r", 0, False)], "report string, row_count bigint, written boolean"))
+    load_queries.reports_nonempty(spark, SMALL)
+    for name in ("revenue_by_store", "customer_spending", "store_inventory", "order_status_dist"):
+        assert "l_extendedprice" not in plan_of(seen[name](), "optimized") and "l_quantity" not in plan_of(seen[name](), "optimized")

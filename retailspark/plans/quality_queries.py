@@ -200,8 +200,13 @@ def gated_cleaning(spark, folder):
     # One row per table reaches the driver.
     flags = profile.table_gates(profile.profile(named)).collect()
     needed = {row.table_name: row.needs_cleaning for row in flags}
-    cleaned = recipes.clean_all(named, needed)
-    counts = profile.shapes({n: split.clean for n, split in cleaned.items()})
+    # Rows that stay are counted by digest, without moving the rows.
+    kept = [
+        recipes.stage_table(n, df).delta(n).select("table_name", F.col("rows_after").alias("row_count"))
+        if needed.get(n, True) else profile.shapes({n: df}).select("table_name", "row_count")
+        for n, df in named.items()
+    ]
+    counts = union_all(kept)
     chosen = F.lit(False)
     for name, flag in needed.items():
         chosen = F.when(F.col("table_name") == name, flag).otherwise(chosen)

@@ -172,8 +172,9 @@ def digest(df: DataFrame) -> Column:
         elif dtype == "timestamp_ntz":
             text = c.cast("string")
         else:
-            text = F.to_json(F.struct(c.alias("v")))
-        parts.append(F.when(c.isNull(), "-").otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)))
+            text = F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v"))))
+        # "length:text", or "-:" for NULL, all joined in one go.
+        parts += [F.coalesce(F.octet_length(text).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit(""))]
     return F.unhex(F.left(F.sha2(F.concat(*parts), 256), F.lit(32)))
 
 

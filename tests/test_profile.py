@@ -265,3 +265,11 @@ def test_quartiles_of_a_wide_bracket_are_ranked_in_parts(spark, monkeypatch):
     for row in profile.describe(df, "t", ["x", "few", "none"]).collect():
         want = df.agg(F.expr(f"percentile({row.column_name}, array(0.25, 0.5, 0.75))").alias("p")).first().p
         assert [row.q25, row.q50, row.q75] == (want or [None] * 3)
+
+
+def test_digest_joins_a_row_in_one_go_and_tells_rows_apart(text_table):
+    rows = [(None, None), ("", None), (None, ""), ("-", None), ("-:", ""), ("1:a", "b"), ("1", ":ab"), ("a", "1:b"), ("a1:b", "")]
+    df = text_table("a b", rows + rows)
+    digests = df.select(profile.digest(df).alias("d"))
+    assert plan_of(digests, "optimized").count("concat(") == 1
+    assert digests.distinct().count() == len(rows)

@@ -45,6 +45,17 @@ def test_memories_give_the_librarys_ids(texts, kind, name):
     assert got == [memory.pack(x) for x in ids_of(name, texts)]
 
 
+@pytest.mark.parametrize("kind, name", [(pieces.ByteBpe, "byte_bpe_50k.json"), (pieces.WordBpe, "word_bpe_49k.json")])
+def test_a_large_vocabulary_is_encoded_once(kind, name, monkeypatch):
+    memory, encoded = kind(pieces.path(name)), []
+    monkeypatch.setattr(memory, "_pieces", lambda wanted: [encoded.append(p) or p.encode() for p in wanted])
+    texts = [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(0, 600_000, 1000)]
+    for _ in range(2):
+        for text in texts:
+            assert memory.encode([text])[0].endswith(text[text.index(" ") :].replace(" ", "").encode())
+    assert len(encoded) == len(set(encoded)) == 599_400  # the first word of a text follows no space
+
+
 def test_sentence_pieces_give_the_librarys_ids(texts):
     memory = separators.SentencePieces(pieces.path("piece_bpe_32k.model"))
     assert memory.encode(texts) == [memory.pack(x) for x in memory.model.encode(texts)]

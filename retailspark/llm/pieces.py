@@ -17,6 +17,7 @@ import numpy as np
 _ODD = re.compile(r"[\x00\x02\x09\x0b-\x0d\x1c-\x1f\x85\xa0  -     　]")
 # Letters of which the tokenizer keeps as many when it lowers them, and a sign.
 _SIMPLE = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
+_SIGNS = ".,;:!?"
 _LONG = 64  # longer pieces are encoded each time and not remembered
 
 
@@ -145,6 +146,7 @@ class WordBpe(TokenizerMemory):
         self.signs = np.zeros(max(self.vocabulary.values()) + 1, bool)
         self.signs[sign] = True
         self.ends = self.marks(lambda token: token.endswith("</w>"))
+        self.after = dict(zip(_SIGNS, self._whole(list(_SIGNS))))
 
     def _pieces(self, pieces):
         simple, others = [], []
@@ -155,15 +157,24 @@ class WordBpe(TokenizerMemory):
         return [known[p] for p in pieces]
 
     def _simple(self, pieces: list[str]) -> list[bytes]:
+        """Ids of the word in lower case, encoded once whatever case, sign or line feed comes with it, and of the sign."""
+        words = [(p[:-1] if p[-1] in _SIGNS else p).lstrip("\n").lower() for p in pieces]
+        known = {w: self.known.get(w) or self.older.get(w) for w in set(words)}
+        wanted = [w for w, ids in known.items() if ids is None]
+        fresh = dict(zip(wanted, self._words(wanted)))
+        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= _LONG)
+        known.update(fresh)
+        return [known[w] + self.after.get(p[-1], b"") for w, p in zip(words, pieces)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
         found, size = [], self.dtype.itemsize
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at : at + 4096]
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
             ids = np.asarray(self._ids([" ".join(part)])[0], self.dtype)
-            words = np.cumsum([1 if p[-1].isalpha() else 2 for p in part])
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != words[-1]:
+            if len(ends) != len(part):
                 raise ValueError("the tokenizer cuts pieces into more or fewer words than were expected")
-            raw, edges = ids.tobytes(), [0, *(ends[words - 1] * size).tolist()]
+            raw, edges = ids.tobytes(), [0, *(ends * size).tolist()]
             found += [raw[i:j] for i, j in zip(edges, edges[1:])]
         return found
 

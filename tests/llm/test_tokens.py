@@ -56,6 +56,15 @@ def test_a_large_vocabulary_is_encoded_once(kind, name, monkeypatch):
     assert len(encoded) == len(set(encoded)) == 599_400  # the first word of a text follows no space
 
 
+def test_a_word_is_encoded_once_in_any_case_and_with_any_sign(monkeypatch):
+    memory = pieces.WordBpe(pieces.path("word_bpe_49k.json"))
+    text = "x Überall überall, ÜBERALL! mot Mot. mot?\nMot: mOt;\nüberall"
+    whole, encoded, ids = memory._whole([text]), [], memory._ids
+    monkeypatch.setattr(memory, "_ids", lambda texts: encoded.extend(w for t in texts for w in t.split()) or ids(texts))
+    assert memory.encode([text]) == whole == memory.encode([text])
+    assert sorted(w for w in encoded if w != "x") == ["mot", "überall"]
+
+
 def test_sentence_pieces_give_the_librarys_ids(texts):
     memory = separators.SentencePieces(pieces.path("piece_bpe_32k.model"))
     assert memory.encode(texts) == [memory.pack(x) for x in memory.model.encode(texts)]

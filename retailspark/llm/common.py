@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +37,31 @@ def give_back() -> None:
         trim(0)
 
 
+_kept: dict = {}  # what this worker process keeps from task to task, by its key
+_asked: set = set()  # the keys that the task at work has asked for
+
+
+def kept(key, build: Callable):
+    """``build()``, made once in a worker process and kept for as long as its tasks ask for it when they begin."""
+    _asked.add(key)
+    if key not in _kept:
+        _kept[key] = build()
+    return _kept[key]
+
+
+def begun(make: Callable):
+    """``make()`` for a task that begins. What earlier tasks have kept and this one does not ask for is let go: the worker
+    outlives its stage, and later stages need the memory."""
+    _asked.clear()
+    step = make()
+    left = [key for key in _kept if key not in _asked]
+    for key in left:
+        del _kept[key]
+    if left:
+        give_back()
+    return step
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[list[tuple]], Iterator[tuple]]], schema: str, rows: int = 512
 ) -> DataFrame:
@@ -50,7 +75,7 @@ def map_rows(
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        step = make()
+        step = begun(make)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
@@ -70,24 +95,28 @@ def join_checked(left: DataFrame, right: DataFrame, on: list[str], most_rows: in
     return left.join(F.broadcast(right) if right.count() <= most_rows else right, on)
 
 
-def append_columns(df: DataFrame, inputs: list[str], make: Callable[[], Callable[[list[tuple]], list[tuple]]], schema: str) -> DataFrame:
+def append_columns(
+    df: DataFrame, inputs: list[str], make: Callable[[], Callable[[list[tuple]], list[tuple]]], schema: str, without: Collection[str] = ()
+) -> DataFrame:
     """``df`` with the columns of ``schema`` behind its own: ``make()``'s function gets rows of the ``inputs`` columns and
-    gives one tuple for each."""
+    gives one tuple for each. Columns ``without`` go no further than the tasks."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
 
     new = _parse_datatype_string(schema)
     arrow, places = to_arrow_schema(new), [df.columns.index(c) for c in inputs]
+    left = [i for i, c in enumerate(df.columns) if c not in without]
+    names = [*(df.columns[i] for i in left), *arrow.names]
 
     def run(batches):
-        step = make()
+        step = begun(make)
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 out = step(list(zip(*(part.column(i).to_pylist() for i in places))))
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *arrow.names])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in left), *columns], names=names)
         del step
         give_back()
 
-    return df.mapInArrow(portable(run), StructType([*df.schema.fields, *new.fields]))
+    return df.mapInArrow(portable(run), StructType([*(df.schema.fields[i] for i in left), *new.fields]))

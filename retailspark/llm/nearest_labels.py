@@ -135,24 +135,38 @@ class Index:
         return index
 
     def fill(self, edges, terms, weights, n_terms) -> None:
-        self.size, self.edges, self.terms, self.weights = len(edges) - 1, edges, terms.astype(np.int32), weights
-        examples = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(edges))
+        """By ``PART`` examples at a time, so that little is held beside the result."""
+        self.size, self.edges, self.weights = len(edges) - 1, edges, weights
+        self.terms = terms.astype(np.int32, copy=False)
         seen = np.bincount(self.terms, minlength=n_terms)
         frequent = np.argsort(-seen, kind="stable")[:DENSE]
         frequent = frequent[seen[frequent] >= max(1.0, DENSE_SHARE * self.size)]
         self.column = np.full(n_terms, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent))
-        columns = self.column[self.terms]
-        dense = columns >= 0
         self.matrix = np.zeros((len(frequent), self.size), np.float32)
-        self.matrix[columns[dense], examples[dense]] = weights[dense]
-        rest = np.flatnonzero(~dense).astype(np.int32)
-        del columns, dense
-        rest = rest[np.argsort(self.terms[rest], kind="stable")]
-        self.lists = np.empty(len(rest), ENTRY)
-        self.lists["example"], self.lists["value"] = examples[rest], weights[rest]
         sizes = np.where(self.column < 0, seen, 0)
-        self.spans = np.stack([np.cumsum(sizes) - sizes, sizes], 1)  # of each term: where its list starts, its length
+        ends = np.cumsum(sizes)
+        self.spans = np.stack([ends - sizes, sizes], 1)  # of each term: where its list starts, its length
+        self.lists = np.empty(int(sizes.sum()), ENTRY)
+        free = self.spans[:, 0].copy()  # of each term: the next place in its list
+        del seen, sizes, ends
+        for first in range(0, self.size, PART):
+            part = edges[first : min(first + PART, self.size) + 1]
+            examples = np.repeat(np.arange(first, first + len(part) - 1, dtype=np.int32), np.diff(part))
+            found, values = self.terms[part[0] : part[-1]], weights[part[0] : part[-1]]
+            columns = self.column[found]
+            dense = columns >= 0
+            self.matrix[columns[dense], examples[dense]] = values[dense]
+            rest = np.flatnonzero(~dense)
+            rest = rest[np.argsort(found[rest], kind="stable")]
+            if not len(rest):
+                continue
+            found = found[rest]
+            heads = np.flatnonzero(np.diff(found, prepend=-1))
+            number = np.diff(heads, append=len(found))
+            place = ranges(free[found[heads]], number)
+            self.lists["example"][place], self.lists["value"][place] = examples[rest], values[rest]
+            free[found[heads]] += number
         self.scratch = np.zeros(n_terms)
 
     def nearest(self, query: dict[int, float], k: int, without=()) -> list[tuple[float, int]]:
@@ -248,6 +262,7 @@ class Model:
             found = (1 + np.log(counts[part])) * weight[numbers[part]]
             rows = np.repeat(np.arange(last - first), np.diff(edges[first : last + 1]))
             weights[part] = found / np.sqrt(np.bincount(rows, found * found, last - first))[rows]
+        del counts
         return weight, Index.of(edges, numbers, weights, len(weight))
 
     @property
@@ -434,7 +449,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return step
 
     schema = "toxic_score double, toxic_evidence array<struct<doc_id: long, cosine: double, label: int>>"
-    return append_columns(held, names, make, schema).drop(*names)
+    return append_columns(held, names, make, schema, without=names)
 
 
 def keep(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:

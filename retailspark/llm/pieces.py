@@ -13,6 +13,8 @@ import re
 
 import numpy as np
 
+from retailspark.llm.common import kept
+
 # White space, by any definition, that may join with its neighbours, and the sign put between pieces.
 _ODD = re.compile(r"[\x00\x02\x09\x0b-\x0d\x1c-\x1f\x85\xa0  -     　]")
 # Letters of which the tokenizer keeps as many when it lowers them, and a sign.
@@ -179,11 +181,6 @@ class WordBpe(TokenizerMemory):
         return found
 
 
-_held: dict[tuple, Memory] = {}
-
-
 def held(kind: type[Memory], file: str) -> Memory:
-    """A worker process keeps its memory from task to task."""
-    if (kind, file) not in _held:
-        _held[kind, file] = kind(file)
-    return _held[kind, file]
+    """A worker process keeps its memory from task to task, until one comes that does not ask for it."""
+    return kept((kind, file), lambda: kind(file))

@@ -30,6 +30,7 @@ END = 1
 LONGEST = 20
 BLOCK = 256
 SEGMENT = 1 << 18
+SIZE_BITS = 5  # enough for LONGEST
 
 TOKENS = "task int, place long, doc_id long, size long, ids binary"
 SEGMENTS = (
@@ -79,15 +80,18 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 def encode_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The ids' bits, first bit highest, and the bit offset of each block."""
-    size = lengths[ids]
-    ends = np.cumsum(size)
+    size = lengths.astype(np.uint8).take(ids)
+    ends = np.cumsum(size, dtype=np.int64)
     at = ends - size
-    shifted = codes[ids] << (64 - (at & 31) - size).astype(np.uint64)
+    # Codes start at the highest bit; moved to their places, those that start in one word are joined.
+    moved = (codes << (64 - np.maximum(lengths, 1)).astype(np.uint64)).take(ids)
+    moved >>= (at & 31).astype(np.uint64)
     word = at >> 5
-    heads = np.flatnonzero(np.diff(word, prepend=-1))
+    heads = np.append(0, np.flatnonzero(word[1:] != word[:-1]) + 1)
+    joined, place = np.bitwise_or.reduceat(moved, heads), word[heads]
     words = np.zeros(int(ends[-1] + 63 >> 5) + 1, np.uint64)
-    words[word[heads]] |= np.bitwise_or.reduceat(shifted >> np.uint64(32), heads)
-    words[word[heads] + 1] |= np.bitwise_or.reduceat(shifted & np.uint64(0xFFFFFFFF), heads)
+    words[place] |= joined >> np.uint64(32)
+    words[place + 1] |= joined & np.uint64(0xFFFFFFFF)
     return words.astype(">u4").tobytes()[: int(ends[-1] + 7 >> 3)], at[::BLOCK]
 
 
@@ -100,20 +104,25 @@ class Decoder:
         used = used[np.lexsort((used, lengths[used]))]
         spread = 1 << (longest - lengths[used])
         rest = (1 << longest) - int(spread.sum())  # a code of one id fills half of the table
-        self.ids = np.append(np.repeat(used, spread), np.zeros(rest)).astype(np.uint32)
-        self.sizes = np.append(np.repeat(lengths[used], spread), np.ones(rest)).astype(np.int64)
+        # One look-up finds both: the id above ``SIZE_BITS`` bits for the code's length.
+        entries = np.append(used.astype(np.int64) << SIZE_BITS | lengths[used], 1).astype(np.uint32)
+        self.entries = np.repeat(entries, np.append(spread, rest))
 
     def decode(self, bits: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         raw = np.frombuffer(bits + bytes(8), np.uint8).astype(np.uint32)
         words = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
         at, most = checkpoints.astype(np.int64), (len(words) - 1) * 8
-        out = np.empty((len(at), BLOCK), np.uint32)
-        mask, room = (1 << self.longest) - 1, 32 - self.longest
-        for k in range(min(BLOCK, n)):
-            code = (words[at >> 3] >> (room - (at & 7)).astype(np.uint32)) & mask
-            out[:, k] = self.ids[code]
-            at = np.minimum(at + self.sizes[code], most)  # the last block may be shorter than the others
-        return out.reshape(-1)[:n]
+        found = np.empty((min(BLOCK, n), len(at)), np.uint32)
+        mask, room, size = np.uint32((1 << self.longest) - 1), 32 - self.longest, np.uint32((1 << SIZE_BITS) - 1)
+        for row in found:
+            code = words.take(at >> 3)
+            code >>= (room - (at & 7)).astype(np.uint32)
+            code &= mask
+            self.entries.take(code, out=row, mode="clip")
+            at += row & size
+            np.minimum(at, most, out=at)  # the last block may be shorter than the others
+        found >>= np.uint32(SIZE_BITS)
+        return found.T.reshape(-1)[:n]
 
 
 def tokens_in_order(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:

@@ -8,6 +8,7 @@ time, as one text, and marks among the ids part them again.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 
@@ -17,9 +18,11 @@ from retailspark.llm.common import kept
 
 # White space, by any definition, that may join with its neighbours, and the sign put between pieces.
 _ODD = re.compile(r"[\x00\x02\x09\x0b-\x0d\x1c-\x1f\x85\xa0  -     　]")
-# Letters of which the tokenizer keeps as many when it lowers them, and a sign.
-_SIMPLE = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
-_SIGNS = ".,;:!?"
+# Letters of which the tokenizer keeps as many when it lowers them, and any signs behind them.
+_SIMPLE = re.compile(r"\n?([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_LOWERED = re.compile("[a-zß-öø-ÿ ]+")
+_SIGNS = ".,;:!?"  # the most common ones; one alone behind a letter is a word of its own
+_SIGN = re.compile(r"[.,;:!?](?<=[a-zß-öø-ÿ].)(?=[ \n]|\Z)")
 _LONG = 64  # longer pieces are encoded each time and not remembered
 
 
@@ -39,6 +42,25 @@ def cut(text: str) -> list[str] | None:
     return text.replace("\n", " \n").split(" ")
 
 
+def lowered(text: str) -> str:
+    """The text in lower case, with spaces between words and signs, if all of it is Latin-1: there this takes letter for
+    letter, as the tokenizer does, and nothing is composed. A text that may have a special token is left as it is: these
+    are told by their case."""
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return _SIGN.sub(r" \g<0>", text.lower())
+    return text
+
+
+def remember(known: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+    if fresh and max(map(len, fresh)) > _LONG:
+        fresh = {p: ids for p, ids in fresh.items() if len(p) <= _LONG}
+    known.update(fresh)
+
+
 class Memory:
     """Ids of texts as little-endian numbers of one width. ``_pieces`` and ``_whole`` are what encodes."""
 
@@ -51,6 +73,7 @@ class Memory:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        texts = self._same(texts)
         cuts = [cut(t) for t in texts]
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
@@ -66,9 +89,9 @@ class Memory:
         for c, f, at in zip(cuts, found, holes):
             for k in at:
                 f[k - 1] = fresh[c[k]]
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= _LONG)
+        remember(known, fresh)
         whole = iter(self._whole([t for t, c in zip(texts, cuts) if c is None]))
-        first = iter(self._whole([c[0] for c in cuts if c]))
+        first = iter(self._first([c[0] for c in cuts if c]))
         return [next(whole) if c is None else next(first) + b"".join(f) for c, f in zip(cuts, found)]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
@@ -77,6 +100,14 @@ class Memory:
     def _whole(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
 
+    def _first(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that no space stands before."""
+        return self._whole(pieces)
+
+    def _same(self, texts: list[str]) -> list[str]:
+        """Texts with the ids of these, but fewer different pieces."""
+        return texts
+
 
 class TokenizerMemory(Memory):
     """By a file of the tokenizers library. A piece takes some 200 bytes, and encoding it again fifty look-ups' time."""
@@ -138,35 +169,69 @@ class ByteBpe(TokenizerMemory):
 class WordBpe(TokenizerMemory):
     """BPE over lower-cased words, white space dropped, with a mark on each word's last id.
 
-    A piece of common letters, with or without one sign behind them, is one or two words. Between other pieces stands a
-    control sign.
+    A piece of common letters, with or without signs behind them, is one or two words. Letters are lowered and turned into
+    the signs of their bytes here, many at a time, so that only the tokenizer's model is left to do. Between other pieces
+    stands a control sign.
     """
 
     def __init__(self, file: str, **options):
         super().__init__(file, **options)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # Byte-level signs: printable bytes stand for themselves, all others for the signs from 256 on.
+        other = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
+        table = {b: chr(256 + n) for n, b in enumerate(other)} | {32: " "}  # a blank stays between words
+        self.bytes = "".join(table.get(b, chr(b)) for b in range(256))
         (sign,) = self._ids(["\x02"])[0]
         self.signs = np.zeros(max(self.vocabulary.values()) + 1, bool)
         self.signs[sign] = True
         self.ends = self.marks(lambda token: token.endswith("</w>"))
-        self.after = dict(zip(_SIGNS, self._whole(list(_SIGNS))))
+        self.after = {"": b"", **dict(zip(_SIGNS, self._whole(list(_SIGNS))))}
+        self.known.update(self.after)
+        del self.known[""]
 
-    def _pieces(self, pieces):
-        simple, others = [], []
-        for p in pieces:
-            (simple if _SIMPLE.fullmatch(p) else others).append(p)
-        known = dict(zip(simple, self._simple(simple)))
-        known.update(zip(others, self._joined(others, lambda part: "\x02 " + " \x02 ".join(part), self.signs, 1)))
-        return [known[p] for p in pieces]
+    def _ids(self, texts):
+        if len(texts) != 1 or not _LOWERED.fullmatch(texts[0]):
+            return super()._ids(texts)
+        text, _ = codecs.charmap_decode(texts[0].encode(), "strict", self.bytes)
+        return [self.plain.encode(text, add_special_tokens=False).ids]
 
-    def _simple(self, pieces: list[str]) -> list[bytes]:
-        """Ids of the word in lower case, encoded once whatever case, sign or line feed comes with it, and of the sign."""
-        words = [(p[:-1] if p[-1] in _SIGNS else p).lstrip("\n").lower() for p in pieces]
-        known = {w: self.known.get(w) or self.older.get(w) for w in set(words)}
+    def _same(self, texts):
+        return list(map(lowered, texts))
+
+    def _first(self, pieces):
+        found = list(map(self.known.get, pieces))
+        rest = iter(self._whole([p for p, ids in zip(pieces, found) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in found]
+
+    def _pieces(self, pieces):
+        matches = list(map(_SIMPLE.fullmatch, pieces))
+        others = [p for p, m in zip(pieces, matches) if m is None]
+        parts = [m.groups() for m in matches if m is not None]
+        simple = iter(self._simple(parts))
+        rest = iter(self._joined(others, lambda part: "\x02 " + " \x02 ".join(part), self.signs, 1))
+        return [next(rest) if m is None else next(simple) for m in matches]
+
+    def _simple(self, parts: list[tuple[str, str]]) -> list[bytes]:
+        """Ids of the word in lower case, encoded once whatever case, signs or line feed come with it, and of the signs."""
+        words = " ".join([w for w, _ in parts]).lower().split(" ") if parts else []
+        known = dict.fromkeys(words)
+        known.update((w, ids) for w, ids in zip(known, map(self.known.get, known)) if ids)
+        if self.older:
+            known.update((w, self.older[w]) for w in [w for w, ids in known.items() if ids is None and w in self.older])
         wanted = [w for w, ids in known.items() if ids is None]
         fresh = dict(zip(wanted, self._words(wanted)))
-        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= _LONG)
+        remember(self.known, fresh)
         known.update(fresh)
-        return [known[w] + self.after.get(p[-1], b"") for w, p in zip(words, pieces)]
+        after = {signs: self.after.get(signs) for _, signs in parts}
+        new = [signs for signs, ids in after.items() if ids is None]
+        after.update(zip(new, self._whole(new)))
+        if len(self.after) > self.limit:
+            self.after = {}
+        remember(self.after, after)
+        return [known[w] + after[signs] for w, (_, signs) in zip(words, parts)]
 
     def _words(self, words: list[str]) -> list[bytes]:
         found, size = [], self.dtype.itemsize

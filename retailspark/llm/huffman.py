@@ -152,8 +152,11 @@ def counts_of(tokens: DataFrame) -> np.ndarray:
     def count(batches) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            joined = b"".join(x.as_buffer() for x in batch.column(0))
-            total += np.bincount(np.frombuffer(joined, "<u2"), minlength=1 << 16)
+            column = batch.column(0).cast(pa.large_binary())  # never null
+            offsets = np.frombuffer(column.buffers()[1], "<i8")[column.offset : column.offset + len(column) + 1]
+            if len(column):
+                data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+                total += np.bincount(data.view("<u2"), minlength=1 << 16)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 

@@ -21,8 +21,9 @@ _ODD = re.compile(r"[\x00\x02\x09\x0b-\x0d\x1c-\x1f\x85\xa0  -    
 # Letters of which the tokenizer keeps as many when it lowers them, and any signs behind them.
 _SIMPLE = re.compile(r"\n?([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _LOWERED = re.compile("[a-zß-öø-ÿ ]+")
-_SIGNS = ".,;:!?"  # the most common ones; one alone behind a letter is a word of its own
-_SIGN = re.compile(r"[.,;:!?](?<=[a-zß-öø-ÿ].)(?=[ \n]|\Z)")
+_SIGNS = ".,;:!?"  # the most common ones
+# Signs between a letter and white space are a word of their own.
+_SIGN = re.compile(r"[!-/:-@\[-`{-~](?<=[a-zß-öø-ÿ].)[!-/:-@\[-`{-~]*(?=[ \n]|\Z)")
 _LONG = 64  # longer pieces are encoded each time and not remembered
 
 

@@ -202,26 +202,38 @@ def links(rows: DataFrame) -> DataFrame:
     return first.union(verified(rest, rows))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, class_id, stays) for every row: the class's least doc_id, and whether the row's text is the one
-    that stands for the class."""
-    rows = nodes_of(docs)
+def classed(rows: DataFrame) -> DataFrame:
+    """(node, class_id, stays) for every node: its class's least doc_id, and whether its text stands for the class. That
+    text has a row of this doc_id."""
     labels = components(links(rows))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     order = F.struct(F.col("least").isNull(), F.col("least"), F.col("node"))
     chosen = nodes.groupBy("label").agg(F.min_by("least", order).alias("class_id"), F.min_by("node", order).alias("kept"))
-    found = staged(nodes.join(chosen, "label").select("node", "class_id", (F.col("node") == F.col("kept")).alias("stays")), "near-classes")
-    return join_checked(rows.select("doc_id", "node"), found, ["node"], 500_000)
+    return staged(nodes.join(chosen, "label").select("node", "class_id", (F.col("node") == F.col("kept")).alias("stays")), "near-classes")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, class_id, stays) for every row: the class's least doc_id, and whether the row's text is the one
+    that stands for the class."""
+    rows = nodes_of(docs)
+    return join_checked(rows.select("doc_id", "node"), classed(rows), ["node"], 500_000)
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each class: the least doc_id, whole rows."""
-    kept = classes(docs).filter("stays AND doc_id <=> class_id").select(
-        F.col("node").alias("kept"), F.col("class_id").alias("id")
-    ).distinct()
+    """One row of each class: the least doc_id, whole rows.
+
+    Whole rows are shuffled once: the join and the removal of repeated rows have the same keys. A hot text's rows are
+    spread by their doc_id.
+    """
     names = [f"__{i}" for i in range(len(docs.columns))]  # the caller's columns may have any name
     text, doc_id = (F.col(names[docs.columns.index(c)]) for c in ("text", "doc_id"))
-    marked = docs.toDF(*names).withColumn("node", F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-    joined = marked.join(kept, (F.col("node") == F.col("kept")) & doc_id.cast("long").eqNullSafe(F.col("id")))
-    return joined.dropDuplicates(["node"]).select(*names).toDF(*docs.columns)
+    number = doc_id.cast("long")
+    marked = docs.toDF(*names).withColumns({
+        "node": F.md5(F.coalesce(text, F.lit("")).cast("binary")), "id": F.coalesce(number, F.lit(0)), "no_id": number.isNull(),
+    })
+    kept = classed(nodes_of(docs)).filter("stays").select(
+        "node", F.coalesce("class_id", F.lit(0)).alias("id"), F.col("class_id").isNull().alias("no_id")
+    )
+    keys = ["node", "id", "no_id"]
+    return marked.join(kept, keys).dropDuplicates(keys).select(*names).toDF(*docs.columns)

@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -337,13 +337,13 @@ def vector(terms: bytes, counts: bytes = b"") -> Sparse:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from the labelled rows of ``docs``, with idf over all of them."""
-    return fitted(docs, labels)[0]
+    return fitted(docs, labels, without=("text",))[0]
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame, list[str]]:
+def fitted(docs: DataFrame, labels: DataFrame, without: Collection[str] = ()) -> tuple[Model, DataFrame, list[str]]:
     """The model, and ``docs`` with the vectors of their texts in two more columns, whose names come last.
 
-    The texts are cut into words once, and written together with their vectors.
+    The texts are cut into words once, and written together with their vectors, but for columns ``without``.
     """
     spark = docs.sparkSession
     chosen = staged(chosen_labels(labels), "toxic-labels")
@@ -374,7 +374,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame, list[s
     names = list(VECTOR)
     while set(names) & set(docs.columns):
         names = [f"{n}_" for n in names]
-    held = staged(append_columns(docs, ["text"], vectors, ", ".join(f"{n} binary" for n in names)), "toxic-vectors")
+    held = staged(append_columns(docs, ["text"], vectors, ", ".join(f"{n} binary" for n in names), without), "toxic-vectors")
     shared.destroy()
     size = terms.size
 
@@ -429,9 +429,10 @@ def votes_of(spark, model: Model) -> np.ndarray:
     return votes
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with toxic_score and toxic_evidence (doc_id, cosine, label of the nearest examples) behind its columns."""
-    model, held, names = fitted(docs, labels)
+def score(docs: DataFrame, labels: DataFrame, without: Collection[str] = ()) -> DataFrame:
+    """``docs`` with toxic_score and toxic_evidence (doc_id, cosine, label of the nearest examples) behind its columns, but
+    for columns ``without``, which are not written: any but doc_id."""
+    model, held, names = fitted(docs, labels, without)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -456,4 +457,5 @@ def keep(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:
     """The documents that score under ``most``, whole rows."""
     names = [f"__{i}" for i in range(len(docs.columns))]  # the caller's columns may have the score's name
     renamed = docs.toDF(*names).withColumns({c: F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text")})
-    return score(renamed, labels).filter(F.col("toxic_score") < most).select(*names).toDF(*docs.columns)
+    scored = score(renamed, labels, without=("text",))  # it is among the names
+    return scored.filter(F.col("toxic_score") < most).select(*names).toDF(*docs.columns)

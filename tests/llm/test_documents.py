@@ -168,6 +168,22 @@ def test_held_out_rows_are_told_apart(spark):
     assert kept.count() == scored.filter("toxic_score < 0.5").count()
 
 
+def test_texts_are_written_once_with_their_vectors(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "vile words here" if i % 2 else "kind words here", "x") for i in range(40)],
+                                 "doc_id long, text string, source string")
+    written = {}
+    staged = nearest_labels.staged
+
+    def noted(df, label):
+        written[label] = df.columns
+        return staged(df, label)
+
+    monkeypatch.setattr(nearest_labels, "staged", noted)
+    kept = nearest_labels.keep(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic"))
+    assert {tuple(r) for r in kept.collect()} == {(i, "kind words here", "x") for i in range(0, 40, 2)}
+    assert written["toxic-vectors"] == ["__0", "__1", "__2", "doc_id", *nearest_labels.VECTOR]
+
+
 def test_labels_of_held_out_rows_are_not_read(spark):
     rows = [(i, "vile words here" if i % 2 else "kind words here") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -5,6 +5,7 @@ import numpy as np
 
 from retailspark.llm import near_copies, sketches
 from retailspark.llm.components import components
+from tests.conftest import plan_of
 
 
 def shingle_lists(texts):
@@ -116,6 +117,22 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted({c for _, c in brute_classes(rows)})
 
 
+def test_whole_rows_are_shuffled_once(spark):
+    """Rows that stay are joined by shuffle, as in large tables; repeated ones and such without an id are one."""
+    text = "words that stand in more rows than one, of which some have no id"
+    rows = [(7, text, 1), (7, text, 1), (None, text, 2), (9, text, 3), (None, "another text", 4), (None, "another text", 4),
+            (0, "a third text", 5), (None, "a third text", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = near_copies.first_of_each(docs)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted([rows[0], rows[4], rows[6]], key=repr)
+        assert plan_of(got, "simple").split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 2  # rows, classes
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_short_texts_lose_no_link(spark):
     """Texts of 8 words and the same with one word more are similar at the threshold exactly."""
     rng = random.Random(12)

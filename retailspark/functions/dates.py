@@ -99,23 +99,34 @@ def parse_timestamp(c: Column, dtype: str = "string", formats: tuple[str, ...] =
     return F.coalesce(*attempts) if formats else attempts[0]
 
 
+def given(c: Column) -> Column:
+    """Whether ``c`` is not NULL, asked with a lambda, which keeps a projection out of whole-stage code.
+
+    There, the readings of two or three dates make one method of more than 8,000 bytes, which the JVM does not compile but
+    interprets, several times slower. A projection by itself is cut into short methods. What has a lambda in it is not
+    computed once for several mentions, though, so it has to stand beside a reading, not around it.
+    """
+    return F.exists(F.array(c), lambda value: value.isNotNull())
+
+
 def unread(c: Column, dtype: str = "string", formats: tuple[str, ...] = ()) -> Column:
     """Whether there is a text that no date can be read from."""
-    return c.isNotNull() & parse_timestamp(c, dtype, formats).isNull()
+    return given(c) & parse_timestamp(c, dtype, formats).isNull()
 
 
-def repair_year(ts: Column, mode: str = "repair", latest: int = LATEST_YEAR) -> Column:
+def repair_year(ts: Column, mode: str = "repair", latest: int = LATEST_YEAR, of: Column | None = None) -> Column:
     """Mend years before 1900.
 
     ``repair`` moves the date forward by whole millennia (1016 -> 2016) and gives
-    NULL when no such move lands in [1900, latest]; ``null`` gives NULL outright.
+    NULL when no such move lands in [1900, latest]; ``null`` gives NULL outright. ``of`` is the text that ``ts`` is read
+    from, if it is.
     """
     # Stated as a sum, both parts of which are always needed, so that ``ts`` is computed once.
-    year = F.year(ts)
+    year, months = F.year(ts), F.lit(0) if of is None else F.when(given(of), 0)
     if mode == "null":
-        return ts + F.make_ym_interval(F.when(year >= EARLIEST_YEAR, 0), F.lit(0))
+        return ts + F.make_ym_interval(F.when(year >= EARLIEST_YEAR, 0), months)
     if mode != "repair":
         raise ValueError(f"unknown year repair mode: {mode}")
     shift = F.floor((F.lit(latest) - year) / F.lit(1000)).cast("int") * F.lit(1000)
     years = F.when(year >= EARLIEST_YEAR, 0).when((year + shift).between(EARLIEST_YEAR, latest), shift)
-    return ts + F.make_ym_interval(years, F.lit(0))
+    return ts + F.make_ym_interval(years, months)

@@ -155,7 +155,8 @@ def repair_dates(
 def repaired(
     df: DataFrame, name: str, mode: str, latest: int, formats: tuple[str, ...] = ()
 ) -> Column:
-    return dates.repair_year(read_date(df, name, formats), mode, latest)
+    text = F.col(name) if _type(df, name) == "string" else None
+    return dates.repair_year(read_date(df, name, formats), mode, latest, of=text)
 
 
 def read_date(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.functions import dates, numbers
 from retailspark.operators import constraints
 from retailspark.schemas import TABLES, Table
+from retailspark.session import together
 
 LOG_SCHEMA = (
     "position int, table_name string, rows_appended bigint, rows_after bigint, ok boolean, error string"
@@ -36,8 +37,7 @@ def write_reports(
     Results are stored once as Parquet, so the emptiness test and the CSV do not run
     the query again.
     """
-    log = []
-    for name, build in reports.items():
+    def written(name: str, build: Callable[[], DataFrame]) -> tuple:
         try:
             stored = f"{folder}/{run_id}/_stored/{name}"
             build().write.mode("overwrite").parquet(stored)
@@ -47,9 +47,11 @@ def write_reports(
                 result.write.mode("overwrite").option("header", True).csv(
                     f"{folder}/{run_id}/{name}"
                 )
-            log.append((name, rows, rows > 0, None))
+            return name, rows, rows > 0, None
         except Exception as error:  # one bad report must not stop the run
-            log.append((name, None, False, str(error)))
+            return name, None, False, str(error)
+
+    log = together(partial(written, name, build) for name, build in reports.items())
     return spark.createDataFrame(log, REPORT_LOG_SCHEMA)
 
 

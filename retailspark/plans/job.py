@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable, Collection
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -14,6 +16,7 @@ from retailspark.operators import constraints, enrich, load, profile, recipes
 from retailspark.operators.clean import standard_name, standardise_names
 from retailspark.plans import reports
 from retailspark.schemas import TABLES
+from retailspark.session import long_steps, together
 from retailspark.sources import files
 
 STAGES = ("check", "transform", "load", "report")
@@ -59,6 +62,17 @@ def run(
     """
     if on_violation not in ("raise", "report"):
         raise ValueError(f"on_violation must be 'raise' or 'report', not {on_violation!r}")
+    with long_steps(spark):
+        return _run(
+            spark, raw_folder, out_folder, skip, gated, database, encoding, multiline, on_malformed, on_violation,
+            cleaning_needed, cleaned_folder, resume, cleaning_options,
+        )
+
+
+def _run(
+    spark, raw_folder, out_folder, skip, gated, database, encoding, multiline, on_malformed, on_violation, cleaning_needed,
+    cleaned_folder, resume, cleaning_options,
+) -> DataFrame:
     run_id = resume or uuid.uuid4().hex
     past = _past(spark, out_folder, run_id) if resume else {}
     attempt = 1 + max((entry.attempt for entry in past.values()), default=0)
@@ -101,20 +115,23 @@ def run(
                 files.malformed_records(spark, f"{raw_folder}/{name}.csv", encoding, multiline).write.mode(
                     "overwrite"
                 ).parquet(f"{out_folder}/malformed/{name}")
-        cleaned, fresh = {}, [name for name in watched if name not in marks]
-        for name, df in watched.items():
+        fresh, one_by_one = [name for name in watched if name not in marks], threading.Lock()
+
+        def clean(name: str, df: DataFrame) -> DataFrame:
             if name in marks:
-                cleaned |= files.load_cleaned(spark, cleaned_folder, [name])
-            elif cleaning_needed and (needed is None or needed.get(name, True)):
+                return files.load_cleaned(spark, cleaned_folder, [name])[name]
+            if cleaning_needed and (needed is None or needed.get(name, True)):
                 staged = recipes.stage_table(name, df, **cleaning_options)
-                cleaned[name] = staged.stored(f"{out_folder}/staged/{name}").clean
-            else:
-                cleaned[name] = _typed(name, df)
+                return staged.stored(f"{out_folder}/staged/{name}").clean
+            return _typed(name, df)
 
         def finish(name: str, df: DataFrame) -> None:
             load.write_cleaned({name: df}, cleaned_folder)
-            marks[name] = seen[name].get["n"]
-            _append(spark, f"{out_folder}/manifest", MARK_SCHEMA, run_id, "transform", name, marks[name])
+            with one_by_one:  # two appends to one folder would remove each other's unfinished files
+                _append(spark, f"{out_folder}/manifest", MARK_SCHEMA, run_id, "transform", name, seen[name].get["n"])
+                marks[name] = seen[name].get["n"]
+
+        cleaned = dict(zip(watched, together(partial(clean, name, df) for name, df in watched.items())))
 
         # Line totals are stored before the order totals are summed from them.
         steps = {**_able(cleaned, derive), "calculate_order_total": False}
@@ -122,9 +139,7 @@ def run(
         steps["calculate_item_total"] &= "order_items" not in marks
         enriched = enrich.enrich_all(cleaned, steps)
         orders = enriched.pop("orders", None)
-        for name, df in enriched.items():
-            if name not in marks:
-                finish(name, df)
+        together([partial(finish, name, df) for name, df in enriched.items() if name not in marks])
         if orders is not None and "orders" not in marks:
             if "order_items" in cleaned and derive.get("calculate_order_total", True):
                 items = files.load_cleaned(spark, cleaned_folder, ["order_items"])["order_items"]
@@ -150,15 +165,15 @@ def run(
         if failed:
             raise RuntimeError(f"load stopped at {failed[-1]}")
         target = load.target_tables(spark, database)
-        load.reconcile(cleaned, target).write.mode("overwrite").parquet(
-            f"{out_folder}/checks/reconcile"
-        )
-        for name, found in {
+        checks = {
+            "reconcile": load.reconcile(cleaned, target),
             "keys": constraints.key_violations(target),
             "references": constraints.reference_violations(target),
             "not_null": constraints.not_null_violations(target),
-        }.items():
-            found.write.mode("overwrite").parquet(f"{out_folder}/checks/{name}")
+        }
+        together(
+            partial(found.write.mode("overwrite").parquet, f"{out_folder}/checks/{name}") for name, found in checks.items()
+        )
         if strict:
             broken = _violations(spark, f"{out_folder}/checks")
             if broken:
@@ -166,7 +181,8 @@ def run(
         return _rows(cleaned), sum(row.rows_after for row in appended)
 
     def report() -> tuple[int, int]:
-        tables = files.load_cleaned(spark, cleaned_folder)
+        cleaned = files.load_cleaned(spark, cleaned_folder)
+        tables = reports.with_sums(cleaned, f"{out_folder}/reports/{run_id}/_sums")
         builders = {
             name: (lambda fn=fn: fn(tables)) for name, fn in reports.REPORTS.items()
         }
@@ -174,7 +190,7 @@ def run(
         failed = [row.report for row in written if row.error]
         if failed:
             raise RuntimeError(f"reports failed: {', '.join(failed)}")
-        return _rows(tables), sum(row.row_count for row in written)
+        return _rows(cleaned), sum(row.row_count for row in written)
 
     work = {"check": check, "transform": transform, "load": load_tables, "report": report}
     all(stage(name, work[name]) for name in STAGES)  # ends at the first that fails

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +11,7 @@ from retailspark.operators import constraints, load, profile, recipes
 from retailspark.plans import job, reports
 from retailspark.plans.query import Query
 from retailspark.schemas import TABLES
-from retailspark.session import scratch_folder
+from retailspark.session import scratch_folder, together
 from retailspark.sources import dirt, files, starschema
 
 
@@ -31,11 +31,14 @@ def _write_raw(spark: SparkSession, folder: str) -> str:
     """The untidy tables as CSV files with header."""
     out = scratch_folder(spark, "raw")
     tables = dirt.dirty_tables(spark, folder)
-    for name in TABLES:
-        tables[name].write.option("header", True).csv(f"{out}/{name}.csv")
+    together([partial(_csv, tables[name], f"{out}/{name}.csv") for name in TABLES])
     return out
 
 
+def _csv(df: DataFrame, path: str) -> None:
+    df.write.option("header", True).csv(path)
+
+
 def csv_load(spark: SparkSession, folder: str) -> DataFrame:
     """Shapes of the raw files as read back; one asked-for file does not exist."""
     raw, missing = files.load_raw(spark, _write_raw(spark, folder), [*TABLES, "suppliers"])
@@ -202,9 +205,11 @@ def load_orphans(spark, folder):
 def strict_run(spark, folder):
     """A whole run over tidy raw files with every check of the load in force."""
     raw, out = scratch_folder(spark, "tidy"), scratch_folder(spark, "strict")
-    for name, df in _tidy(spark, folder).items():
-        columns = [c for c in TABLES[name].columns if c in df.columns and c not in TABLES[name].derived]
-        df.select(*columns).write.option("header", True).csv(f"{raw}/{name}.csv")
+    tidy = {
+        name: df.select(*[c for c in TABLES[name].columns if c in df.columns and c not in TABLES[name].derived])
+        for name, df in _tidy(spark, folder).items()
+    }
+    together(partial(_csv, df, f"{raw}/{name}.csv") for name, df in tidy.items())
     return job.run(spark, raw, out).select("stage", "ok", F.col("error").isNull().alias("quiet"))
 
 

@@ -13,12 +13,15 @@ order grain as ``order_total * line_count`` without joining the lines.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from retailspark.functions.numbers import exact_sum, ratio
 from retailspark.operators.enrich import line_measures
 from retailspark.operators.joins import lookup
 from retailspark.schemas import CUSTOMER_TYPES, SEGMENT_NAMES, STATUS_NAMES
+from retailspark.session import together
 
 Tables = dict[str, DataFrame]
 
@@ -39,6 +42,31 @@ def _grouping(name: str, ignore_case: bool) -> Column:
     return F.collate(F.col(name), "UTF8_LCASE") if ignore_case else F.col(name)
 
 
+# ------------------------------------------------- sums that reports share
+
+
+def with_sums(t: Tables, folder: str) -> Tables:
+    """The tables, and beside them the sums several reports start from, stored in ``folder`` so that facts are summed once.
+
+    A sum that fails is left out, for each of its reports to fail by itself.
+    """
+    def stored(name: str, build) -> DataFrame | None:
+        path = f"{folder}/{name}"
+        try:
+            df = build(t)
+            df.write.mode("overwrite").parquet(path)
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+        except Exception:  # the reports meet it again, and it goes to their log
+            return None
+
+    found = together(partial(stored, name, build) for name, build in SUMS.items())
+    return {**t, **{name: df for name, df in zip(SUMS, found) if df is not None}}
+
+
+def _sums(t: Tables, name: str) -> DataFrame:
+    return t[name] if name in t else SUMS[name](t)
+
+
 # ---------------------------------------------------------------- products
 
 
@@ -57,7 +85,8 @@ def _sales_by_product(t: Tables, with_orders: bool) -> DataFrame:
 
 def _top_products(t: Tables, top_n: int, with_orders: bool) -> DataFrame:
     names = t["products"].select("product_id", "product_name", "brand_name", "category_name")
-    joined = _sales_by_product(t, with_orders).join(names, "product_id")
+    sales = _sales_by_product(t, True) if with_orders else _sums(t, "sales_by_product")
+    joined = sales.join(names, "product_id")
     columns = [
         "product_id",
         "product_name",
@@ -92,7 +121,7 @@ def _product_group(t: Tables, dim: str, key: str, name: str, full: bool, ignore_
     members = t["products"].select("product_id", key)
     # From one row per product to one row per key before the names come in.
     sales = (
-        _sales_by_product(t, with_orders=False)
+        _sums(t, "sales_by_product")
         .join(members, "product_id")
         .groupBy(key)
         .agg(
@@ -483,11 +512,14 @@ def _active_staff(t: Tables) -> DataFrame:
     return lookup(active, stores, "store_id", F.col("staff_id"), "left")
 
 
+def _orders_by_staff(t: Tables) -> DataFrame:
+    return t["orders"].groupBy("staff_id").agg(*_measures(_order_grain_measures()))
+
+
 def staff(t: Tables) -> DataFrame:
-    by_staff = t["orders"].groupBy("staff_id").agg(*_measures(_order_grain_measures()))
     return (
         _active_staff(t)
-        .join(by_staff, "staff_id", "left")
+        .join(_sums(t, "orders_by_staff"), "staff_id", "left")
         .select(
             "staff_id",
             "staff_name",
@@ -528,10 +560,9 @@ def staff_full(t: Tables) -> DataFrame:
 
 
 def best_staff(t: Tables, top_n: int = 1) -> DataFrame:
-    by_staff = t["orders"].groupBy("staff_id").agg(*_measures(_order_grain_measures()))
     return (
         _active_staff(t)
-        .join(by_staff, "staff_id")
+        .join(_sums(t, "orders_by_staff"), "staff_id")
         .select(
             "staff_id",
             "staff_name",
@@ -594,7 +625,7 @@ def _top_customers(t: Tables, top_n: int, columns: list[str], last_date: bool) -
     return (
         t["customers"]
         .select(*columns)
-        .join(_orders_by_customer(t), "customer_id")
+        .join(_sums(t, "orders_by_customer"), "customer_id")
         .select(*columns, *measures)
         .orderBy(F.desc("total_spent"), "customer_id")
         .limit(top_n)
@@ -643,7 +674,7 @@ def _spending(t: Tables, bounds: tuple[float, float], columns: list[str], full:
     joined = (
         t["customers"]
         .select(*columns)
-        .join(_orders_by_customer(t), "customer_id", "left")
+        .join(_sums(t, "orders_by_customer"), "customer_id", "left")
         .withColumn("total_orders", F.coalesce("orders", F.lit(0)))
     )
     return joined.select(
@@ -854,6 +885,13 @@ def series_inventory(t: Tables) -> DataFrame:
     )
 
 
+# Sums that two or three of the reports below start from.
+SUMS = {
+    "sales_by_product": lambda t: _sales_by_product(t, with_orders=False),
+    "orders_by_customer": _orders_by_customer,
+    "orders_by_staff": _orders_by_staff,
+}
+
 # Reports written by a report run, under their file names.
 REPORTS = {
     "top_products": top_products,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -36,6 +38,38 @@ def local_session(cores: str = "*", partitions: int = 8, **extra: str) -> SparkS
     return spark
 
 
+# Rows dealt to the folders of kept and dropped ones go to two open files, without being sorted by folder first.
+LONG_STEPS = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
+
+
+@contextmanager
+def long_steps(spark: SparkSession) -> Iterator[None]:
+    """The session with ``LONG_STEPS``, and as it was afterwards."""
+    before = {key: spark.conf.get(key, None) for key in LONG_STEPS}
+    for key, value in LONG_STEPS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+# Pieces of work whose Spark jobs are in the queue at once: while one's last tasks run, the next one's fill the other cores.
+AT_ONCE = 4
+
+
+def together(pieces: Iterable[Callable[[], object]]) -> list:
+    """Results of independent pieces of work, in their order; the first failure in that order is raised once all are
+    done. The cluster runs as many tasks at a time as ever."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        running = [pool.submit(piece) for piece in pieces]
+    return [piece.result() for piece in running]
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retailspark.functions.text import null_if_na
 from retailspark.schemas import TABLES
+from retailspark.session import together
 from retailspark.sources import records
 
 
@@ -138,15 +140,18 @@ def load_raw(
 
     Naming the ``encoding`` saves the probe, which reads a clean file to its end.
     """
-    found, missing = {}, []
-    for name in names:
+    names = list(names)
+
+    def read(name: str) -> DataFrame | None:
         try:
-            found[name] = read_csv(spark, f"{folder}/{name}.csv", encoding, multiline, on_malformed)
+            return read_csv(spark, f"{folder}/{name}.csv", encoding, multiline, on_malformed)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            missing.append(name)
-    return found, missing
+            return None
+
+    tables = dict(zip(names, together(partial(read, name) for name in names)))
+    return {n: df for n, df in tables.items() if df is not None}, [n for n in names if tables[n] is None]
 
 
 def load_cleaned(
